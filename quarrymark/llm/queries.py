@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from . import sql
+from .decontaminate import find_leaks
+from .mixing import mix_sources
 from .substring_dedup import dedup_words
 from .suffix_dedup import dedup_bytes
 
@@ -17,9 +19,17 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_bytes(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_words(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op3_suffix_dedup, op8_substring_dedup)}
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (op3_suffix_dedup, op7_mixing, op8_substring_dedup, op10_decontaminate)}
 ORACLE_SQL = {name: text for name, text in sql.ALL.items() if name in QUERIES}

@@ -30,4 +30,18 @@ SELECT d.doc_id, len(a)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_
 FROM d LEFT JOIN gone USING (doc_id) LEFT JOIN left_over USING (doc_id)
 """
 
-ALL = {"op3_suffix_dedup": OP3, "op8_substring_dedup": OP8}
+FOLDED = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+OP10 = f"""
+WITH d AS (SELECT doc_id, {FOLDED} AS a FROM documents),
+b AS (SELECT item_id, {FOLDED} AS a FROM benchmark),
+bw AS (SELECT DISTINCT item_id, least(len(a), 10) AS n, array_to_string(a[i + 1 : i + least(len(a), 10)], ' ') AS w FROM b, unnest(range(greatest(len(a) - 9, least(len(a), 1)))) AS t(i)),
+dw AS (SELECT doc_id, i, k.n, array_to_string(a[i + 1 : i + k.n], ' ') AS w FROM d, (SELECT DISTINCT n FROM bw) AS k, unnest(range(len(a) - k.n + 1)) AS t(i)),
+hit AS (SELECT doc_id, item_id, i, n FROM dw JOIN bw USING (n, w)),
+places AS (SELECT doc_id, count(DISTINCT i + j) AS n_hit FROM hit, unnest(range(n)) AS t(j) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item_id FROM hit) GROUP BY doc_id)
+SELECT doc_id, len(a)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN places USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+ALL = {"op10_decontaminate": OP10, "op3_suffix_dedup": OP3, "op8_substring_dedup": OP8}
