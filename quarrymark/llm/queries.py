@@ -9,6 +9,7 @@ from .decontaminate import find_leaks
 from .mixing import mix_sources
 from .substring_dedup import dedup_words
 from .suffix_dedup import dedup_bytes
+from .warc import archive_round_trip
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +20,10 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_bytes(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_round_trip(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
 
@@ -31,5 +36,5 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op3_suffix_dedup, op7_mixing, op8_substring_dedup, op10_decontaminate)}
+QUERIES = {f.__name__: f for f in (op3_suffix_dedup, op4_warc, op7_mixing, op8_substring_dedup, op10_decontaminate)}
 ORACLE_SQL = {name: text for name, text in sql.ALL.items() if name in QUERIES}

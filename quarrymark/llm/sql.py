@@ -44,4 +44,14 @@ SELECT doc_id, len(a)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
 FROM d LEFT JOIN places USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
-ALL = {"op10_decontaminate": OP10, "op3_suffix_dedup": OP3, "op8_substring_dedup": OP8}
+BASE32 = " || ".join(f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(h, {5 * i + 1}, 5))::INT >> {b}) & 31) + 1, 1)" for i in range(8) for b in (15, 10, 5, 0))
+
+OP4 = f"""
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b, sha1(coalesce(html, '')) AS h, coalesce(html, '') AS html FROM pages),
+t AS (SELECT *, max(page_id) OVER (PARTITION BY html) AS top FROM p)
+SELECT page_id, octet_length(b)::BIGINT AS payload_bytes, {BASE32} AS payload_digest,
+  CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id < top THEN top END AS refers_to
+FROM t
+"""
+
+ALL = {"op4_warc": OP4, "op10_decontaminate": OP10, "op3_suffix_dedup": OP3, "op8_substring_dedup": OP8}
