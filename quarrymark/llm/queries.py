@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from . import sql
 from .decontaminate import find_leaks
 from .mixing import mix_sources
+from .quality import judge_quality
 from .substring_dedup import dedup_words
 from .suffix_dedup import dedup_bytes
 from .warc import archive_round_trip
@@ -24,6 +25,10 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_round_trip(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
 
@@ -36,5 +41,5 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op3_suffix_dedup, op4_warc, op7_mixing, op8_substring_dedup, op10_decontaminate)}
+QUERIES = {f.__name__: f for f in (op3_suffix_dedup, op4_warc, op5_quality_rules, op7_mixing, op8_substring_dedup, op10_decontaminate)}
 ORACLE_SQL = {name: text for name, text in sql.ALL.items() if name in QUERIES}
