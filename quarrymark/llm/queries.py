@@ -8,8 +8,10 @@ from . import sql
 from .decontaminate import find_leaks
 from .mixing import mix_sources
 from .quality import judge_quality
+from .secrets import scan_secrets
 from .substring_dedup import dedup_words
 from .suffix_dedup import dedup_bytes
+from .toxicity import judge_toxicity
 from .warc import archive_round_trip
 
 
@@ -17,6 +19,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_bytes(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -41,5 +51,5 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op3_suffix_dedup, op4_warc, op5_quality_rules, op7_mixing, op8_substring_dedup, op10_decontaminate)}
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_toxicity, op3_suffix_dedup, op4_warc, op5_quality_rules, op7_mixing, op8_substring_dedup, op10_decontaminate)}
 ORACLE_SQL = {name: text for name, text in sql.ALL.items() if name in QUERIES}
