@@ -12,6 +12,7 @@ from .secrets import scan_secrets
 from .substring_dedup import dedup_words
 from .suffix_dedup import dedup_bytes
 from .toxicity import judge_toxicity
+from .urlfilter import filter_urls
 from .warc import archive_round_trip
 
 
@@ -39,6 +40,10 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_urls(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
 
@@ -51,5 +56,5 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_toxicity, op3_suffix_dedup, op4_warc, op5_quality_rules, op7_mixing, op8_substring_dedup, op10_decontaminate)}
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_toxicity, op3_suffix_dedup, op4_warc, op5_quality_rules, op6_url_filter, op7_mixing, op8_substring_dedup, op10_decontaminate)}
 ORACLE_SQL = {name: text for name, text in sql.ALL.items() if name in QUERIES}
