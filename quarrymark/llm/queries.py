@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import sql
 from .decontaminate import find_leaks
+from .jaccard import similar_documents
 from .mixing import mix_sources
 from .quality import judge_quality
 from .secrets import scan_secrets
@@ -52,9 +53,13 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_words(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_toxicity, op3_suffix_dedup, op4_warc, op5_quality_rules, op6_url_filter, op7_mixing, op8_substring_dedup, op10_decontaminate)}
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_toxicity, op3_suffix_dedup, op4_warc, op5_quality_rules, op6_url_filter, op7_mixing, op8_substring_dedup, op9_jaccard_join, op10_decontaminate)}
 ORACLE_SQL = {name: text for name, text in sql.ALL.items() if name in QUERIES}
