@@ -1,0 +1,58 @@
+"""Joins of labels with pages, and chat examples."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from .. import reference_data as R
+from ..functions import html as H
+from .sampling import first_per
+
+
+def labelled_pages(labels: DataFrame, pages: DataFrame, *order: str) -> DataFrame:
+    """Labels with the first page of their url, or none."""
+    return labels.join(first_per(pages, "url", *order), "url", "left")
+
+
+def adoption(crawled: DataFrame, marked: DataFrame, key: str = "domain") -> DataFrame:
+    """key and whether it is in both or only crawled."""
+    own = crawled.select(key).distinct()
+    both = own.join(marked.select(key).distinct(), key, "left_semi").withColumn("adopted", F.lit(True))
+    return both.unionByName(own.join(marked.select(key).distinct(), key, "left_anti").withColumn("adopted", F.lit(False)))
+
+
+def inference_queue(crawled: DataFrame, done: DataFrame, fetched: DataFrame, marked: DataFrame, screenshots: DataFrame, key: str = "domain") -> DataFrame:
+    """Crawled domains that aren't done and are fetched, with their markup and screenshot where there are any."""
+    own = crawled.join(done.select(key).distinct(), key, "left_anti").join(fetched.select(key).distinct(), key, "left_semi")
+    return own.join(marked, key, "left").join(screenshots, key, "left")
+
+
+def manifest_upsert(manifest: DataFrame, new: DataFrame, key: str = "url") -> DataFrame:
+    return manifest.unionByName(new.join(manifest.select(key).distinct(), key, "left_anti"), allowMissingColumns=True)
+
+
+def chat_example(html: Column, jsonld: Column, screenshot: Column, metadata: Column, prompt: str = R.SYSTEM_PROMPT, most: int = 64_000) -> Column:
+    """One JSON line: system, user (image part if any, then text) and assistant messages, and metadata."""
+    parts = F.array(F.when(screenshot.isNotNull(), F.to_json(F.struct(F.lit("image").alias("type"), screenshot.alias("image")))), F.to_json(F.struct(F.lit("text").alias("type"), H.truncated(H.strip_noise(html), most).alias("text"))))
+    user = F.concat(F.lit('{"role":"user","content":['), F.array_join(F.array_compact(parts), ","), F.lit("]}"))
+    plain = lambda role, text: F.to_json(F.struct(F.lit(role).alias("role"), text.alias("content")))
+    return F.concat(F.lit('{"messages":['), F.concat_ws(",", plain("system", F.lit(prompt)), user, plain("assistant", jsonld)), F.lit('],"metadata":'), F.to_json(metadata), F.lit("}"))
+
+
+def system_prompt(kind: Column, hints: dict[str, str], prompt: str = R.SYSTEM_PROMPT) -> Column:
+    """The prompt, with the type's hint below it where there is one."""
+    if not hints:
+        return F.lit(prompt)
+    hint = F.try_element_at(F.create_map(*(F.lit(x) for kv in hints.items() for x in kv)), kind)
+    return F.concat(F.lit(prompt), F.coalesce(F.concat(F.lit("\n\n"), hint), F.lit("")))
+
+
+def batch_requests(pages: DataFrame, model: str, prompt: str = R.SYSTEM_PROMPT) -> DataFrame:
+    """custom_id and request lines for a labelling service."""
+    body = F.struct(F.struct(F.lit(prompt).alias("system"), H.trimmed(F.col("html")).alias("user")).alias("messages"))
+    return pages.select(F.to_json(F.struct(F.col("page_id").cast("string").alias("custom_id"), F.struct(F.lit(model).alias("model"), body.alias("body")).alias("request"))).alias("value"))
+
+
+def example_id(*keys: Column | str) -> Column:
+    return F.substring(F.md5(F.concat_ws("|", *keys)), 1, 8)
