@@ -192,7 +192,8 @@ def _classes(docs: DataFrame, n: int, threshold: float, trees: int, depth: int,
     blocks = F.greatest(F.lit(1), F.ceil(F.col("total") / F.lit(set_limit / 2)).cast("int"))
     dealt = written(salted_join(members, sizes.select("comp", F.when(F.col("total") <= set_limit, 1).otherwise(blocks).alias("blocks")), "comp", F.col("node"), 2 * partitions(spark)), "members")
     # The text of each node's least document, uniformly dealt; a repeated id may bring others, which its node tells.
-    texts = rows.join(dealt.withColumnRenamed("rep", "id"), "id")
+    # Texts are always dealt by id, also where Spark could broadcast: the plan, and its shuffle, is the same at any size.
+    texts = rows.join(dealt.withColumnRenamed("rep", "id").hint("merge"), "id")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -263,5 +264,5 @@ def keep_one(docs: DataFrame, n: int = SHINGLE, threshold: float = THRESHOLD, tr
 
     named = docs.mapInArrow(name, StructType([*docs.schema.fields, StructField("_node", LongType())]))
     keyed = named.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(_TOP)))
-    kept = keyed.join(first, ["_id", "_node"], "left_semi").dropDuplicates(["_id", "_node"])
+    kept = keyed.join(first.hint("merge"), ["_id", "_node"], "left_semi").dropDuplicates(["_id", "_node"])
     return kept.select(*fields).unionByName(keyed.filter("_node = 0").select(*fields))
