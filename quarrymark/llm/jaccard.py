@@ -26,6 +26,8 @@ SHINGLE, THRESHOLD = 5, 0.8
 TREES, DEPTH, RECALL = 24, 6, 0.99999
 #: Shingles of a component that are compared in one task.
 SET_LIMIT = 4_000_000
+#: Components of so many shingles are never split.
+SMALL_SETS = 20_000
 _TOP = 2**63 - 1
 _SEED = np.random.default_rng(77).integers(1, 2**63, (2, 1024), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -189,8 +191,12 @@ def _classes(docs: DataFrame, n: int, threshold: float, trees: int, depth: int,
     comps = written(components(cells.join(full, "key").select(F.col("node").alias("u"), F.col("least").alias("v"))), "components")
     members = nodes.select("node", "rep", "copies", "n").join(comps, "node")
     sizes = members.groupBy("comp").agg(F.sum("n").alias("total"))
-    blocks = F.greatest(F.lit(1), F.ceil(F.col("total") / F.lit(set_limit / 2)).cast("int"))
-    dealt = written(salted_join(members, sizes.select("comp", F.when(F.col("total") <= set_limit, 1).otherwise(blocks).alias("blocks")), "comp", F.col("node"), 2 * partitions(spark)), "members")
+    # A component that is more than one partition's share is split, too: b blocks make b (b + 1) / 2 tasks.
+    parts = partitions(spark)
+    whole = int(members.agg(F.sum("n")).first()[0] or 0)
+    blocks = F.greatest(F.ceil(F.col("total") / F.lit(set_limit / 2)), F.ceil(F.sqrt(F.col("total") * F.lit(2.0 * parts / max(1, whole))))).cast("int")
+    alone = F.col("total") <= F.lit(min(set_limit, max(SMALL_SETS, whole // parts)))
+    dealt = written(salted_join(members, sizes.select("comp", F.when(alone, 1).otherwise(blocks).alias("blocks")), "comp", F.col("node"), 2 * parts), "members")
     # The text of each node's least document, uniformly dealt; a repeated id may bring others, which its node tells.
     # Texts are always dealt by id, also where Spark could broadcast: the plan, and its shuffle, is the same at any size.
     texts = rows.join(dealt.withColumnRenamed("rep", "id").hint("merge"), "id")

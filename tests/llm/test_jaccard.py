@@ -74,7 +74,8 @@ def corpus(seed):
 
 
 @pytest.mark.parametrize("seed,limit", [(1, J.SET_LIMIT), (2, 500)])
-def test_against_brute_force(spark, seed, limit):
+def test_against_brute_force(spark, seed, limit, monkeypatch):
+    monkeypatch.setattr(J, "SMALL_SETS", limit)
     rows = corpus(seed)
     docs = spark.createDataFrame(rows, SCHEMA).selectExpr("*", "1 AS node", "2 AS id", "3 AS class")
     got = sorted((tuple(x) for x in J.similar_documents(docs, set_limit=limit).collect()), key=str)
