@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from . import arrays as A
 from .repeats import equal_groups
-from .shared import written
+from .shared import hash_sample, written
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_digits", "n_distinct")
 #: Features and their constraints: 1 may only raise, -1 only lower the score.
@@ -181,10 +181,9 @@ def train(x: np.ndarray, y: np.ndarray, signs: list[int], n_trees: int = 60, dep
 
 
 def fit(counts: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Trees | None:
-    """Trees from at most `sample` labelled rows, chosen by a hash of their id; None where nothing is labelled."""
+    """Trees from about `sample` labelled rows at most, chosen by a hash of their id; None where nothing is labelled."""
     labelled = labels.filter(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("quality").cast("int").alias("quality"))
-    picked = counts.join(labelled, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", *COUNTS).limit(sample)
-    rows = picked.toPandas()
+    rows = counts.join(hash_sample(labelled, "doc_id", sample), "doc_id").toPandas().sort_values(["doc_id", *COUNTS])
     if not len(rows):
         return None
     return train(features({c: rows[c].to_numpy() for c in COUNTS}), (rows["quality"].to_numpy() > 0).astype(float), list(FEATURES.values()))

@@ -50,3 +50,14 @@ def salted_join(rows: DataFrame, table: DataFrame, key: str, salt: Column, salts
     seen = salted.groupBy(key).agg(F.collect_set("_salt").alias("_salts"))
     spread = table.join(seen, key).select("*", F.explode("_salts").alias("_salt")).drop("_salts")
     return salted.join(spread, [key, "_salt"], "left").drop("_salt")
+
+
+def hash_sample(rows: DataFrame, key: str, most: int) -> DataFrame:
+    """Rows whose key's hash falls in so small a share that about `most` of them are expected at most; all, if they are no more.
+
+    No rows meet in one task for it, as they would for the first ones in some order.
+    """
+    n = rows.count()
+    if n <= most:
+        return rows
+    return rows.filter(F.pmod(F.xxhash64(F.col(key), F.lit(most)), F.lit(1 << 40)) < F.lit(int((1 << 40) * (most / n))))

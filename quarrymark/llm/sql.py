@@ -54,4 +54,17 @@ SELECT page_id, octet_length(b)::BIGINT AS payload_bytes, {BASE32} AS payload_di
 FROM t
 """
 
-ALL = {"op4_warc": OP4, "op10_decontaminate": OP10, "op3_suffix_dedup": OP3, "op8_substring_dedup": OP8}
+OP9 = f"""
+WITH RECURSIVE d AS (SELECT doc_id, {WORDS} AS a FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(a[i + 1 : i + least(len(a), 5)], ' ') AS g FROM d, unnest(range(greatest(len(a) - 4, least(len(a), 1)))) AS t(i)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT x.doc_id AS u, y.doc_id AS v, count(*) AS i FROM s x JOIN s y USING (g) WHERE x.doc_id <> y.doc_id GROUP BY ALL),
+l AS (SELECT u, v FROM p JOIN n a ON a.doc_id = u JOIN n b ON b.doc_id = v WHERE 9 * i >= 4 * (a.n + b.n)),
+r AS (SELECT u, v FROM l UNION SELECT r.u, l.v FROM r JOIN l ON r.v = l.u),
+c AS (SELECT u, min(v) AS low FROM r GROUP BY u),
+k AS (SELECT u, count(*) AS n_links FROM l GROUP BY u)
+SELECT doc_id, coalesce(least(doc_id, low), doc_id) AS class_id, coalesce(n_links, 0)::BIGINT AS n_links
+FROM documents LEFT JOIN c ON c.u = doc_id LEFT JOIN k ON k.u = doc_id
+"""
+
+ALL = {"op9_jaccard_join": OP9, "op4_warc": OP4, "op10_decontaminate": OP10, "op3_suffix_dedup": OP3, "op8_substring_dedup": OP8}

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from . import arrays as A
 from .decontaminate import folded
+from .shared import hash_sample
 
 #: Labelled rows to fit from, features to keep, and in how many sample rows a feature must stand.
 SAMPLE, FEATURES, LEAST = 10_000, 1 << 15, 4
@@ -100,16 +101,17 @@ def fit_ordinal(row: np.ndarray, col: np.ndarray, value: np.ndarray, grade: np.n
 
 
 def fit(docs: DataFrame, labels: DataFrame, grade: Column, split: int = 1, sample: int = SAMPLE) -> Ordinal | None:
-    """An ordinal model from at most `sample` labelled rows, chosen by a hash of their id.
+    """An ordinal model from about `sample` labelled rows at most, chosen by a hash of their id.
 
     grade: a column of labels, whole numbers from 0. With split > 1 and grades 0 and 1 only, rows of grade 1 are dealt into
     grades 1 to split by quantiles of their count of associated features. None where fewer than two grades are labelled.
     """
     spark = docs.sparkSession
-    picked = labels.select("doc_id", grade.cast("int").alias("grade")).filter("doc_id IS NOT NULL AND grade >= 0").groupBy("doc_id").agg(F.max("grade").alias("grade")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).collect()
+    graded = labels.select("doc_id", grade.cast("int").alias("grade")).filter("doc_id IS NOT NULL AND grade >= 0").groupBy("doc_id").agg(F.max("grade").alias("grade"))
+    picked = sorted(hash_sample(graded, "doc_id", sample).collect(), key=lambda r: r["doc_id"])
     if len({r["grade"] for r in picked}) < 2:
         return None
-    chosen = spark.createDataFrame([(r["doc_id"], r["grade"]) for r in picked], "doc_id long, grade int")  # `sample` rows at most
+    chosen = spark.createDataFrame([(r["doc_id"], r["grade"]) for r in picked], "doc_id long, grade int")  # about `sample` rows at most
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
