@@ -1,6 +1,6 @@
 """The queries of the engine, by name, and DuckDB SQL for the same rows."""
 
-from . import data, markup, web  # noqa: F401
+from . import data, markup, more, web  # noqa: F401
 from .base import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
