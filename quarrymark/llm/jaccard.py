@@ -28,6 +28,8 @@ TREES, DEPTH, RECALL = 24, 6, 0.99999
 SET_LIMIT = 4_000_000
 #: Components of so many shingles are never split.
 SMALL_SETS = 20_000
+#: Edges that a task of components() handles; small graphs need few tasks.
+EDGES_PER_TASK = 100_000
 _TOP = 2**63 - 1
 _SEED = np.random.default_rng(77).integers(1, 2**63, (2, 1024), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -104,19 +106,19 @@ def _sketches(batches: Iterator[pa.RecordBatch], n: int, trees: int, depth: int,
 def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
     """node and comp (its component's least node), for all nodes of edges (u, v): alternating large and small stars.
 
-    Each half round is a grouped minimum and a join, written in the shared folder; a hub's neighbours are dealt by
-    Spark's skew join. Rounds end when the edges no longer change, which takes about the logarithm of the diameter.
+    Each half round is a grouped minimum and a join, written in the shared folder by as many tasks as the edges need; a
+    hub's neighbours are dealt by Spark's skew join. Rounds end when the edges no longer change, which takes about the logarithm of the diameter.
     """
     edges = written(edges.filter("u <> v").select(F.least("u", "v").alias("v"), F.greatest("u", "v").alias("u")).distinct(), "edges")
-    mark = None
+    tasks, mark = edges.count() // EDGES_PER_TASK + 1, None
     for _ in range(rounds):
         both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = written(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
+        least = written(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least", tasks)
         edges = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
-        edges = written(edges, "large")
-        least = written(edges.groupBy("u").agg(F.min("v").alias("m")), "least")
+        edges = written(edges, "large", tasks)
+        least = written(edges.groupBy("u").agg(F.min("v").alias("m")), "least", tasks)
         joined = edges.join(least, "u")
-        edges = written(joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))).filter("u <> v").distinct(), "small")
+        edges = written(joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))).filter("u <> v").distinct(), "small", tasks)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
         if now == mark:
             break

@@ -24,10 +24,13 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """The rows as a Parquet table in the shared folder: lineage ends there, and lost executors cost nothing."""
+def written(df: DataFrame, name: str, tasks: int | None = None) -> DataFrame:
+    """The rows as a Parquet table in the shared folder: lineage ends there, and lost executors cost nothing.
+
+    tasks: so many write it, and so many files it has, where that is fewer than there are partitions.
+    """
     path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
+    (df if tasks is None or tasks >= partitions(df.sparkSession) else df.coalesce(tasks)).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
