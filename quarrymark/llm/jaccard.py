@@ -2,15 +2,14 @@
 
 Texts with equal sets of word shingles are one node from the start. A node's signature is cut into trees; in each tree,
 signatures sorted by prefix are a trie, and nodes below one prefix are candidates. Matched prefixes start at full depth
-and are shortened until the recall expected at the threshold reaches the target. Similar sets have similar sizes, so a
-prefix is joined with two overlapping grids of sizes. Nodes of one trie cell are linked to its least node only, never as
-pairs; connected cells form components, whose shingle sets meet in one task (or, beyond SET_LIMIT shingles, in one task
+and are shortened until the recall expected at the threshold reaches the target; they stay long enough for texts that only
+share a common line or passage not to meet. Nodes below one prefix are linked to the least of them only, never as pairs;
+what is connected forms components, whose shingle sets meet in one task (or, beyond SET_LIMIT shingles, in one task
 per pair of blocks), where every pair that shares a shingle is compared exactly and only counted.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from fractions import Fraction
 
@@ -23,7 +22,7 @@ from . import arrays as A
 from .shared import partitions, salted_join, written
 
 SHINGLE, THRESHOLD = 5, 0.8
-TREES, DEPTH, RECALL = 24, 6, 0.99999
+TREES, DEPTH, RECALL = 49, 8, 0.99999
 #: Shingles of a component that are compared in one task.
 SET_LIMIT = 4_000_000
 #: Components of so many shingles are never split.
@@ -78,13 +77,7 @@ def signatures(values: np.ndarray, bounds: np.ndarray, size: int) -> np.ndarray:
     return out
 
 
-def _grids(sizes: np.ndarray, threshold: float) -> np.ndarray:
-    """Two cells of each size: sizes within the threshold of each other share one at least."""
-    x = np.log(sizes) / (-2 * math.log(threshold) * (1 + 1e-9))
-    return np.stack((np.floor(x), np.floor(x + 0.5) + 0.5), 1)
-
-
-def _sketches(batches: Iterator[pa.RecordBatch], n: int, trees: int, depth: int, threshold: float, salt: int) -> Iterator[pa.RecordBatch]:
+def _sketches(batches: Iterator[pa.RecordBatch], n: int, trees: int, depth: int, salt: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, offsets = A.text_arrays(batch["text"])
         for a, b in A.slices(offsets):
@@ -95,10 +88,9 @@ def _sketches(batches: Iterator[pa.RecordBatch], n: int, trees: int, depth: int,
             key = np.zeros((len(some), trees), np.uint64)
             for d in range(depth):
                 key = A.mix(key + sig[:, :, d] + np.uint64(1))
-            cells = (_grids(sizes[some], threshold) * 2 + 2**20).astype(np.uint64) if len(some) else np.zeros((0, 2), np.uint64)
-            keys = A.mix(key[:, :, None] ^ A.mix(cells[:, None, :] + np.arange(trees, dtype=np.uint64)[None, :, None] * np.uint64(2**32)))
+            keys = A.mix(key ^ A.mix(np.arange(1, trees + 1, dtype=np.uint64))[None, :])
             at = np.zeros(len(sizes) + 1, np.int32)
-            at[1:] = np.cumsum(sizes > 0) * trees * 2
+            at[1:] = np.cumsum(sizes > 0) * trees
             lists = pa.ListArray.from_arrays(pa.array(at), pa.array(keys.reshape(-1).view(np.int64)))
             yield pa.RecordBatch.from_arrays([batch["id"].slice(a, b - a), pa.array(ids), pa.array(sizes.astype(np.int64)), lists], ["id", "node", "n", "keys"])
 
@@ -185,7 +177,7 @@ def _classes(docs: DataFrame, n: int, threshold: float, trees: int, depth: int,
     m = matched_depth(threshold, trees, depth, target)
     ratio = Fraction(threshold).limit_denominator(10_000)
     rows = _rows(docs)
-    sketched = written(rows.mapInArrow(lambda it: _sketches(it, n, trees, m, threshold, 0), "id long, node long, n long, keys array<long>"), "sketches")
+    sketched = written(rows.mapInArrow(lambda it: _sketches(it, n, trees, m, 0), "id long, node long, n long, keys array<long>"), "sketches")
     some = sketched.filter("n > 0")
     nodes = written(some.groupBy("node").agg(F.min("id").alias("rep"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("keys").alias("keys")), "nodes")
     cells = nodes.select("node", F.explode("keys").alias("key"))

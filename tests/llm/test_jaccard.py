@@ -110,13 +110,9 @@ def test_components(spark):
     assert got == {k: v for k, v in label.items() if any(k in e and e[0] != e[1] for e in edges)}
 
 
-def test_depth_and_grids():
-    assert J.matched_depth(0.8, 24, 6, 0.99999) == 4 and J.matched_depth(0.8, 1, 6, 0.99) == 1
-    sizes = np.arange(1, 3000)
-    g = J._grids(sizes, 0.8)
-    for k in range(0, 2999, 7):
-        ok = (sizes >= 0.8 * sizes[k]) & (sizes <= sizes[k] / 0.8)
-        assert ((g[ok] == g[k]).any(1)).all()
+def test_depth():
+    assert J.matched_depth(0.8, J.TREES, J.DEPTH, J.RECALL) == 7 and J.matched_depth(0.8, 1, 6, 0.99) == 1
+    assert 1 - (1 - 0.8**7) ** J.TREES >= J.RECALL
 
 
 def test_shingle_sets():
