@@ -20,10 +20,17 @@ def first_per(rows: DataFrame, key: Column | str, *order: Column | str) -> DataF
     return capped(rows, key, 1, *order)
 
 
-def capped(rows: DataFrame, key: Column | str, most: int | Column, *order: Column | str) -> DataFrame:
-    """At most so many rows of each key, in order. A literal limit is pushed below the shuffle as a group limit."""
+def capped(rows: DataFrame, key: Column | str, most: int | Column, *order: Column | str, ceiling: int | None = None) -> DataFrame:
+    """At most so many rows of each key, in order.
+
+    A literal limit is pushed below the shuffle as a group limit, so that a hot key sends few rows; with a limit per key,
+    `ceiling` (the greatest of them) does the same.
+    """
     rank = F.row_number().over(Window.partitionBy(key).orderBy(*order))
-    return rows.withColumn(TAKEN, rank).filter(F.col(TAKEN) <= most).drop(TAKEN)
+    ranked = rows.withColumn(TAKEN, rank)
+    if ceiling is not None:
+        ranked = ranked.filter(F.col(TAKEN) <= ceiling)
+    return ranked.filter(F.col(TAKEN) <= most).drop(TAKEN)
 
 
 def type_targets(total: int, floor: int = 50, weights: dict[str, int] = R.TYPE_WEIGHTS) -> list[tuple[str, int]]:
@@ -35,7 +42,9 @@ def sampled_to_targets(rows: DataFrame, kind: str, total: int, *keys: str, seed:
     """Rows of each type up to its target times oversample, by hash rank; of other types `unknown` rows each."""
     targets = rows.sparkSession.createDataFrame(type_targets(total), f"{kind} string, _target int")
     ranked = rows.join(F.broadcast(targets), kind, "left")  # a row for each of the configured types
-    return capped(ranked, kind, F.coalesce(F.col("_target") * oversample, F.lit(unknown)), hash_rank(*keys, seed=seed), *keys).drop("_target")
+    most = F.coalesce(F.col("_target") * oversample, F.lit(unknown))
+    ceiling = max(unknown, *(n * oversample for _, n in type_targets(total)))
+    return capped(ranked, kind, most, hash_rank(*keys, seed=seed), *keys, ceiling=ceiling).drop("_target")
 
 
 def hash_sample(rows: DataFrame, key: str, percent: int) -> DataFrame:
@@ -43,30 +52,56 @@ def hash_sample(rows: DataFrame, key: str, percent: int) -> DataFrame:
     return rows.filter(F.conv(F.substring(F.md5(F.col(key).cast("string")), 1, 4), 16, 10).cast("bigint") % 100 < percent)
 
 
-def split(rows: DataFrame, *keys: str, share: float = 0.9, seed: str = "42") -> DataFrame:
-    """rows with split "train" or "eval": exactly floor(n * share) train rows by hash rank.
+def _ranked(rows: DataFrame, bucket: Column, order: list[Column | str], kind: str | None = None) -> DataFrame:
+    """rows with _rank from 1 (within kind) and _all (rows of the kind), for a bucket that ascends with the order.
 
-    Exact ranks over all rows are counted from ranks within hash buckets plus the sizes of the buckets before.
+    Ranks within buckets are windows of one bucket each; the sizes of the buckets before are added from a small table.
     """
-    h = hash_rank(*keys, seed=seed)
-    dealt = rows.withColumn("_h", h).withColumn("_b", F.substring("_h", 1, 3))
-    sizes = dealt.groupBy("_b").agg(F.count("*").alias("_n"))
-    before = sizes.select("_b", F.coalesce(F.sum("_n").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"), F.sum("_n").over(Window.partitionBy()).alias("_all"))
-    ranked = dealt.withColumn("_r", F.row_number().over(Window.partitionBy("_b").orderBy("_h", *keys))).join(F.broadcast(before), "_b")  # 4096 buckets
-    train = F.col("_before") + F.col("_r") <= F.floor(F.col("_all") * share)
-    return ranked.withColumn("split", F.when(train, "train").otherwise("eval")).drop("_h", "_b", "_r", "_before", "_all")
+    keys = [kind] if kind else []
+    dealt = rows.withColumn("_b", bucket)
+    sizes = dealt.groupBy(*keys, "_b").agg(F.count("*").alias("_n"))
+    w = Window.partitionBy(*keys)
+    before = sizes.select(*keys, "_b", F.coalesce(F.sum("_n").over(w.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"), F.sum("_n").over(w).alias("_all"))
+    own = dealt.withColumn("_r", F.row_number().over(Window.partitionBy(*keys, "_b").orderBy(*order)))
+    if kind:
+        same = own[kind].eqNullSafe(before[kind]) & (own["_b"] == before["_b"])
+        own = own.join(before, same).drop(before[kind]).drop(before["_b"])
+    else:
+        own = own.join(F.broadcast(before), "_b")  # a row for each of a bounded number of buckets
+    return own.withColumn("_rank", F.col("_before") + F.col("_r")).drop("_b", "_r", "_before")
+
+
+def split(rows: DataFrame, *keys: str, share: float = 0.9, seed: str = "42", kind: str | None = None) -> DataFrame:
+    """rows with split "train" or "eval": exactly floor(n * share) train rows by hash rank; within each kind, if given, and
+    one of each at least. Hash buckets (4096) keep a hot kind from being one task."""
+    hashed = rows.withColumn("_h", hash_rank(*keys, seed=seed))
+    ranked = _ranked(hashed, F.substring("_h", 1, 3), ["_h", *keys], kind)
+    most = F.floor(F.col("_all") * share)
+    train = F.col("_rank") <= (F.greatest(F.lit(1), most) if kind else most)
+    return ranked.withColumn("split", F.when(train, "train").otherwise("eval")).drop("_h", "_rank", "_all")
 
 
 def stratified_split(rows: DataFrame, kind: str, *keys: str, share: float = 0.9, seed: str = "42") -> DataFrame:
-    """As split() within each kind, with one train row at least."""
-    w = Window.partitionBy(kind)
-    rank = F.row_number().over(w.orderBy(hash_rank(*keys, seed=seed), *keys))
-    n = F.count("*").over(w)
-    return rows.withColumn("split", F.when(rank <= F.greatest(F.lit(1), F.floor(n * share)), "train").otherwise("eval"))
+    return split(rows, *keys, share=share, seed=seed, kind=kind)
+
+
+def ordered_ranks(rows: DataFrame, order: str, buckets: int = 256) -> DataFrame:
+    """rows with _rank from 1 in the order of a numeric column, and _all; approximate quantiles cut the range in buckets."""
+    cuts = rows.agg(F.percentile_approx(order, F.array(*(F.lit(i / buckets) for i in range(1, buckets))))).first()[0] or []
+    bucket = F.size(F.filter(F.array(*(F.lit(c) for c in sorted(set(cuts)))), lambda c: c < F.col(order))) if cuts else F.lit(0)
+    return _ranked(rows, bucket, [order])
+
+
+def numbered(rows: DataFrame, order: str, pattern: str = "train_%06d") -> DataFrame:
+    return ordered_ranks(rows, order).withColumn("id", F.format_string(pattern, F.col("_rank") - 1)).drop("_rank", "_all")
 
 
-def numbered(rows: DataFrame, *order: str, pattern: str = "train_%06d") -> DataFrame:
-    return rows.withColumn("id", F.format_string(pattern, F.row_number().over(Window.orderBy(*order)) - 1))
+def chunked(rows: DataFrame, order: str, size: int, chunks: int) -> DataFrame:
+    """rows with batch (of `size` rows) and chunk (of `chunks` nearly equal ones, larger ones first)."""
+    r, small, large = F.col("_rank") - 1, F.floor(F.col("_all") / chunks), F.col("_all") % chunks
+    early = (small + 1) * large
+    chunk = F.when(r < early, F.floor(r / (small + 1))).otherwise(large + F.floor((r - early) / F.greatest(small, F.lit(1)))) + 1
+    return ordered_ranks(rows, order).select(*rows.columns, F.floor(r / size).cast("long").alias("batch"), chunk.cast("long").alias("chunk"))
 
 
 def without(rows: DataFrame, known: DataFrame, key: str) -> DataFrame:

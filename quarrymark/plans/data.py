@@ -52,7 +52,7 @@ _Q = "(VALUES " + ",".join(f"('{k}',{v // 1000})" for k, v in R.TYPE_QUOTAS.item
 @query(f"SELECT schema_type, page_id FROM (SELECT p.*, quota, row_number() OVER (PARTITION BY schema_type ORDER BY page_id) AS r FROM {_P} p JOIN {_Q} USING (schema_type)) WHERE r <= quota")
 def quota_per_type(spark, sf):
     quotas = spark.createDataFrame([(k, v // 1000) for k, v in R.TYPE_QUOTAS.items()], "schema_type string, quota int")
-    return S.capped(pages(spark, sf).join(F.broadcast(quotas), "schema_type"), "schema_type", F.col("quota"), "page_id").select("schema_type", "page_id")
+    return S.capped(pages(spark, sf).join(F.broadcast(quotas), "schema_type"), "schema_type", F.col("quota"), "page_id", ceiling=max(R.TYPE_QUOTAS.values()) // 1000).select("schema_type", "page_id")
 
 
 _T = "(VALUES " + ",".join(f"('{k}',{max(5, 200 * w // 100)})" for k, w in R.TYPE_WEIGHTS.items()) + ") AS q(schema_type, target)"
@@ -62,7 +62,7 @@ _T = "(VALUES " + ",".join(f"('{k}',{max(5, 200 * w // 100)})" for k, w in R.TYP
 def sample_to_targets(spark, sf):
     p = pages(spark, sf).withColumn("key", F.col("page_id").cast("string"))
     targets = spark.createDataFrame(S.type_targets(200, 5), "schema_type string, target int")
-    return S.capped(p.join(F.broadcast(targets), "schema_type"), "schema_type", F.col("target"), S.hash_rank("key"), "page_id").select("schema_type", "page_id")
+    return S.capped(p.join(F.broadcast(targets), "schema_type"), "schema_type", F.col("target"), S.hash_rank("key"), "page_id", ceiling=max(n for _, n in S.type_targets(200, 5))).select("schema_type", "page_id")
 
 
 @query("SELECT doc_id, lang FROM documents WHERE ('0x' || substr(md5(doc_id::VARCHAR),1,4))::INT % 100 < 5")
@@ -85,9 +85,9 @@ def stratified_split(spark, sf):
     return S.stratified_split(t(spark, sf, "documents").select("doc_id", "source", F.col("doc_id").cast("string").alias("key")), "source", "key").select("doc_id", "split")
 
 
-@query("SELECT doc_id, printf('train_%06d', row_number() OVER (ORDER BY doc_id) - 1) AS id FROM documents WHERE doc_id % 10 = 0")
+@query("SELECT doc_id, printf('train_%06d', row_number() OVER (ORDER BY doc_id) - 1) AS id FROM documents")
 def numbered_ids(spark, sf):
-    return S.numbered(t(spark, sf, "documents").filter("doc_id % 10 = 0").select("doc_id"), "doc_id").select("doc_id", "id")
+    return S.numbered(t(spark, sf, "documents").select("doc_id"), "doc_id").select("doc_id", "id")
 
 
 @query("SELECT url, CASE WHEN page_id % 3 = 0 THEN 'a' ELSE 'b' END AS pool FROM pages WHERE page_id % 3 = 0 OR page_id % 2 = 0")
@@ -237,8 +237,7 @@ def rate_limit_window(spark, sf):
 
 @query("SELECT page_id, (row_number() OVER (ORDER BY page_id) - 1) // 100 AS batch, ntile(4) OVER (ORDER BY page_id)::BIGINT AS chunk FROM pages")
 def batch_chunks(spark, sf):
-    w = Window.orderBy("page_id")  # control-plane chunks: one row per page id only
-    return t(spark, sf, "pages").select("page_id").select("page_id", F.floor((F.row_number().over(w) - 1) / 100).cast("long").alias("batch"), F.ntile(4).over(w).cast("long").alias("chunk"))
+    return S.chunked(t(spark, sf, "pages").select("page_id"), "page_id", 100, 4)
 
 
 @query("SELECT url, 200 AS status, CASE WHEN page_id % 2 = 0 THEN 'eng,fra' END AS languages, page_id * 10 AS \"offset\" FROM pages WHERE page_id % 7 <> 0 AND (page_id % 2 = 0 OR page_id % 5 = 0) ")
