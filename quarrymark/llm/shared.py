@@ -20,6 +20,12 @@ def shared_dir(spark: SparkSession) -> str:
     return own
 
 
+def delete_at_exit(spark: SparkSession, path: str) -> None:
+    """Have the driver delete a folder, which is there by now, when it ends."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
@@ -31,6 +37,7 @@ def written(df: DataFrame, name: str, tasks: int | None = None) -> DataFrame:
     """
     path = new_path(df.sparkSession, name)
     (df if tasks is None or tasks >= partitions(df.sparkSession) else df.coalesce(tasks)).write.parquet(path)
+    delete_at_exit(df.sparkSession, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
