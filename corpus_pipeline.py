@@ -9,7 +9,7 @@ from quarrymark.llm.decontaminate import find_leaks
 from quarrymark.llm.jaccard import keep_one
 from quarrymark.llm.mixing import mix_sources
 from quarrymark.llm.secrets import redact
-from quarrymark.llm.shared import new_path
+from quarrymark.llm.shared import delete_at_exit, new_path
 from quarrymark.llm.toxicity import drop_toxic
 
 
@@ -51,5 +51,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         if k + 1 < len(STAGES):
             path = new_path(spark, f"pipeline-{name}")
             docs.write.parquet(path)
+            delete_at_exit(spark, path)
             docs = spark.read.parquet(path)
     return docs
