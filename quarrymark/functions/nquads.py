@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Patterns of a token and of a literal's text.
 TOKEN = r'(<[^>]+>|"(?:[^"\\]|\\.)*"(?:\^\^<[^>]+>|@\w+)?|_:\w+)'
 LITERAL = r'^"((?:[^"\\]|\\.)*)"'
 
