@@ -15,7 +15,7 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import arrays as A
@@ -264,5 +264,5 @@ def keep_one(docs: DataFrame, n: int = SHINGLE, threshold: float = THRESHOLD, tr
 
     named = docs.mapInArrow(name, StructType([*docs.schema.fields, StructField("_node", LongType())]))
     keyed = named.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(_TOP)))
-    kept = keyed.join(first.hint("merge"), ["_id", "_node"], "left_semi").dropDuplicates(["_id", "_node"])
-    return kept.select(*fields).unionByName(keyed.filter("_node = 0").select(*fields))
+    ranked = keyed.join(first.withColumn("_first", F.lit(True)).hint("merge"), ["_id", "_node"], "left").withColumn("_n", F.row_number().over(Window.partitionBy("_id", "_node").orderBy("_id")))
+    return ranked.filter("_node = 0 OR (_first AND _n = 1)").select(*fields)
