@@ -190,8 +190,8 @@ def find_leaks(docs: DataFrame, bench: DataFrame, window: int = WINDOW, block_by
     following = next(parts, None)
     if following is None:
         if keep_rows:
-            return docs.mapInArrow(_keeper(tests, window), docs.schema)
-        return docs.select("doc_id", "text").mapInArrow(_judge(tests, window), "doc_id " + dict(docs.dtypes)["doc_id"] + ", n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean")
+            return docs.mapInArrow(A.tidy(_keeper(tests, window)), docs.schema)
+        return docs.select("doc_id", "text").mapInArrow(A.tidy(_judge(tests, window)), "doc_id " + dict(docs.dtypes)["doc_id"] + ", n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean")
     return _in_blocks(docs, [tests, test_suffixes(*following, window)], parts, window, keep_rows)
 
 
@@ -238,7 +238,7 @@ def longest_matches(docs: DataFrame, bench: DataFrame, window: int = WINDOW, blo
     kind = dict(docs.dtypes)["doc_id"]
     out = None
     for ids, texts in blocks(bench, block_bytes, "item_id", "text"):
-        found = docs.select("doc_id", "text").mapInArrow(_matcher(test_suffixes(ids, texts, window), window), f"item_id string, item_word long, doc_id {kind}, doc_word long, n_words long")
+        found = docs.select("doc_id", "text").mapInArrow(A.tidy(_matcher(test_suffixes(ids, texts, window), window)), f"item_id string, item_word long, doc_id {kind}, doc_word long, n_words long")
         out = found if out is None else out.unionByName(found)
     return out
 
@@ -276,7 +276,7 @@ def _in_blocks(docs: DataFrame, first: list[Tests], parts: Iterator, window: int
                     at = place - w.bounds[row]
                     yield pa.RecordBatch.from_arrays([batch["_row"].take(pa.array(a + row)), pa.array(at), pa.array(at + tests.depth[query]), pa.array([tests.ids[i] for i in tests.item[query]], pa.string())], ["_row", "a", "b", "item"])
 
-        return rows.select("_row", "text").mapInArrow(run, "_row string, a long, b long, item string")
+        return rows.select("_row", "text").mapInArrow(A.tidy(run), "_row string, a long, b long, item string")
 
     found = ranges(first[0]).unionByName(ranges(first[1]))
     for ids, texts in parts:
@@ -297,7 +297,7 @@ def _in_blocks(docs: DataFrame, first: list[Tests], parts: Iterator, window: int
             n = [np.diff(w.bounds) for _, w in shards(batch["text"])]
             yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["_row"], pa.array(np.concatenate(n) if n else np.zeros(0, np.int64), pa.int64())], ["doc_id", "_row", "n_words"])
 
-    counted = rows.select("doc_id", "_row", "text").mapInArrow(count, f"doc_id {dict(docs.dtypes)['doc_id']}, _row string, n_words long")
+    counted = rows.select("doc_id", "_row", "text").mapInArrow(A.tidy(count), f"doc_id {dict(docs.dtypes)['doc_id']}, _row string, n_words long")
     zero = F.lit(0).cast("long")
     return counted.join(merged, "_row", "left").select(
         "doc_id", "n_words", F.coalesce("n_hit", zero).alias("n_hit"), F.coalesce("n_items", zero).alias("n_items"),

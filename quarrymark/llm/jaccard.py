@@ -177,7 +177,7 @@ def _classes(docs: DataFrame, n: int, threshold: float, trees: int, depth: int,
     m = matched_depth(threshold, trees, depth, target)
     ratio = Fraction(threshold).limit_denominator(10_000)
     rows = _rows(docs)
-    sketched = written(rows.mapInArrow(lambda it: _sketches(it, n, trees, m, 0), "id long, node long, n long, keys array<long>"), "sketches")
+    sketched = written(rows.mapInArrow(A.tidy(lambda it: _sketches(it, n, trees, m, 0)), "id long, node long, n long, keys array<long>"), "sketches")
     some = sketched.filter("n > 0")
     nodes = written(some.groupBy("node").agg(F.min("id").alias("rep"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("keys").alias("keys")), "nodes")
     cells = nodes.select("node", F.explode("keys").alias("key"))
@@ -205,7 +205,7 @@ def _classes(docs: DataFrame, n: int, threshold: float, trees: int, depth: int,
                 blobs = pa.array([values[i:j].tobytes() for i, j in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary())
                 yield pa.RecordBatch.from_arrays([*(own[c] for c in ("node", "id", "copies", "comp", "blocks")), blobs], ["node", "id", "copies", "comp", "blocks", "shingles"]).filter(keep)
 
-    loaded = texts.mapInArrow(sets, "node long, id long, copies long, comp long, blocks int, shingles binary")
+    loaded = texts.mapInArrow(A.tidy(sets), "node long, id long, copies long, comp long, blocks int, shingles binary")
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda b: F.struct(F.least(own, b).alias("x"), F.greatest(own, b).alias("y")))
     tasks = loaded.withColumn("block", own).withColumn("pair", F.explode(pairs)).select("*", F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("comp"), F.lit(16 * partitions(spark)))).otherwise(F.xxhash64("comp", "pair.x", "pair.y")).alias("task"), F.col("pair.x").alias("x"), F.col("pair.y").alias("y"))
@@ -232,7 +232,7 @@ def _classes(docs: DataFrame, n: int, threshold: float, trees: int, depth: int,
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_())
         return pa.table({c: pa.array([r[i] for r in out], k) for i, (c, k) in enumerate(zip(("node", "links", "class", "root", "split"), kinds, strict=True))})
 
-    verified = written(tasks.groupBy("task").applyInArrow(verify, "node long, links long, class long, root long, split boolean"), "verified")
+    verified = written(tasks.groupBy("task").applyInArrow(A.tidy(verify), "node long, links long, class long, root long, split boolean"), "verified")
     classes = verified.filter("NOT split").select("node", "links", "class")
     split = verified.filter("split")
     if not split.isEmpty():  # classes that several tasks saw parts of
@@ -262,7 +262,7 @@ def keep_one(docs: DataFrame, n: int = SHINGLE, threshold: float = THRESHOLD, tr
 
     from pyspark.sql.types import LongType, StructField, StructType
 
-    named = docs.mapInArrow(name, StructType([*docs.schema.fields, StructField("_node", LongType())]))
+    named = docs.mapInArrow(A.tidy(name), StructType([*docs.schema.fields, StructField("_node", LongType())]))
     keyed = named.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(_TOP)))
     ranked = keyed.join(first.withColumn("_first", F.lit(True)).hint("merge"), ["_id", "_node"], "left").withColumn("_n", F.row_number().over(Window.partitionBy("_id", "_node").orderBy("_id")))
     return ranked.filter("_node = 0 OR (_first AND _n = 1)").select(*fields)

@@ -90,7 +90,7 @@ def counted(docs: DataFrame, text: str = "text") -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch["doc_id"], *(pa.array(c[:, k]) for k in range(c.shape[1]))], ["doc_id", *COUNTS])
 
     kind = dict(docs.dtypes)["doc_id"]
-    return docs.select("doc_id", F.col(text).alias("text")).mapInArrow(run, f"doc_id {kind}, " + ", ".join(f"{c} long" for c in COUNTS))
+    return docs.select("doc_id", F.col(text).alias("text")).mapInArrow(A.tidy(run), f"doc_id {kind}, " + ", ".join(f"{c} long" for c in COUNTS))
 
 
 def features(c: dict[str, np.ndarray]) -> np.ndarray:
@@ -209,4 +209,4 @@ def judge_quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHO
             yield pa.RecordBatch.from_arrays([batch["doc_id"], *(batch[k] for k in COUNTS[:5]), pa.array(failed), pa.array(kept), scores], ["doc_id", *COUNTS[:5], "base_failed", "kept", "score"])
 
     kind = dict(docs.dtypes)["doc_id"]
-    return counts.mapInArrow(run, f"doc_id {kind}, " + ", ".join(f"{c} long" for c in COUNTS[:5]) + ", base_failed boolean, kept boolean, score double")
+    return counts.mapInArrow(A.tidy(run), f"doc_id {kind}, " + ", ".join(f"{c} long" for c in COUNTS[:5]) + ", base_failed boolean, kept boolean, score double")

@@ -368,10 +368,10 @@ def covered_symbols(docs: DataFrame, unit_of: Callable[[int], Unit], method: Met
         F.col("doc_id").isNull().alias("unknown"), F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).alias("block"),
     )
     by_block = rows.groupBy("block")
-    sent = by_block.applyInArrow(lambda t: send_anchors(t, unit), "bucket int, block long, codes binary")
-    bits = sent.groupBy("bucket").applyInArrow(lambda t: answer_anchors(t, unit), ANSWER)
-    segs = by_block.cogroup(bits.groupBy("block")).applyInArrow(lambda t, a: send_segments(t, a, unit), SEGMENTS)
-    runs = segs.groupBy("bucket").applyInArrow(lambda t: answer_segments(t, unit, method), ANSWER)
+    sent = by_block.applyInArrow(A.tidy(lambda t: send_anchors(t, unit)), "bucket int, block long, codes binary")
+    bits = sent.groupBy("bucket").applyInArrow(A.tidy(lambda t: answer_anchors(t, unit)), ANSWER)
+    segs = by_block.cogroup(bits.groupBy("block")).applyInArrow(A.tidy(lambda t, a: send_segments(t, a, unit)), SEGMENTS)
+    runs = segs.groupBy("bucket").applyInArrow(A.tidy(lambda t: answer_segments(t, unit, method)), ANSWER)
 
     def mark(table: pa.Table, answers: pa.Table) -> pa.Table:
         out = []
@@ -381,7 +381,7 @@ def covered_symbols(docs: DataFrame, unit_of: Callable[[int], Unit], method: Met
                 out.append(finish(table.slice(s.first, len(s.bounds) - 1), s, cover))
         return pa.concat_tables(out) if out else EMPTY(schema)
 
-    return by_block.cogroup(bits.unionByName(runs).groupBy("block")).applyInArrow(mark, schema)
+    return by_block.cogroup(bits.unionByName(runs).groupBy("block")).applyInArrow(A.tidy(mark), schema)
 
 
 def EMPTY(schema: str) -> pa.Table:

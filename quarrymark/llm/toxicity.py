@@ -127,14 +127,14 @@ def fit(docs: DataFrame, labels: DataFrame, grade: Column, split: int = 1, sampl
     n_toxic = sum(r["grade"] > 0 for r in picked)
     base = n_toxic / len(picked)
     z = (F.col("n_toxic") - F.col("n") * base) / F.sqrt(F.col("n") * (base * (1 - base)))
-    table = texts.mapInArrow(gather, "feature long, n long, n_toxic long").groupBy("feature").agg(F.sum("n").alias("n"), F.sum("n_toxic").alias("n_toxic"))
+    table = texts.mapInArrow(A.tidy(gather), "feature long, n long, n_toxic long").groupBy("feature").agg(F.sum("n").alias("n"), F.sum("n_toxic").alias("n_toxic"))
     best = table.filter(F.col("n") >= LEAST).select("feature", z.alias("z")).filter(F.abs("z") >= SIGNAL).orderBy(F.abs("z").desc(), "feature").limit(FEATURES).collect()
     if not best:
         return None
     hashes = np.array([r["feature"] for r in best], np.int64).view(np.uint64)
     order = np.argsort(hashes)
     hashes, zs = hashes[order], np.array([r["z"] for r in best])[order]
-    rows = texts.mapInArrow(_project(hashes), "doc_id long, grade int, n_words long, cols binary, counts binary").orderBy("doc_id", "n_words", "cols", "counts").collect()
+    rows = texts.mapInArrow(A.tidy(_project(hashes)), "doc_id long, grade int, n_words long, cols binary, counts binary").orderBy("doc_id", "n_words", "cols", "counts").collect()
     cols = [np.frombuffer(r["cols"], np.int32) for r in rows]
     counts = [np.frombuffer(r["counts"], np.int32) for r in rows]
     y = np.array([r["grade"] for r in rows])
@@ -216,7 +216,7 @@ def judge_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESH
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(p.sum(1)), pa.array(p[:, 0]), pa.array(grade), pa.array(p[:, 0] >= threshold)], ["doc_id", "expected_severity", "p_toxic", "grade", "toxic"])
 
     kind = dict(docs.dtypes)["doc_id"]
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, expected_severity double, p_toxic double, grade int, toxic boolean")
+    return docs.select("doc_id", "text").mapInArrow(A.tidy(run), f"doc_id {kind}, expected_severity double, p_toxic double, grade int, toxic boolean")
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, sample: int = SAMPLE) -> DataFrame:
@@ -230,4 +230,4 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD,
         for batch in batches:
             yield batch.filter(pa.array(_scores(model, batch, find)[:, 0] < threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(A.tidy(run), docs.schema)
