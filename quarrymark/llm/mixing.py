@@ -1,9 +1,9 @@
 """Mixing sources to target weights by Sainte-Laguë apportionment.
 
-The mix is made of blocks of equally many words. Highest quotients (target / 1, 3, 5, ...) give each source an integer
-quota of blocks, and again each of its shards a quota by the shard's words. Only then are blocks selected: a shard's
-documents stand in a seeded order, whole copies of the shard come first, and a seeded choice of its blocks gives the
-rest. A shard is a hashed share of one source, so that a hot source is many shards; sources (checked) and shards (a few
+Highest quotients (target / 1, 3, 5, ...) give each source an integer quota of words, and again each of its shards a quota
+by the shard's words. Quotas are words, not blocks, as a source or shard may be smaller than a block. Only then are blocks of
+equally many words selected: a shard's documents stand in a seeded order, whole copies of the shard come first, and a seeded
+choice of its blocks, the last one in part, gives the rest. A shard is a hashed share of one source, so that a hot source is many shards; sources (checked) and shards (a few
 for each partition) are all that the driver sees.
 """
 
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from .shared import partitions, written
 
-#: Blocks in the whole mix, at least one word each; more blocks come nearer to the targets.
+#: Blocks in all words, at least one word each; more blocks spread a choice wider, and quotas don't depend on them.
 BLOCKS = 1 << 20
 REPEAT = 3
 MOST_SOURCES = 200_000
@@ -97,28 +97,27 @@ def mix_sources(docs: DataFrame, seed: int = 7, blocks: int = BLOCKS, weights: d
     known = spark.createDataFrame([(i, r["source"], int(r["size"]), float(aims[i]), shards[i]) for i, r in enumerate(by_source)], "src int, source string, source_size long, target double, shards int")
     dealt = sized.join(F.broadcast(known), sized["source"].eqNullSafe(known["source"])).select("doc_id", "size", "source_size", "target", "src", F.pmod(F.xxhash64("doc_id", F.lit(seed)), "shards").cast("int").alias("shard"), F.xxhash64("doc_id", F.lit(seed + 1)).alias("place"))
     found = dealt.groupBy("src", "shard").agg(F.sum("size").alias("size")).collect()  # cells + sources at most
-    quotas = _quotas(found, sizes, aims, block, total)
+    quotas = _quotas(found, sizes, aims)
 
     def select(table: pa.Table) -> pa.Table:
         table = table.sort_by([("place", "ascending"), ("doc_id", "ascending"), ("size", "ascending")])
         src, shard = table["src"][0].as_py(), table["shard"][0].as_py()
-        taken = _take(table["size"].to_numpy(), quotas.get((src, shard), 0) * block, block, (seed, src, shard))
+        taken = _take(table["size"].to_numpy(), quotas.get((src, shard), 0), block, (seed, src, shard))
         return table.select(["doc_id", "size", "source_size", "target"]).append_column("taken", pa.array(taken, pa.int64()))
 
     return dealt.groupBy("src", "shard").applyInArrow(select, f"doc_id {dict(docs.dtypes)['doc_id']}, size long, source_size long, target double, taken long")
 
 
-def _quotas(found: list, sizes: np.ndarray, aims: np.ndarray, block: int, total: int) -> dict[tuple[int, int], int]:
-    """Blocks for each source, then for each of its shards."""
+def _quotas(found: list, sizes: np.ndarray, aims: np.ndarray) -> dict[tuple[int, int], int]:
+    """Words for each source, then for each of its shards."""
     by_src: dict[int, list] = {}
     for r in sorted(found, key=lambda r: (r["src"], r["shard"])):
         by_src.setdefault(r["src"], []).append(r)
-    room = np.array([sum(REPEAT * r["size"] // block for r in by_src.get(i, [])) for i in range(len(sizes))], np.int64)
-    per_source = apportion(aims, round(total / block), room)
+    per_source = apportion(aims, int(sizes.sum()), REPEAT * sizes)
     out = {}
     for i, own in by_src.items():
         words = np.array([r["size"] for r in own], np.int64)
-        for r, q in zip(own, apportion(words, int(per_source[i]), REPEAT * words // block), strict=True):
+        for r, q in zip(own, apportion(words, int(per_source[i]), REPEAT * words), strict=True):
             out[i, r["shard"]] = int(q)
     return out
 

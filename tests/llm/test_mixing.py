@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from quarrymark.llm import mixing as M
 
@@ -56,6 +57,26 @@ def test_mix(spark, blocks):
         assert size == source_size and target <= 3 * size + 1e-6 and abs(taken - target) <= 20 * block
 
 
+def test_sources_smaller_than_a_block(spark):
+    rows = [(i, "big", 600_000_000 + i) for i in range(8)] + [(100 + i, "small", 300 + i) for i in range(5)] + [(200, "tiny", 7)]
+    got = M.mix_sources(spark.createDataFrame(rows, "doc_id long, source string, n long"), size=F.col("n")).collect()
+    total = sum(n for _, _, n in rows)
+    assert total // M.BLOCKS > 3 * 1510  # a block is more than three times the small source
+    size, taken = {d: n for d, _, n in rows}, {x.doc_id: x.taken for x in got}
+    assert all(taken[d] == 3 * size[d] for d in size if d >= 100)
+    assert sum(taken.values()) == total
+
+
+@pytest.mark.parametrize("blocks", [1 << 20, 300, 1])
+def test_taken_is_the_target_at_any_block(spark, blocks):
+    docs = spark.createDataFrame(rows(2), "doc_id long, source string, text string")
+    sums = {}
+    for x in M.mix_sources(docs, blocks=blocks).collect():
+        s = sums.setdefault((x.source_size, x.target), [0])
+        s[0] += x.taken
+    assert all(abs(taken - target) <= 1 for (_, target), (taken,) in sums.items())
+
+
 def test_empty_table(spark):
     assert M.mix_sources(spark.createDataFrame([], "doc_id long, source string, text string")).count() == 0
 
