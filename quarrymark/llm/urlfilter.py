@@ -17,7 +17,7 @@ from .shared import partitions, salted_join, written
 RULES = (("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block"))
 #: Rules up to this number are a constant of the plan; more are joined by host.
 MOST_CONSTANT = 1000
-DAMPING, ROUNDS, CLOSE = 0.85, 20, 1e-6
+DAMPING, CLOSE = 0.85, 1e-6
 #: Blocked where (distrust - trust) / (distrust + trust) is above this.
 THRESHOLD = 0.5
 LINK = r"""(?i)\b(?:href|src)\s*=\s*["']?[a-z][a-z0-9+.-]*://([^/?#"'\s<>]+)"""
@@ -76,11 +76,13 @@ def host_edges(pages: DataFrame) -> DataFrame:
     return pages.select(F.col("host").alias("src"), F.explode(links).alias("dst")).select("src", lower_az(F.col("dst")).alias("dst")).filter("src <> '' AND src <> dst").groupBy("src", "dst").agg(F.count("*").alias("n"))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS, close: float = CLOSE) -> DataFrame:
+def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int | None = None, close: float = CLOSE) -> DataFrame:
     """Personalised PageRank: host and rank, which adds up to 1 (no rows without seeds).
 
-    edges: src, dst, n; seeds: host, weight. A host without links gives its rank back to the seeds. Rounds end when ranks
-    move by less than `close` in all.
+    edges: src, dst, n; seeds: host, weight. A host without links gives its rank back to the seeds, which only scales
+    ranks: they are the seeds' weight carried along paths of every length, over the sum of it. Each round carries it one link
+    on. Rounds end when what longer paths can still add is less than `close` in all and no new host was reached, however
+    long the paths are; with `rounds`, after so many of the plain iteration, or when ranks move by less than `close`.
     """
     spark = edges.sparkSession
     seeds = seeds.filter("host IS NOT NULL AND weight > 0").groupBy("host").agg(F.sum("weight").alias("weight"))
@@ -91,9 +93,26 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, roun
     out = edges.groupBy("src").agg(F.sum("n").alias("total"))
     salts = 2 * partitions(spark)
     shares = written(salted_join(edges, out, "src", F.xxhash64("dst"), salts).select("src", "dst", (F.col("n") / F.col("total")).alias("share")), "shares")
-    rank = seeds.select("host", F.col("seed").alias("rank"))
     if shares.isEmpty():
-        return rank
+        return seeds.select("host", F.col("seed").alias("rank"))
+    if rounds is not None:
+        return _iterated(shares, seeds, damping, rounds, close, salts)
+    state, total, reached = seeds.select("host", F.col("seed").alias("rank"), F.col("seed").alias("carried")), 1.0, True
+    rest = damping / (1 - damping)
+    while reached or rest >= close * total:
+        flow = salted_join(shares, state.filter("carried > 0").select(F.col("host").alias("src"), "carried"), "src", F.xxhash64("dst"), salts).filter("carried IS NOT NULL")
+        given = flow.groupBy(F.col("dst").alias("host")).agg((F.sum(F.col("carried") * F.col("share")) * damping).alias("given"))
+        moved = state.select("host", "rank").join(given, "host", "full")
+        state = written(moved.select("host", (F.coalesce("rank", F.lit(0.0)) + F.coalesce("given", F.lit(0.0))).alias("rank"), F.coalesce("given", F.lit(0.0)).alias("carried"), F.col("rank").isNull().alias("new")), "ranks")
+        added, reached = state.agg(F.sum("carried"), F.max("new")).first()
+        total += added
+        rest = added * damping / (1 - damping)
+    return state.select("host", (F.col("rank") / total).alias("rank"))
+
+
+def _iterated(shares: DataFrame, seeds: DataFrame, damping: float, rounds: int, close: float, salts: int) -> DataFrame:
+    """Ranks after so many rounds from the seeds."""
+    rank = seeds.select("host", F.col("seed").alias("rank"))
     linking = shares.select(F.col("src").alias("host")).distinct()
     for _ in range(rounds):
         flow = salted_join(shares, rank.withColumnRenamed("host", "src"), "src", F.xxhash64("dst"), salts)

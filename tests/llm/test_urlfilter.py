@@ -63,6 +63,28 @@ def test_page_rank_against_dense_iteration(spark):
     assert all(abs(got.get(h, 0) - p[i]) < 1e-6 for i, h in enumerate(hosts))
 
 
+def test_ranks_are_those_of_the_limit(spark):
+    hosts = "abcdef"
+    links = [("a", "b", 2), ("a", "c", 1), ("b", "c", 1), ("c", "a", 3), ("d", "c", 1), ("c", "e", 1)]
+    seeds = {"a": 3.0, "d": 1.0}
+    got = {r.host: r.rank for r in U.propagate(spark.createDataFrame(links, "src string, dst string, n long"), spark.createDataFrame(list(seeds.items()), "host string, weight double"), close=1e-3).collect()}
+    m, s = np.zeros((6, 6)), np.array([seeds.get(h, 0) / 4 for h in hosts])
+    for a, b, n in links:
+        m[hosts.index(b), hosts.index(a)] = n
+    out = m.sum(0)
+    p = s.copy()
+    for _ in range(300):
+        p = 0.15 * s + 0.85 * (m @ (p / np.where(out > 0, out, 1)) + p[out == 0].sum() * s)
+    assert sum(abs(got.get(h, 0) - p[i]) for i, h in enumerate(hosts)) < 2e-3 and abs(sum(got.values()) - 1) < 1e-9
+
+
+def test_ranks_reach_hosts_at_the_end_of_long_paths(spark):
+    links = [(f"h{i}", f"h{i + 1}", 1) for i in range(24)]
+    got = {r.host: r.rank for r in U.propagate(spark.createDataFrame(links, "src string, dst string, n long"), spark.createDataFrame([("h0", 1.0)], "host string, weight double"), close=0.5).collect()}
+    total = sum(0.85**i for i in range(25))
+    assert len(got) == 25 and all(abs(got[f"h{i}"] - 0.85**i / total) < 1e-9 for i in range(25))
+
+
 def test_distrust_reaches_hosts_that_link_to_blocked_ones(spark):
     bad = "".join(f'<a href="http://spam.com/de/{k}">x</a>' for k in range(3))
     rows = [(1, "http://spam.com/de/1", ""), (2, "http://farm.net/", bad), (3, "http://good.org/", '<a href="https://Nice.net/x">y</a><img src=//cdn.net/z>'), (4, "http://nice.net/", None), (5, "http://alone.net/", '<a href="/rel">')]
