@@ -20,7 +20,7 @@ MOST_CONSTANT = 1000
 DAMPING, CLOSE = 0.85, 1e-6
 #: Blocked where (distrust - trust) / (distrust + trust) is above this.
 THRESHOLD = 0.5
-LINK = r"""(?i)\b(?:href|src)\s*=\s*["']?[a-z][a-z0-9+.-]*://([^/?#"'\s<>]+)"""
+LINK = r"""(?i)\b(?:href|src)\s*=\s*["']?(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s<>]+)"""
 
 
 def lower_az(text: Column) -> Column:
@@ -71,8 +71,9 @@ def _joined_rules(urls: DataFrame, rules: DataFrame) -> DataFrame:
 
 
 def host_edges(pages: DataFrame) -> DataFrame:
-    """src, dst, n: links from pages (host, html) to other hosts; relative links stay on their host and don't count."""
-    links = F.when(F.contains(F.col("html"), F.lit("://")), F.regexp_extract_all("html", F.lit(LINK), F.lit(1)))
+    """src, dst, n: links from pages (host, html) to other hosts, with a scheme or from // on; other relative links stay on their host and
+    don't count."""
+    links = F.when(F.contains(F.col("html"), F.lit("//")), F.regexp_extract_all("html", F.lit(LINK), F.lit(1)))
     return pages.select(F.col("host").alias("src"), F.explode(links).alias("dst")).select("src", lower_az(F.col("dst")).alias("dst")).filter("src <> '' AND src <> dst").groupBy("src", "dst").agg(F.count("*").alias("n"))
 
 

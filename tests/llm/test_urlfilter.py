@@ -85,6 +85,13 @@ def test_ranks_reach_hosts_at_the_end_of_long_paths(spark):
     assert len(got) == 25 and all(abs(got[f"h{i}"] - 0.85**i / total) < 1e-9 for i in range(25))
 
 
+def test_links_without_a_scheme_are_edges(spark):
+    html = """<a href="//Other.net/x"> <img src=//cdn.net/z> <a href='https://b.org'> <a href="/a//b.net/"> <a href="x//c.net"> <a href="//own.org/">"""
+    pages = spark.createDataFrame([("own.org", html), ("p.org", '<a href="//q.net">'), ("n.org", None)], "host string, html string")
+    got = sorted(map(tuple, U.host_edges(pages).collect()))
+    assert got == [("own.org", "b.org", 1), ("own.org", "cdn.net", 1), ("own.org", "other.net", 1), ("p.org", "q.net", 1)]
+
+
 def test_distrust_reaches_hosts_that_link_to_blocked_ones(spark):
     bad = "".join(f'<a href="http://spam.com/de/{k}">x</a>' for k in range(3))
     rows = [(1, "http://spam.com/de/1", ""), (2, "http://farm.net/", bad), (3, "http://good.org/", '<a href="https://Nice.net/x">y</a><img src=//cdn.net/z>'), (4, "http://nice.net/", None), (5, "http://alone.net/", '<a href="/rel">')]
