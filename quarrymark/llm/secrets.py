@@ -37,11 +37,14 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def running_sums(lengths: Column, width: int = 64) -> Column:
-    """Inclusive running sums of an array of longs; arrays are only extended within a chunk and chunk by chunk."""
+def running_sums(lengths: Column, width: int = 64, add: Callable[[Column, Column], Column] = lambda x, y: x + y) -> Column:
+    """Inclusive running sums of an array of longs; arrays are only extended within a chunk and chunk by chunk.
+
+    add: what else to run instead of sums, from 0 on.
+    """
 
     def grow(acc: Column, x: Column) -> Column:
-        return F.struct((acc["s"] + x).alias("s"), F.concat(acc["a"], F.array(acc["s"] + x)).alias("a"))
+        return F.struct(add(acc["s"], x).alias("s"), F.concat(acc["a"], F.array(add(acc["s"], x))).alias("a"))
 
     none = F.struct(F.lit(0).cast("long").alias("s"), F.array().cast("array<bigint>").alias("a"))
 
@@ -49,8 +52,8 @@ def running_sums(lengths: Column, width: int = 64) -> Column:
         return F.transform(F.sequence(F.lit(0), F.floor((F.size(n) - 1) / width).cast("int")), lambda c: F.aggregate(F.slice(n, c * width + 1, F.lit(width)), none, grow, lambda acc: acc["a"]))
 
     def joined(chunks: Column) -> Column:
-        before = F.aggregate(chunks, none, lambda acc, ch: F.struct((acc["s"] + F.element_at(ch, -1)).alias("s"), F.concat(acc["a"], F.array(acc["s"])).alias("a")), lambda acc: acc["a"])
-        return F.flatten(F.zip_with(chunks, before, lambda ch, b: F.transform(ch, lambda x: x + b)))
+        before = F.aggregate(chunks, none, lambda acc, ch: F.struct(add(acc["s"], F.element_at(ch, -1)).alias("s"), F.concat(acc["a"], F.array(acc["s"])).alias("a")), lambda acc: acc["a"])
+        return F.flatten(F.zip_with(chunks, before, lambda ch, b: F.transform(ch, lambda x: add(x, b))))
 
     return F.when(F.size(lengths) == 0, F.array().cast("array<bigint>")).otherwise(let(let(lengths, chunked), joined))
 
@@ -168,18 +171,55 @@ def scan_secrets(docs: DataFrame, models: dict[str, list[float]] | None = None,
     )
 
 
+def masked_spans(text: Column, spans: Column, mask: str, width: int = 64) -> Column:
+    """text with a mask for each stretch of overlapping spans (structs of a and b); pieces are cut from chunks of the text."""
+
+    def cut(v: Column) -> Column:
+        n = F.size(v["own"])
+
+        def chunk(c: Column) -> Column:
+            own, lo = F.slice(v["own"], c * width + 1, F.lit(width)), F.slice(v["lo"], c * width + 1, F.lit(width))
+            first, last = F.element_at(lo, 1), F.element_at(own, -1)["a"]
+            piece = F.struct(own.alias("own"), lo.alias("lo"), first.alias("first"), text.substr((first + 1).cast("int"), F.greatest(last - first, F.lit(0)).cast("int")).alias("part"))
+            return let(piece, lambda p: F.array_join(F.zip_with(p["own"], p["lo"], lambda s, m: F.when(s["a"] >= m, F.concat(p["part"].substr((m - p["first"] + 1).cast("int"), (s["a"] - m).cast("int")), F.lit(mask))).otherwise("")), ""))
+
+        chunks = F.transform(F.sequence(F.lit(0), F.floor((n - 1) / width).cast("int")), chunk)
+        return F.concat(F.array_join(chunks, ""), text.substr((v["end"] + 1).cast("int"), F.length(text)))
+
+    def ends(own: Column) -> Column:
+        most = running_sums(F.transform(own, lambda s: s["b"]), width, F.greatest)
+        return let(F.struct(own.alias("own"), most.alias("most")), lambda v: let(F.struct(v["own"].alias("own"), F.concat(F.array(F.lit(0).cast("long")), F.slice(v["most"], F.lit(1), F.size(v["most"]) - 1)).alias("lo"), F.element_at(v["most"], -1).alias("end")), cut))
+
+    return let(F.array_sort(spans), lambda own: F.when(F.size(own) == 0, text).otherwise(ends(own)))
+
+
 def redact(docs: DataFrame, models: dict[str, list[float]] | None = None, margin: float = MARGIN, mask: str = "[secret]") -> DataFrame:
-    """docs, all columns, with each secret of its text replaced: an assignment keeps its name, and loses its value."""
+    """docs, all columns, with each secret of its text replaced: an assignment keeps its name, and loses its value.
+
+    All spans of scan_secrets() are found in the original text and masked in one pass, and with them values of six characters
+    that follow a shorter one. Tokens that are left between masks are judged again.
+    """
     models = train_models(labelled_samples(docs.sparkSession)) if models is None else models
     text = F.col("text")
     marked = text.contains("=") | text.contains(":")
-    value = ASSIGN.replace("([A-Za-z0-9+/_.=-]+)", "[A-Za-z0-9+/_.=-]{6,}")
-    named = F.when(marked, F.regexp_replace(text, "(" + value.replace("[A-Za-z0-9+/_.=-]{6,}", ")(?:[A-Za-z0-9+/_.=-]{6,})"), "$1" + mask.replace("$", "\\$"))).otherwise(text)
-    keyed = F.regexp_replace(F.regexp_replace(named, ACCESS, mask), HEX, mask)
+    long = ASSIGN.replace("([A-Za-z0-9+/_.=-]+)", "([A-Za-z0-9+/_.=-]{6,})")
+
+    def values(pattern: str) -> Column:
+        own = F.transform(places(text, pattern, 0, marked), lambda s: F.struct((s["b"] - F.length(F.regexp_extract(s["hit"], pattern, 2))).alias("a"), s["b"].alias("b")))
+        return F.filter(own, lambda s: s["b"] - s["a"] >= 6)
+
+    def bounds(found: Column) -> Column:
+        return F.transform(found, lambda s: F.struct(s["a"].alias("a"), s["b"].alias("b")))
+
+    token = F.filter(places(text, TOKEN, 3), lambda s: log_ratio(s["hit"], models) >= margin)
+    spans = F.concat(values(ASSIGN), values(long), bounds(places(text, ACCESS, 1, text.contains("AKIA"))), bounds(places(text, HEX, 2)), bounds(token))
 
     def masked(v: Column) -> Column:
         hits = F.transform(v["hits"], lambda h: F.when(log_ratio(h, models) >= margin, F.lit(mask)).otherwise(h))
         return F.array_join(F.zip_with(v["gaps"], F.concat(hits, F.array(F.lit(""))), lambda g, h: F.concat(g, h)), "")
 
-    rest = F.when(keyed.rlike(TOKEN), let(F.struct(F.split(keyed, TOKEN, -1).alias("gaps"), F.regexp_extract_all(keyed, F.lit(TOKEN), F.lit(0)).alias("hits")), masked)).otherwise(keyed)
-    return docs.withColumn("text", rest)
+    def rest(once: Column) -> Column:
+        again = (once != text) & once.rlike(TOKEN)
+        return F.when(again, let(F.struct(F.split(once, TOKEN, -1).alias("gaps"), F.regexp_extract_all(once, F.lit(TOKEN), F.lit(0)).alias("hits")), masked)).otherwise(once)
+
+    return docs.withColumn("text", let(masked_spans(text, spans, mask), rest))

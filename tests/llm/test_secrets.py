@@ -73,6 +73,29 @@ def test_span_positions_and_redaction(spark, models):
     assert S.train_models(docs.selectExpr("'ordinary' AS kind", "text").filter("false")) == {}
 
 
+def test_redaction_masks_all_spans(spark, models):
+    r = random.Random(4)
+    alphabet = S.ALPHABET[:62]
+    out = ["sk-live_" + "".join(r.choices("0123456789abcdef", k=24)) + "XYZ9" for _ in range(3)] + ["token=token:secret: abcdefgh", " ".join(f"{i:024x}" for i in range(300)), "é𝄞 token=" + "".join(r.choices(alphabet, k=30)) + ".abc end"]
+    out += [t for t in texts(2) if t] + ["é " + "-".join("".join(r.choices(alphabet if k % 2 else "0123456789abcdef", k=24)) for k in range(3)) + " z"]
+    docs = spark.createDataFrame(list(enumerate(out)), "doc_id long, text string")
+    spans = {x.doc_id: x.spans for x in S.scan_secrets(docs, models).collect()}
+    got = {x.doc_id: x.text for x in S.redact(docs, models).collect()}
+    assert all("[secret]" == got[i] for i in range(3) if spans[i].startswith("markov:0:"))
+    assert any(spans[i].startswith("markov:0:") for i in range(3))
+    assert got[4] == " ".join(["[secret]"] * 300) and got[5] == "é𝄞 token=[secret] end"
+    for i, t in enumerate(out):
+        hidden = [False] * len(t)
+        for kind, a, b in (s.split(":") for s in spans[i].split(",") if s):
+            a, b = int(a), int(b)
+            a = b - len(ASSIGN.fullmatch(t[a:b])[2]) if kind == "assign" else a
+            hidden[a:b] = [True] * (b - a)
+        left = "".join(" " if h else c for c, h in zip(t, hidden, strict=True)).split(" ")
+        at = 0
+        for piece in got[i].split("[secret]"):  # what is left stands in the unmasked text, in order
+            at = "\0".join(left).replace("\0", " ").index(piece, at) + len(piece)
+
+
 def test_very_many_matches(spark, models):
     rows = [(1, " ".join(f"{i:024x}" for i in range(5000)))]
     got = S.scan_secrets(spark.createDataFrame(rows, "doc_id long, text string"), models).collect()[0]
