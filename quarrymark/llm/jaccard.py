@@ -1,9 +1,9 @@
-"""N-gram Jaccard join by a MinHash LSH forest, with exact verification.
+"""N-gram Jaccard join by MinHash LSH banding, with exact verification.
 
-Texts with equal sets of word shingles are one node from the start. A node's signature is cut into trees; in each tree,
-signatures sorted by prefix are a trie, and nodes below one prefix are candidates. Matched prefixes start at full depth
-and are shortened until the recall expected at the threshold reaches the target; they stay long enough for texts that only
-share a common line or passage not to meet. Nodes below one prefix are linked to the least of them only, never as pairs;
+Texts with equal sets of word shingles are one node from the start. A node's signature is cut into trees, all
+matched at one depth: the prefix of each is hashed to one key, and nodes with equal keys are candidates. The depth is the
+greatest whose recall expected at the threshold reaches the target, and follows from the parameters alone; it is large enough
+for texts that only share a common line or passage not to meet. Nodes below one prefix are linked to the least of them only, never as pairs;
 what is connected forms components, whose shingle sets meet in one task (or, beyond SET_LIMIT shingles, in one task
 per pair of blocks), where every pair that shares a shingle is compared exactly and only counted.
 """
