@@ -116,6 +116,12 @@ def range_hash(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarr
     return mix((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64))
 
 
+def even_hash(sums: np.ndarray, n: int) -> np.ndarray:
+    """Hash of every n consecutive bytes, unmixed, from running sums."""
+    m = max(0, len(sums) - n)
+    return (sums[n : n + m] - sums[:m]) * _powers(len(sums))[1][:m]
+
+
 def gram_hash(values: np.ndarray, n: int) -> np.ndarray:
     """Hash of every n consecutive values."""
     if len(values) < n:
@@ -169,6 +175,12 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return range_hash(prefix_hash(data), starts, ends)
 
 
+def eight_bytes(data: np.ndarray, kind: str = "<u8") -> np.ndarray:
+    """The eight bytes from each place on as one number, zeros past the end."""
+    padded = np.concatenate((data, np.zeros(8, np.uint8)))
+    return np.ndarray((len(data) + 1,), kind, padded.data, strides=(1,))
+
+
 def row_of(bounds: np.ndarray) -> np.ndarray:
     """For n + 1 bounds the row of each item."""
     return np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
@@ -185,7 +197,5 @@ def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 def covered(n: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Which of n places lie in one of the ranges."""
-    d = np.zeros(n + 1, np.int32)
-    np.add.at(d, starts, 1)
-    np.add.at(d, ends, -1)
+    d = np.bincount(starts, minlength=n + 1) - np.bincount(ends, minlength=n + 1)
     return np.cumsum(d[:-1]) > 0

@@ -1,20 +1,20 @@
 """Strings of L symbols that also start in a document with a smaller id: the routing both substring operators share.
 
-Rows are dealt into "blocks" by a hash of their id. Every window of L symbols has an anchor: the least hash among
+Rows are dealt into "blocks" by a hash of their id and text. Every window of L symbols has an anchor: the least hash among
 its grams of G symbols, the same wherever the window stands. Then:
 
 1. each block sends the 6-byte codes of its distinct anchors to buckets, which answer with one bit each: is the
    anchor in another document too? (A second bit marks anchors in very many blocks.)
 2. Neighbouring windows with the same shared anchor form one segment of text. Each block sends its distinct segments,
    with the least and the greatest document id, to the anchor's bucket. Equal windows thus meet in one bucket; windows
-   of very frequent anchors are dealt on by their greatest gram hash, so that no bucket grows with a common phrase.
+   of very frequent anchors are dealt on by their greatest gram hash, so that no bucket grows with a common phrase. Where
+   the segments stand in the block is noted in the same pass and carried along to step 4.
 3. The bucket groups equal windows exactly, by the caller's method on the text itself, and sends back, for each
    segment, runs of windows with a smaller id than the block's greatest.
-4. Each block marks the covered symbols of its documents.
+4. Each block marks the covered symbols of its documents, from the notes of step 2; it hashes nothing again.
 
 Codes only choose what is compared: a collision costs time, never a wrong row. No group is larger than a block, or
-one entry for each block, and nothing but the total of bytes reaches the driver. Blocks are computed again in each
-step, from one exchange of the texts, and always in the same order.
+one entry for each block, and nothing but the total of bytes reaches the driver. A block is always read in the same order.
 """
 
 from __future__ import annotations
@@ -28,14 +28,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import arrays as A
-from .shared import partitions, text_bytes
+from .shared import partitions, text_bytes, whole_ids
 
 BLOCK_BYTES = 4 << 20
 #: An anchor in more blocks than this is dealt on by a second key.
 HOT_BLOCKS = 2000
 #: Bytes of segments that are grouped at a time in a bucket.
-GROUP_BYTES = 3 << 20
+GROUP_BYTES = 1 << 20
 _TOP = np.iinfo(np.int64).max
+_CODEC = "zstd"
+_ROW_BITS = 17
 
 
 @dataclass(frozen=True)
@@ -50,18 +52,26 @@ class Unit:
 
 
 @dataclass
-class Slice:
-    """Some of a block's rows: symbol i is buf[sym[i]:sym[i + 1]] (with the space behind a word)."""
+class Text:
+    """A block's text: symbol i is buf[at(i):at(i + 1)] (with the space behind a word); bounds: each row's first symbol (n + 1)."""
 
-    first: int
     buf: np.ndarray
-    sym: np.ndarray
+    sym: np.ndarray | None
     bounds: np.ndarray
-    grams: np.ndarray
-    low: np.ndarray
-    run_at: np.ndarray
-    run_n: np.ndarray
-    run_row: np.ndarray
+
+    def at(self, symbol: np.ndarray) -> np.ndarray:
+        return symbol if self.sym is None else self.sym[symbol]
+
+
+@dataclass
+class Runs:
+    """Neighbouring windows with one anchor: first symbol, windows, row, anchor, and hash of the run's text."""
+
+    at: np.ndarray
+    n: np.ndarray
+    row: np.ndarray
+    anchor: np.ndarray
+    text: np.ndarray
 
 
 def normal_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -76,70 +86,115 @@ def normal_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     return buf, sym, bounds
 
 
-def sliced(texts: pa.ChunkedArray, unit: Unit) -> Iterator[Slice]:
-    data, offsets = A.text_arrays(texts)
-    for a, b in A.slices(offsets):
-        part, offs = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
-        if unit.words:
-            buf, sym, bounds = normal_words(part, offs)
-            grams = A.gram_hash(A.word_hashes(buf, sym[:-1], sym[1:]), unit.gram)
-        else:
-            buf, sym, bounds = part, np.arange(len(part) + 1), offs
-            at = np.arange(max(0, len(part) - unit.gram + 1))
-            grams = A.range_hash(A.prefix_hash(part), at, at + unit.gram)
-        low = A.window_min(grams, unit.length - unit.gram + 1)
-        rows = np.flatnonzero(np.diff(bounds) >= unit.length)
-        n = np.diff(bounds)[rows] - unit.length + 1
-        fresh = np.ones(len(low) + 1, bool)
-        fresh[1:-1] = low[1:] != low[:-1]
-        fresh[bounds[rows]] = True
-        fresh[bounds[rows] + n] = True
-        ends = np.flatnonzero(fresh)
-        at = ends[:-1][A.covered(len(low), bounds[rows], bounds[rows] + n)[ends[:-1]]] if len(low) else ends[:0]
-        run_n = ends[np.searchsorted(ends, at) + 1] - at if len(at) else at
-        yield Slice(a, buf, sym, bounds, grams, low, at, run_n, np.searchsorted(bounds, at, "right") - 1)
-
-
-def bucket_of(anchors: np.ndarray, unit: Unit) -> np.ndarray:
-    return (A.mix(anchors ^ np.uint64(0xA5A5)) % np.uint64(unit.buckets)).astype(np.int32)
-
-
 def ordered(table: pa.Table) -> pa.Table:
     """The rows of a block in an order that only depends on them."""
     return table.sort_by([("doc_id", "ascending"), ("text", "ascending")])
 
 
-def distinct_anchors(table: pa.Table, unit: Unit) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The block's distinct anchors by bucket: bucket, hash, 6-byte code with the flag "in two rows", and bucket bounds."""
-    hashes, rows = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-    for s in sliced(table["text"], unit):
-        h, r = s.low[s.run_at], s.run_row + s.first
-        o = np.lexsort((r, h))
-        h, r = h[o], r[o]
-        keep = np.ones(len(h), bool)
-        keep[1:] = (h[1:] != h[:-1]) | (r[1:] != r[:-1])
-        hashes.append(h[keep])
-        rows.append(r[keep])
-    h = np.concatenate(hashes)
-    bucket = bucket_of(h, unit)
-    o = np.lexsort((h, bucket))
-    h, bucket = h[o], bucket[o]
-    first = np.ones(len(h), bool)
-    first[1:] = h[1:] != h[:-1]
-    at = np.flatnonzero(first)
-    twice = np.diff(np.append(at, len(h))) > 1
-    h, bucket = h[at], bucket[at]
-    code = (h << np.uint64(17) >> np.uint64(16)) | twice.astype(np.uint64)
-    cuts = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1]))) if len(h) else np.zeros(0, np.int64)
-    return bucket, h, code, np.append(cuts, len(h))
+def block_text(table: pa.Table, unit: Unit) -> Text:
+    data, offsets = A.text_arrays(table["text"])
+    return Text(*normal_words(data, offsets)) if unit.words else Text(data, None, offsets)
+
+
+def _grams(text: Text, a: int, b: int, unit: Unit) -> tuple[np.ndarray, np.ndarray]:
+    """Of rows a to b: running hashes of the bytes, and a hash for every gram."""
+    first, last = text.bounds[a], text.bounds[b]
+    own = text.buf[text.at(first) : text.at(last)]
+    sums = A.prefix_hash(own)
+    if unit.words:
+        sym = text.sym[first : last + 1] - text.sym[first]
+        return sums, A.gram_hash(A.range_hash(sums, sym[:-1], sym[1:]), unit.gram)
+    return sums, A.even_hash(sums, unit.gram)
+
+
+def runs_of(text: Text, a: int, b: int, unit: Unit, fine: bool = False) -> Runs:
+    """The runs of rows a to b; if fine, a run for each window's pair of anchor and greatest hash instead."""
+    sums, grams = _grams(text, a, b, unit)
+    span = unit.length - unit.gram + 1
+    low = A.window_min(grams, span)
+    base = text.bounds[a]
+    bounds = text.bounds[a : b + 1] - base
+    own = np.flatnonzero(np.diff(bounds) >= unit.length)
+    start, n = bounds[own], np.diff(bounds)[own] - unit.length + 1
+    fresh = np.ones(len(low) + 1, bool)
+    fresh[1:-1] = low[1:] != low[:-1]
+    if fine:
+        high = A.window_min(~grams, span)
+        fresh[1:-1] |= high[1:] != high[:-1]
+    fresh[start] = True
+    fresh[start + n] = True
+    ends = np.flatnonzero(fresh)
+    at = ends[:-1]
+    of = np.searchsorted(start, at, "right") - 1
+    inside = (of >= 0) & (at < (start + n)[of]) if len(own) else np.zeros(len(at), bool)
+    at, row, n = at[inside], own[of[inside]], np.diff(ends)[inside]
+    anchor = low[at]
+    if fine:
+        anchor = np.stack((anchor, ~high[at]))
+    zero = text.at(base)
+    x, y = text.at(at + base) - zero, text.at(at + n + unit.length - 1 + base) - unit.words - zero
+    return Runs(at + base, n, row + a, anchor, A.range_hash(sums, x, y))
+
+
+def code_of(anchors: np.ndarray) -> np.ndarray:
+    """47 bits that tell anchors apart nearly always, evenly spread."""
+    return A.mix(anchors ^ np.uint64(0xA5A5)) >> np.uint64(17)
+
+
+def bucket_of(codes: np.ndarray, unit: Unit) -> np.ndarray:
+    """Buckets ascend with codes."""
+    return (((codes >> np.uint64(15)) * np.uint64(unit.buckets)) >> np.uint64(32)).astype(np.int32)
+
+
+def scanned(table: pa.Table, unit: Unit) -> tuple[Text, list[Runs], np.ndarray, np.ndarray]:
+    """A block's text and runs, its distinct codes (ascending), and which of them two rows have."""
+    text = block_text(table, unit)
+    found, codes = [], [np.zeros(0, np.uint64)]
+    one, bits = np.uint64(1), np.uint64(_ROW_BITS)
+    for a, b in A.slices(text.at(text.bounds)):
+        r = runs_of(text, a, b, unit)
+        found.append(r)
+        c, row = code_of(r.anchor), r.row - a
+        if b - a <= 1 << _ROW_BITS:
+            pair = np.sort((c << bits) | row.astype(np.uint64))
+            pair = pair[np.concatenate(([True], pair[1:] != pair[:-1]))] if len(pair) else pair
+            c = pair >> bits
+        else:  # very many short rows
+            o = np.lexsort((row, c))
+            c, row = c[o], row[o]
+            c = c[np.concatenate(([True], (c[1:] != c[:-1]) | (row[1:] != row[:-1])))] if len(c) else c
+        first = np.flatnonzero(np.concatenate(([True], c[1:] != c[:-1]))) if len(c) else np.zeros(0, np.int64)
+        codes.append((c[first] << one) | (np.diff(np.append(first, len(c))) > 1).astype(np.uint64))
+    every = np.sort(np.concatenate(codes))
+    c = every >> one
+    first = np.flatnonzero(np.concatenate(([True], c[1:] != c[:-1]))) if len(c) else np.zeros(0, np.int64)
+    last = np.append(first[1:], len(c)) - 1
+    return text, found, c[first], (last > first) | ((every[last] & one) > 0)
+
+
+def cuts_of(keys: np.ndarray) -> np.ndarray:
+    """Where runs of equal keys begin, and their end."""
+    return np.append(np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))), len(keys)) if len(keys) else np.zeros(1, np.int64)
 
 
 def send_anchors(table: pa.Table, unit: Unit) -> pa.Table:
     key = table["block"][0].as_py()
-    bucket, _, code, cuts = distinct_anchors(ordered(table), unit)
-    raw = code.view(np.uint8).reshape(-1, 8)[:, :6]
-    out = [(int(bucket[a]), key, raw[a:b].tobytes()) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-    return pa.table({"bucket": pa.array([x[0] for x in out], pa.int32()), "block": pa.array([x[1] for x in out], pa.int64()), "codes": pa.array([x[2] for x in out], pa.binary())})
+    _, _, code, twice = scanned(ordered(table), unit)
+    bucket = bucket_of(code, unit)
+    raw = ((code << np.uint64(1)) | twice.astype(np.uint64)).view(np.uint8).reshape(-1, 8)[:, :6]
+    cuts = cuts_of(bucket)
+    own = [raw[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+    return pa.table({"bucket": pa.array(bucket[cuts[:-1]], pa.int32()), "block": pa.array(np.full(len(own), key, np.int64)), "codes": pa.array(own, pa.binary())})
+
+
+ANSWER = "block long, bucket int, kind tinyint, bits binary, segs binary, froms binary, tos binary, ids binary"
+SHARED, COVERED, PLACES = 0, 1, 2
+
+
+def answers(kind: int, block: pa.Array, bucket: pa.Array, **blobs: list) -> pa.Table:
+    n = len(block)
+    cols = {c: pa.array(blobs[c], pa.binary()) if c in blobs else pa.nulls(n, pa.binary()) for c in ("bits", "segs", "froms", "tos", "ids")}
+    return pa.table({"block": block, "bucket": bucket, "kind": pa.array(np.full(n, kind, np.int8)), **cols})
 
 
 def answer_anchors(table: pa.Table, unit: Unit) -> pa.Table:
@@ -149,43 +204,63 @@ def answer_anchors(table: pa.Table, unit: Unit) -> pa.Table:
     code = wide.view(np.uint64)[:, 0]
     o = np.argsort(code >> np.uint64(1), kind="stable")
     c = code[o]
-    first = np.ones(len(c), bool)
-    first[1:] = (c[1:] >> np.uint64(1)) != (c[:-1] >> np.uint64(1))
-    at = np.flatnonzero(first)
-    n = np.diff(np.append(at, len(c)))
+    at = cuts_of(c >> np.uint64(1))
+    n, at = np.diff(at), at[:-1]
     flag = np.maximum.reduceat(c & np.uint64(1), at) if len(at) else c
     shared, hot = np.zeros(len(c), bool), np.zeros(len(c), bool)
     shared[o] = np.repeat((n > 1) | (flag > 0), n)
     hot[o] = np.repeat(n > unit.hot, n)
     ends = offsets // 6
     bits = [np.packbits(shared[a:b]).tobytes() + np.packbits(hot[a:b]).tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)]
-    n = len(table)
-    return pa.table({"block": table["block"], "bucket": table["bucket"], "kind": pa.array(np.zeros(n, np.int8)), "bits": pa.array(bits, pa.binary()), "segs": pa.nulls(n, pa.binary()), "froms": pa.nulls(n, pa.binary()), "tos": pa.nulls(n, pa.binary()), "ids": pa.nulls(n, pa.binary())})
-
-
-ANSWER = "block long, bucket int, kind tinyint, bits binary, segs binary, froms binary, tos binary, ids binary"
-
-
-def equal_groups(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A number for each range, the same for equal bytes only, and a range that has each number. Ranges ascend."""
-    n = len(starts)
-    h = np.zeros(n, np.uint64)
-    for a, b in A.slices(np.append(starts, ends[-1]) if n else np.zeros(1, np.int64)):
-        base, top = starts[a], ends[a:b].max()
-        h[a:b] = A.range_hash(A.prefix_hash(buf[base:top]), starts[a:b] - base, ends[a:b] - base)
-    o = np.argsort(h, kind="stable")
+    return answers(SHARED, table["block"], table["bucket"], bits=bits)
+
+
+#: Ranges of 8 to so many bytes are compared eight bytes at a time.
+SHORT = 1024
+
+
+def equal_groups(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """A number for each range, the same for equal bytes only, and a range that has each number. Without hashes, ranges ascend."""
+    n, h = len(starts), hashes
+    if not n:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    lens = ends - starts
+    short = (lens >= 8) & (lens <= SHORT)
+    if 0 < (m := int(short.sum())) < n:
+        some, others = np.flatnonzero(short), np.flatnonzero(~short)
+        (x, p), (y, q) = (equal_groups(buf, starts[k], ends[k], None if h is None else h[k]) for k in (some, others))
+        group = np.empty(n, np.int64)
+        group[some], group[others] = x, y + len(p)
+        return group, np.concatenate((some[p], others[q]))
+    short = m == n
+    eight = A.eight_bytes(buf) if short else buf
+    if h is None and short:
+        h = lens.astype(np.uint64)
+        for k, at in _eights(starts, lens):
+            h[k] = (h[k] ^ eight[at]) * np.uint64(0x9E3779B97F4A7C15)
+            h[k] ^= h[k] >> np.uint64(29)
+    elif h is None:
+        h = np.zeros(n, np.uint64)
+        for a, b in A.slices(np.append(starts, ends[-1])):
+            base, top = starts[a], ends[a:b].max()
+            h[a:b] = A.range_hash(A.prefix_hash(buf[base:top]), starts[a:b] - base, ends[a:b] - base)
+    o = np.argsort(h)
     first = np.ones(n, bool)
     first[1:] = h[o][1:] != h[o][:-1]
     group = np.zeros(n, np.int64)
     group[o] = np.cumsum(first) - 1
     rep = o[first]
-    lens, other = ends - starts, rep[group]
+    other = rep[group]
     same = lens == lens[other]
     check = np.flatnonzero(same & (other != np.arange(n)) & (lens > 0))
-    for a, b in A.slices(np.concatenate(([0], np.cumsum(lens[check])))):
-        c = check[a:b]
-        equal = buf[A.ranges(starts[c], lens[c])] == buf[A.ranges(starts[other[c]], lens[c])]
-        same[c] = np.logical_and.reduceat(equal, np.concatenate(([0], np.cumsum(lens[c])[:-1])))
+    if short:
+        for k, at in _eights(starts[check], lens[check]):
+            same[check[k]] &= eight[at] == eight[at - starts[check[k]] + starts[other[check[k]]]]
+    else:
+        for a, b in A.slices(np.concatenate(([0], np.cumsum(lens[check])))):
+            c = check[a:b]
+            equal = buf[A.ranges(starts[c], lens[c])] == buf[A.ranges(starts[other[c]], lens[c])]
+            same[c] = np.logical_and.reduceat(equal, np.concatenate(([0], np.cumsum(lens[c])[:-1])))
     if not same.all():  # a collision of hashes: the bytes themselves decide
         numbers: dict[bytes, int] = {}
         group = np.array([numbers.setdefault(buf[a:b].tobytes(), len(numbers)) for a, b in zip(starts, ends, strict=True)], np.int64)
@@ -193,107 +268,110 @@ def equal_groups(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple
     return group, rep
 
 
-@dataclass
-class Segments:
-    """The block's distinct shared segments, by bucket, and where they occur (slice, row, first symbol, segment)."""
+def _eights(starts: np.ndarray, lens: np.ndarray) -> Iterator[tuple[np.ndarray | slice, np.ndarray]]:
+    """Places that cover the ranges eight bytes at a time: which ranges, and where; the last one may lap over."""
+    least = int(lens.min()) if len(lens) else 0
+    yield slice(None), starts + lens - 8
+    for k in range(0, int(lens.max()) - 8 if len(lens) else 0, 8):
+        if k + 8 < least:
+            yield slice(None), starts + k
+        else:
+            own = np.flatnonzero(lens > k + 8)
+            yield own, starts[own] + k
 
-    bucket: np.ndarray
-    part: np.ndarray
-    buf: np.ndarray
-    at: np.ndarray
-    least: np.ndarray
-    most: np.ndarray
-    places: list[tuple[Slice, np.ndarray, np.ndarray, np.ndarray]]
-
-
-def block_segments(table: pa.Table, answers: pa.Table, unit: Unit) -> Segments:
-    """table: a block in order; answers: its rows of kind 0."""
-    bucket, h, _, cuts = distinct_anchors(table, unit)
-    bits = dict(zip(answers["bucket"].to_pylist(), answers["bits"].to_pylist(), strict=True))
-    shared, hot = np.zeros(len(h), bool), np.zeros(len(h), bool)
-    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-        two = np.frombuffer(bits[int(bucket[a])], np.uint8).reshape(2, -1)
-        shared[a:b], hot[a:b] = (np.unpackbits(x, count=b - a).astype(bool) for x in two)
-    hot_h, h = np.sort(h[hot]), np.sort(h[shared])
-    ids = table["doc_id"].to_numpy()
-    pieces, lens, anchors, parts, rows, places = [np.zeros(0, np.uint8)], [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.uint8)], [np.zeros(0, np.int64)], []
-    for s in sliced(table["text"], unit):
-        own = s.low[s.run_at]
-        k = np.searchsorted(h, own)
-        keep = np.flatnonzero((k < len(h)) & (h[np.minimum(k, len(h) - 1)] == own)) if len(h) else np.zeros(0, np.int64)
-        at, n, row, own = s.run_at[keep], s.run_n[keep], s.run_row[keep], own[keep]
-        second = np.zeros(len(at), np.uint64)
-        if len(hot_h) and len(at):
-            k = np.searchsorted(hot_h, own)
-            split = hot_h[np.minimum(k, len(hot_h) - 1)] == own
-            high = ~A.window_min(~s.grams, unit.length - unit.gram + 1)
-            w = A.ranges(at[split], n[split])  # every window of the hot runs
-            run = np.repeat(np.arange(int(split.sum())), n[split])
-            fresh = np.ones(len(w), bool)
-            fresh[1:] = (high[w][1:] != high[w][:-1]) | (run[1:] != run[:-1])
-            f = np.flatnonzero(fresh)
-            at = np.concatenate((at[~split], w[f]))
-            n = np.concatenate((n[~split], np.diff(np.append(f, len(w)))))
-            row = np.concatenate((row[~split], row[split][run[f]]))
-            own, second = np.concatenate((own[~split], own[split][run[f]])), np.concatenate((second[~split], high[w[f]]))
-            o = np.argsort(at, kind="stable")
-            at, n, row, own, second = at[o], n[o], row[o], own[o], second[o]
-        a, b = s.sym[at], s.sym[at + n + unit.length - 1] - unit.words
-        key = A.mix(own ^ A.mix(second))
-        group, rep = equal_groups(s.buf, a, b)
-        pieces.append(s.buf[A.ranges(a[rep], b[rep] - a[rep])])
-        lens.append(b[rep] - a[rep])
-        anchors.append(np.where(second[rep] > 0, key[rep], own[rep]))
-        parts.append((key[rep] >> np.uint64(50)).astype(np.uint8))
-        base = sum(map(len, lens)) - len(rep)
-        rows.append(np.stack((base + group, row + s.first), 1).ravel())
-        places.append((s, row, at, base + group))
-    buf, lens = np.concatenate(pieces), np.concatenate(lens)
-    ends = np.cumsum(lens)
-    group, rep = equal_groups(buf, ends - lens, ends)
-    pairs = np.concatenate(rows).reshape(-1, 2)
-    seg, doc = group[pairs[:, 0]], ids[pairs[:, 1]]
-    o = np.lexsort((doc, seg))
-    first = np.flatnonzero(np.concatenate(([True], seg[o][1:] != seg[o][:-1]))) if len(o) else o
-    least, most = doc[o][first], doc[o][np.append(first[1:], len(o)) - 1] if len(o) else doc
-    to = bucket_of(np.concatenate(anchors)[rep], unit)
-    order = np.lexsort((rep, to))
-    number = np.zeros(len(rep), np.int64)
-    number[order] = np.arange(len(rep))
-    rep = rep[order]
-    new_lens = lens[rep]
-    return Segments(to[order], np.concatenate(parts)[rep], buf[A.ranges((ends - lens)[rep], new_lens)], np.concatenate(([0], np.cumsum(new_lens))), least[order], most[order], [(s, r, a, number[group[g]]) for s, r, a, g in places])
-
-
-def send_segments(table: pa.Table, answers: pa.Table, unit: Unit) -> pa.Table:
-    names = ("bucket", "block", "first", "parts", "lens", "least", "most", "content")
-    out = []
+
+def packed(x: np.ndarray, dtype: type) -> bytes:
+    return pa.compress(np.ascontiguousarray(x, dtype).tobytes(), codec=_CODEC, asbytes=True) if len(x) else b""
+
+
+def unpacked(blobs: list[bytes], counts: np.ndarray, dtype: type) -> np.ndarray:
+    size = np.dtype(dtype).itemsize
+    own = [np.frombuffer(pa.decompress(x, int(n) * size, codec=_CODEC, asbytes=True), dtype) for x, n in zip(blobs, counts, strict=True) if n]
+    return np.concatenate(own) if own else np.zeros(0, dtype)
+
+
+def shared_runs(text: Text, found: list[Runs], codes: np.ndarray, shared: np.ndarray, hot: np.ndarray, unit: Unit) -> tuple[Runs, np.ndarray]:
+    """The block's runs with a shared anchor, in order, and the key each is dealt by; those with a hot anchor are split."""
+    hot_codes, known = codes[hot], codes[shared]
+    out, keys = [Runs(*[np.zeros(0, np.int64)] * 3, np.zeros(0, np.uint64), np.zeros(0, np.uint64))], [np.zeros(0, np.uint64)]
+    at = 0
+    for a, b in A.slices(text.at(text.bounds)):
+        r = found[at]
+        at += 1
+        c = code_of(r.anchor)
+        if not len(known) or not len(c):
+            continue
+        keep = known[np.minimum(np.searchsorted(known, c), len(known) - 1)] == c
+        split = np.zeros(len(c), bool)
+        if len(hot_codes):
+            split = hot_codes[np.minimum(np.searchsorted(hot_codes, c), len(hot_codes) - 1)] == c
+        k = np.flatnonzero(keep & ~split)
+        parts, key = [Runs(r.at[k], r.n[k], r.row[k], r.anchor[k], r.text[k])], [A.mix(r.anchor[k])]
+        if split.any():
+            fine = runs_of(text, a, b, unit, fine=True)
+            c = code_of(fine.anchor[0])
+            k = np.flatnonzero(hot_codes[np.minimum(np.searchsorted(hot_codes, c), len(hot_codes) - 1)] == c)
+            parts.append(Runs(fine.at[k], fine.n[k], fine.row[k], fine.anchor[0][k], fine.text[k]))
+            key.append(A.mix(fine.anchor[0][k] ^ A.mix(fine.anchor[1][k])))
+        o = np.argsort(np.concatenate([p.at for p in parts]), kind="stable")
+        out.append(Runs(*(np.concatenate([getattr(p, f) for p in parts])[o] for f in ("at", "n", "row", "anchor", "text"))))
+        keys.append(np.concatenate(key)[o])
+    return Runs(*(np.concatenate([getattr(r, f) for r in out]) for f in ("at", "n", "row", "anchor", "text"))), np.concatenate(keys)
+
+
+SEGMENTS = "bucket int, block long, first int, n int, parts binary, lens binary, least binary, most binary, content binary"
+
+
+def send_segments(table: pa.Table, replies: pa.Table, unit: Unit) -> pa.Table:
+    """A row of distinct segments for each bucket, and one with the block's places, which has the bucket -1 - block."""
+    names = [x.split()[0] for x in SEGMENTS.split(", ")]
+    kinds = (pa.int32(), pa.int64(), pa.int32(), pa.int32(), *[pa.binary()] * 5)
+    rows = []
     if len(table):
         key = table["block"][0].as_py()
-        g = block_segments(ordered(table), answers, unit)
-        cuts = np.append(np.flatnonzero(np.concatenate(([True], g.bucket[1:] != g.bucket[:-1]))), len(g.bucket)) if len(g.bucket) else np.zeros(1, np.int64)
-        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-            out.append((int(g.bucket[a]), key, int(a), g.part[a:b].tobytes(), np.diff(g.at[a : b + 1]).astype(np.int32).tobytes(), g.least[a:b].tobytes(), g.most[a:b].tobytes(), g.buf[g.at[a] : g.at[b]].tobytes()))
-    kinds = (pa.int32(), pa.int64(), pa.int32(), *[pa.binary()] * 5)
-    return pa.table({n: pa.array([x[i] for x in out], k) for i, (n, k) in enumerate(zip(names, kinds, strict=True))})
+        table = ordered(table)
+        text, found, codes, _ = scanned(table, unit)
+        cuts = cuts_of(bucket_of(codes, unit))
+        bits = dict(zip(replies["bucket"].to_pylist(), replies["bits"].to_pylist(), strict=True))
+        shared, hot = np.zeros(len(codes), bool), np.zeros(len(codes), bool)
+        for b, x, y in zip(bucket_of(codes[cuts[:-1]], unit).tolist(), cuts[:-1], cuts[1:], strict=True):
+            shared[x:y], hot[x:y] = (np.unpackbits(z, count=y - x).astype(bool) for z in np.frombuffer(bits[b], np.uint8).reshape(2, -1))
+        runs, keys = shared_runs(text, found, codes, shared, hot, unit)
+        ids = table["doc_id"].to_numpy()
+        a, b = text.at(runs.at), text.at(runs.at + runs.n + unit.length - 1) - unit.words
+        group, rep = equal_groups(text.buf, a, b, runs.text)
+        doc = ids[runs.row]
+        least, most = np.full(len(rep), _TOP), np.full(len(rep), np.iinfo(np.int64).min)
+        np.minimum.at(least, group, doc)
+        np.maximum.at(most, group, doc)
+        to = bucket_of(code_of(keys[rep]), unit)
+        order = np.lexsort((rep, to))
+        number = np.zeros(len(rep), np.int64)
+        number[order] = np.arange(len(rep))
+        rep, to, least, most = rep[order], to[order], least[order], most[order]
+        parts, lens = (keys[rep] >> np.uint64(3)).astype(np.uint8), b[rep] - a[rep]
+        cuts = cuts_of(to)
+        for x, y in zip(cuts[:-1], cuts[1:], strict=True):
+            content = text.buf[A.ranges(a[rep[x:y]], lens[x:y])]
+            rows.append((int(to[x]), key, int(x), int(y - x), parts[x:y].tobytes(), packed(lens[x:y], np.int32), packed(least[x:y], np.int64), packed(most[x:y], np.int64), packed(content, np.uint8)))
+        if len(runs.at):
+            rows.append((-1 - key, key, 0, len(runs.at), b"", packed(np.diff(runs.at, prepend=0), np.int64), packed(number[group], np.int32), b"", b""))
+    return pa.table({c: pa.array([r[i] for r in rows], k) for i, (c, k) in enumerate(zip(names, kinds, strict=True))})
 
 
-SEGMENTS = "bucket int, block long, first int, parts binary, lens binary, least binary, most binary, content binary"
 #: buf, starts, ends of distinct segments, each one's least id, the unit -> the least id for every window of every segment.
 Method = Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray, Unit], tuple[np.ndarray, np.ndarray]]
 
 
-def blob(column: pa.ChunkedArray, dtype: type) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), dtype)
-
-
 def answer_segments(table: pa.Table, unit: Unit, method: Method) -> pa.Table:
-    lens, parts = blob(table["lens"], np.int32).astype(np.int64), blob(table["parts"], np.uint8)
-    least, most = blob(table["least"], np.int64), blob(table["most"], np.int64)
-    counts = np.array([len(x) for x in table["parts"].to_pylist()])
+    counts = table["n"].to_numpy()
+    if table["bucket"][0].as_py() < 0:  # a block's places, on their way back to it
+        return answers(PLACES, table["block"], table["n"], froms=table["lens"].to_pylist(), segs=table["least"].to_pylist())
+    lens, parts = unpacked(table["lens"].to_pylist(), counts, np.int32).astype(np.int64), np.frombuffer(b"".join(table["parts"].to_pylist()), np.uint8)
+    least, most = unpacked(table["least"].to_pylist(), counts, np.int64), unpacked(table["most"].to_pylist(), counts, np.int64)
     of = np.repeat(np.arange(len(table)), counts)
     number = np.arange(len(lens)) - np.repeat(np.cumsum(counts) - counts, counts) + np.repeat(table["first"].to_numpy(), counts)
-    buf = blob(table["content"], np.uint8)
+    buf = unpacked(table["content"].to_pylist(), np.add.reduceat(lens, np.cumsum(counts) - counts), np.uint8)
     at = np.cumsum(lens) - lens
     shares = max(1, min(256, -(-len(buf) // GROUP_BYTES)))
     got: list[tuple[np.ndarray, ...]] = []
@@ -321,41 +399,35 @@ def answer_segments(table: pa.Table, unit: Unit, method: Method) -> pa.Table:
         keep = win[f[runs]] < most[seg]
         runs, seg, base = runs[keep], seg[keep], base[keep]
         got.append((of[seg], number[seg], f[runs] - base, f_end[runs] - base, win[f[runs]]))
-    out = []
-    if got:
-        row, *rest = (np.concatenate(x) for x in zip(*got, strict=True))
-        o = np.argsort(row, kind="stable")
-        row, rest = row[o], [x[o] for x in rest]
-        cuts = np.append(np.flatnonzero(np.concatenate(([True], row[1:] != row[:-1]))), len(row)) if len(row) else np.zeros(1, np.int64)
-        blocks, buckets = table["block"].to_pylist(), table["bucket"].to_pylist()
-        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-            out.append((blocks[row[a]], buckets[row[a]], *(x[a:b].astype(np.int64 if i == 3 else np.int32).tobytes() for i, x in enumerate(rest))))
-    n = len(out)
-    cols = [pa.array([x[i] for x in out], k) for i, k in enumerate((pa.int64(), pa.int32(), *[pa.binary()] * 4))]
-    return pa.table({"block": cols[0], "bucket": cols[1], "kind": pa.array(np.ones(n, np.int8)), "bits": pa.nulls(n, pa.binary()), "segs": cols[2], "froms": cols[3], "tos": cols[4], "ids": cols[5]})
-
-
-def block_cover(table: pa.Table, answers: pa.Table, unit: Unit) -> Iterator[tuple[Slice, np.ndarray]]:
-    """For each slice of a block in order, which symbols are covered."""
-    kinds = answers["kind"].to_numpy()
-    g = block_segments(table, answers.filter(pa.array(kinds == 0)), unit)
-    runs = answers.filter(pa.array(kinds == 1))
-    seg, low = blob(runs["segs"], np.int32), blob(runs["ids"], np.int64)
-    a, b = blob(runs["froms"], np.int32), blob(runs["tos"], np.int32)
+    if not got:
+        return answers(COVERED, pa.array([], pa.int64()), pa.array([], pa.int32()))
+    row, *rest = (np.concatenate(x) for x in zip(*got, strict=True))
+    o = np.argsort(row, kind="stable")
+    row, rest = row[o], [x[o] for x in rest]
+    cuts = cuts_of(row)
+    blobs = [[packed(x[a:b], np.int64 if i == 3 else np.int32) for a, b in zip(cuts[:-1], cuts[1:], strict=True)] for i, x in enumerate(rest)]
+    return answers(COVERED, table["block"].take(pa.array(row[cuts[:-1]])), pa.array(np.diff(cuts), pa.int32()), segs=blobs[0], froms=blobs[1], tos=blobs[2], ids=blobs[3])
+
+
+def block_cover(table: pa.Table, text: Text, replies: pa.Table, unit: Unit) -> np.ndarray:
+    """Which symbols of a block in order are covered."""
+    kinds = replies["kind"].to_numpy()
+    notes, runs = (replies.filter(pa.array(kinds == k)) for k in (PLACES, COVERED))
+    get = lambda t, c, dtype: unpacked(t[c].to_pylist(), t["bucket"].to_numpy(), dtype)
+    at, number = np.cumsum(get(notes, "froms", np.int64)), get(notes, "segs", np.int32)
+    seg, low, a, b = get(runs, "segs", np.int32), get(runs, "ids", np.int64), get(runs, "froms", np.int32), get(runs, "tos", np.int32)
     o = np.argsort(seg, kind="stable")
     seg, low, a, b = seg[o], low[o], a[o], b[o]
-    ids, known = table["doc_id"].to_numpy(), ~table["unknown"].to_numpy()
-    for s, row, at, number in g.places:
-        lo, hi = np.searchsorted(seg, number, "left"), np.searchsorted(seg, number, "right")
-        k = A.ranges(lo, hi - lo)
-        i = np.repeat(np.arange(len(number)), hi - lo)
-        r = row[i] + s.first
-        ok = (low[k] < ids[r]) & known[r]
-        yield s, A.covered(len(s.sym) - 1, (at[i] + a[k])[ok], (at[i] + b[k] - 1 + unit.length)[ok])
+    lo, hi = np.searchsorted(seg, number, "left"), np.searchsorted(seg, number, "right")
+    k = A.ranges(lo, hi - lo)
+    at = np.repeat(at, hi - lo)
+    row = np.searchsorted(text.bounds, at, "right") - 1
+    ok = (low[k] < table["doc_id"].to_numpy()[row]) & ~table["unknown"].to_numpy()[row]
+    return A.covered(int(text.bounds[-1]), (at + a[k])[ok], (at + b[k] - 1 + unit.length)[ok])
 
 
-def covered_symbols(docs: DataFrame, unit_of: Callable[[int], Unit], method: Method, finish: Callable[[pa.Table, Slice, np.ndarray], pa.Table], schema: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """docs has doc_id and text. finish() gets a slice's rows and its covered symbols.
+def covered_symbols(docs: DataFrame, unit_of: Callable[[int], Unit], method: Method, finish: Callable[[pa.Table, Text, np.ndarray], pa.Table], schema: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """docs has doc_id and text. finish() gets a block's rows, their text and its covered symbols.
 
     Rows without a doc_id are after all others: they cover nothing, and stay whole.
     """
@@ -364,24 +436,23 @@ def covered_symbols(docs: DataFrame, unit_of: Callable[[int], Unit], method: Met
     blocks = max(2 * n, -(-total // block_bytes))
     unit = unit_of(max(n, -(-total // block_bytes)))
     rows = docs.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(_TOP)).alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"),
-        F.col("doc_id").isNull().alias("unknown"), F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).alias("block"),
+        F.coalesce(whole_ids(docs), F.lit(_TOP)).alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"),
+        F.col("doc_id").isNull().alias("unknown"), F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).alias("block"),
     )
     by_block = rows.groupBy("block")
     sent = by_block.applyInArrow(A.tidy(lambda t: send_anchors(t, unit)), "bucket int, block long, codes binary")
     bits = sent.groupBy("bucket").applyInArrow(A.tidy(lambda t: answer_anchors(t, unit)), ANSWER)
     segs = by_block.cogroup(bits.groupBy("block")).applyInArrow(A.tidy(lambda t, a: send_segments(t, a, unit)), SEGMENTS)
-    runs = segs.groupBy("bucket").applyInArrow(A.tidy(lambda t: answer_segments(t, unit, method)), ANSWER)
+    found = segs.groupBy("bucket").applyInArrow(A.tidy(lambda t: answer_segments(t, unit, method)), ANSWER)
 
-    def mark(table: pa.Table, answers: pa.Table) -> pa.Table:
-        out = []
-        if len(table):
-            table = ordered(table)
-            for s, cover in block_cover(table, answers, unit):
-                out.append(finish(table.slice(s.first, len(s.bounds) - 1), s, cover))
-        return pa.concat_tables(out) if out else EMPTY(schema)
+    def mark(table: pa.Table, replies: pa.Table) -> pa.Table:
+        if not len(table):
+            return EMPTY(schema)
+        table = ordered(table)
+        text = block_text(table, unit)
+        return finish(table, text, block_cover(table, text, replies, unit))
 
-    return by_block.cogroup(bits.unionByName(runs).groupBy("block")).applyInArrow(A.tidy(mark), schema)
+    return by_block.cogroup(found.groupBy("block")).applyInArrow(A.tidy(mark), schema)
 
 
 def EMPTY(schema: str) -> pa.Table:
@@ -395,12 +466,7 @@ def windows_of(starts: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.nd
     return A.ranges(starts, n), np.repeat(np.arange(len(n)), n), np.concatenate(([0], np.cumsum(n)))
 
 
-def least_of_groups(group: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """The least id among the items of each item's group; -1 is a group of one."""
-    out = ids.copy()
-    some = np.flatnonzero(group >= 0)
-    o = some[np.argsort(group[some], kind="stable")]
-    if len(o):
-        first = np.flatnonzero(np.concatenate(([True], group[o][1:] != group[o][:-1])))
-        out[o] = np.repeat(np.minimum.reduceat(ids[o], first), np.diff(np.append(first, len(o))))
-    return out
+def least_of_runs(fresh: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """The least id in each item's run of the items; fresh: a run begins here."""
+    at = np.flatnonzero(fresh)
+    return np.repeat(np.minimum.reduceat(ids, at), np.diff(np.append(at, len(ids)))) if len(ids) else ids

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 
 from quarrymark.llm import suffix_dedup as S
+from quarrymark.llm import substring_dedup as W
 from quarrymark.llm.substring_dedup import dedup_words
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -81,12 +82,61 @@ def test_suffix_array(text):
     assert S.suffix_array(text).tolist() == sorted(range(len(text)), key=lambda i: text[i:])
 
 
-def test_truncated_pointers():
+@pytest.mark.parametrize("limit,together", [(13, 1 << 17), (13, 50), (3, 50), (None, 200)])
+def test_refined_buckets(limit, together):
     data = np.frombuffer(bytes(random.Random(6).choices(b"ab", k=3000)), np.uint8)
-    pointer, single = S.bucket_pointers(data, len(data) - np.arange(len(data)), 13)
-    windows = [data[i : i + 13].tobytes() for i in range(len(data) - 12)]
-    groups = {}
-    for i, w in enumerate(windows):
-        groups.setdefault(w, set()).add(int(pointer[i]))
-    assert all(len(g) == 1 for g in groups.values()) and len({min(g) for g in groups.values()}) == len(groups)
-    assert all(single[i] == (windows.count(w) == 1) for i, w in list(enumerate(windows))[:300])
+    text = data.tobytes()
+    order, pointer, deep = S.refine(np.append(data, np.uint8(0)), len(data) - np.arange(len(data) + 1), limit, together)
+    suffixes = [text[i:] for i in range(len(text))]
+    assert sorted(order.tolist()) == list(range(len(text)))
+    depth = limit or len(text)
+    assert [s[:depth] for s in (suffixes[i] for i in order)] == sorted(s[:depth] for s in suffixes)
+    buckets = {}
+    for i, p in enumerate(pointer[:-1].tolist()):
+        buckets.setdefault(p, []).append(i)
+    for own in buckets.values():
+        assert len(own) == 1 or (limit and len({suffixes[i][: deep[i]] for i in own}) == 1 and all(deep[i] >= limit for i in own))
+
+
+@pytest.mark.parametrize("most", [2, 20, 5000])
+def test_maximal_repeats_against_brute_force(most):
+    r = random.Random(8)
+    texts = [" ".join(r.choices("abc", k=r.randint(0, 25))) for _ in range(12)] + [None, "", "a b c a b c a b c", "a b c a b c a b c"]
+    split = [(t or "").split() for t in texts]
+    places = {}
+    for i, s in enumerate(split):
+        for a in range(len(s)):
+            for b in range(a + 3, len(s) + 1):
+                places.setdefault(tuple(s[a:b]), []).append((i, a))
+    want = set()
+    for w, at in places.items():
+        left = {split[i][a - 1] if a else (i, "start") for i, a in at}
+        right = {split[i][a + len(w)] if a + len(w) < len(split[i]) else "end" for i, a in at}
+        if len(at) > 1 and len(left) > 1 and (len(right) > 1 or right == {"end"}):
+            want.add((w, tuple(at)))
+    got = [(tuple(w), tuple(at)) for w, at in W.maximal_repeats(texts, 3, most)]
+    assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_long_texts_and_hot_anchors(spark):
+    r = random.Random(9)
+    vocab = ["".join(r.choice("abcdefé") for _ in range(r.randint(1, 8))) for _ in range(3000)]
+    long = " ".join(r.choices(vocab, k=220_000))  # more than 1 MB
+    rows = [(1, long), (2, "x " + long[600_000:600_500] + " y"), (3, long[::-1][:1000]), (4, long + " end"), (0, long[100:400])]
+    got = S.dedup_bytes(spark.createDataFrame(rows, SCHEMA), hot=1)
+    assert sorted((tuple(x) for x in got.collect()), key=str) == brute(rows, 50, False)
+    got = W.dedup_words(spark.createDataFrame(rows, SCHEMA), hot=1)
+    assert sorted((tuple(x) for x in got.collect()), key=str) == sorted(((i, n, g, d) for i, n, g, _, d in brute(rows, 13, True)), key=str)
+
+
+def test_ids_of_other_types(spark):
+    docs = spark.createDataFrame([("a", "x")], "doc_id string, text string")
+    for f in (S.dedup_bytes, W.dedup_words):
+        with pytest.raises(TypeError):
+            f(docs)
+
+
+def test_many_rows_without_id(spark):
+    rows = [(None, f"{i} " + "word " * 20) for i in range(50)] + [(7, "word " * 20), (9, "word " * 20)]
+    got = W.dedup_words(spark.createDataFrame(rows, SCHEMA), block_bytes=500)
+    assert sorted((tuple(x) for x in got.collect()), key=str) == sorted(((i, n, g, d) for i, n, g, _, d in brute(rows, 13, True)), key=str)
