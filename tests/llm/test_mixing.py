@@ -86,3 +86,29 @@ def test_take_is_whole():
     for words in range(0, 55):
         t = M._take(sizes, words, 4, (1, 2, 3))
         assert t.sum() == words and (t <= -(-words // 18) * sizes).all()
+
+
+@pytest.mark.parametrize("n", [2, 8, 200])
+def test_partitions_don_t_change_the_mix(spark, n):
+    docs = spark.createDataFrame(rows(3), "doc_id long, source string, text string")
+    want = sorted((tuple(x) for x in M.mix_sources(docs, shard_rows=50).collect()), key=str)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    try:
+        assert sorted((tuple(x) for x in M.mix_sources(docs.repartition(5), shard_rows=50).collect()), key=str) == want
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+@pytest.mark.parametrize("weights", [None, {"a": 5, "b": 1, None: 2, "": 3}])
+def test_many_sources_get_the_same_quotas(spark, weights):
+    docs = spark.createDataFrame(rows(4) + [(1000 + i, f"s{i % 23}", "w " * (i % 40)) for i in range(300)], "doc_id long, source string, text string")
+    want = sorted((tuple(x) for x in M.mix_sources(docs, weights=weights).collect()), key=str)
+    assert sorted((tuple(x) for x in M.mix_sources(docs, weights=weights, most=3).collect()), key=str) == want
+    assert M.mix_sources(docs.filter("false"), most=-1).count() == 0
+
+
+def test_huge_and_tiny_sources(spark):
+    rows_ = [(0, "a", 10**10), (1, "b", 1000), (2, "c", 500)]
+    got = {x.doc_id: (x.target, x.taken) for x in M.mix_sources(spark.createDataFrame(rows_, "doc_id long, source string, n long"), size=F.col("n")).collect()}
+    assert got[1] == (3000.0, 3000) and got[2] == (1500.0, 1500) and abs(got[0][1] - got[0][0]) <= 1
