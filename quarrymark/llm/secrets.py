@@ -31,6 +31,9 @@ SAMPLES = 4000
 #: Words of the ordinary samples (fixed values).
 COMMON = "access account action active add address admin after all api app array auth average back base batch before block body bucket buffer build button byte cache call cancel case change char check child class clean client close code column command config connect content context control copy count create current custom data date default delete detail device dialog document domain download draft edit element email enable encode engine entry error event example export factory false feature field file filter final first folder format frame from function general get global graph group handle handler hash header height hidden history home host icon image import index info init input insert instance integer internal into item java job json key label last layout length level library license limit line link list load local location lock login loop main make manager map master member memory menu message meta method model module month mount move name native network next node note null number object offset open option order output owner page parameter parent parse part password path pattern payment person place player plugin point policy port post prefix preview price print process product profile project property provider public query queue random range rate read receive record region release remove render replace report request reset resource response result return role root route rule sample save schema score screen script search second section select send server service session set shadow shape share shop show side sign simple single size slot sort source stack start state static status step stop storage store stream string style submit suffix support switch symbol system table tag target task template test text thread time title toggle token tool top total track trade transfer tree true type undo union unit until update upload user util valid value vector version video view visible wait watch web week weight widget width window word worker wrap write year zone"
 
+#: Words of other languages in the ordinary samples (fixed values).
+WORLD = "zwischen schreiben gesetzlich verwaltung gesellschaft wirtschaft freundschaft deutschland geschichte rechtschreibung strasse schiffahrt dampfmaschine versicherung uebersetzung fleischer ueberwachung aufgaben pflicht kraftwerk etikett arbeiter bescheid unfall kranken nachricht sprechen zeitschrift elektrisch betrieb flugzeug schwierigkeit quelle jetzt zoologie hoffnung grundstueck bezirk kapitel beaujolais quelque aujourdhui electronique developpement gouvernement deuxieme oiseau feuille chaque philosophie psychologie mouvement rhythme zephyr hexagone phobie nationalite reconnaitre oeuvre jeunesse bibliotheque montagne compagnie qualite voyageur desarrollo administracion ciencia cualquier izquierda trabajador hijo conocimiento jefe ejemplo riqueza exigencia guerrero lluvia llave oxigeno nucleo acido encefalo larinx grafista cruzar razonamiento estrella zapato queso bosque viejo przyjaciel szczegol czlowiek przedsiebiorstwo gospodarka rzeczpospolita wszystko dziewczyna szkola jezyk ksiazka zwyczaj miasto krzyz wiedza mieszkanie swiat czytac zielony chrzest konstytucja polityczny dzien wzgorze zycie niczyj wycieczka sciezka ragazzo giornata bellezza coscienza piccolo maggiore acqua chiesa ghiaccio schiavo zucchero viaggio immunologia endocrino neurologo sovrano magnifico precipizio vijftig schrijver koninkrijk gezondheid vrijheid huwelijk zelfstandig wetenschap"
+
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """body(value) with value computed once."""
@@ -75,16 +78,19 @@ def places(text: Column, pattern: str, rank: int, guard: Column | None = None) -
 
 def labelled_samples(spark: SparkSession, n: int = SAMPLES) -> DataFrame:
     """Strings with their kind: ordinary identifiers made of common words, and hashes in the alphabets of secrets."""
-    words = F.array(*(F.lit(w) for w in COMMON.split()))
+    kinds_of_words = [F.array(*(F.lit(w) for w in x.split())) for x in (COMMON, WORLD)]
+    words = F.when(F.pmod(F.xxhash64("id", F.lit(5)), F.lit(3)) == 0, kinds_of_words[1]).otherwise(kinds_of_words[0])
     pick = lambda k: F.element_at(words, (F.pmod(F.xxhash64("id", F.lit(k)), F.size(words)) + 1).cast("int"))
     some = F.array(*(pick(k) for k in range(6)))
     some = F.slice(some, F.lit(1), (F.pmod(F.xxhash64("id", F.lit(9)), F.lit(4)) + 3).cast("int"))
-    style = F.pmod("id", F.lit(8))
+    style = F.pmod("id", F.lit(10))
+    short = F.array_join(F.transform(some, lambda w, i: w.substr(F.lit(1), (F.pmod(i + F.col("id"), F.lit(3)) + 2).cast("int"))), "_")
     number = F.pmod(F.xxhash64("id", F.lit(11)), F.lit(10000)).cast("string")
     camel = F.array_join(F.transform(some, F.initcap), "")
     ordinary = (
         F.when(style == 0, F.array_join(some, "_")).when(style == 1, F.array_join(some, "-")).when(style == 2, F.array_join(some, "/")).when(style == 3, camel)
-        .when(style == 4, F.concat(F.array_join(some, "_"), F.lit("_"), number)).when(style == 5, F.upper(F.array_join(some, "_"))).when(style == 6, F.array_join(some, "")).otherwise(F.concat(camel, number))
+        .when(style == 4, F.concat(F.array_join(some, "_"), F.lit("_"), number)).when(style == 5, F.upper(F.array_join(some, "_"))).when(style == 6, F.array_join(some, ""))
+        .when(style == 7, F.upper(F.concat(short, F.lit("_"), pick(6)))).when(style == 8, F.concat(pick(7), F.lit("_"), short, number)).otherwise(F.concat(camel, number))
     )
     digest = F.sha2(F.concat(F.lit("sample:"), F.col("id").cast("string")), 256)
     more = F.sha2(F.concat(F.lit("more:"), F.col("id").cast("string")), 256)
@@ -145,6 +151,13 @@ def log_ratio(token: Column, models: dict[str, list[float]]) -> Column:
     return let(let(place, pairs), of)
 
 
+def secret_spans(text: Column, models: dict[str, list[float]], margin: float = MARGIN) -> dict[str, Column]:
+    """The spans of each kind in a text that isn't null."""
+    assign = F.filter(places(text, ASSIGN, 0, text.contains("=") | text.contains(":")), lambda s: F.length(F.regexp_extract(s["hit"], ASSIGN, 2)) >= 6)
+    token = F.filter(places(text, TOKEN, 3), lambda s: log_ratio(s["hit"], models) >= margin)
+    return dict(zip(KINDS, (assign, places(text, ACCESS, 1, text.contains("AKIA")), places(text, HEX, 2), token), strict=True))
+
+
 def scan_secrets(docs: DataFrame, models: dict[str, list[float]] | None = None, margin: float = MARGIN) -> DataFrame:
     """Secrets in every whole text of docs (doc_id, text).
 
@@ -154,11 +167,7 @@ def scan_secrets(docs: DataFrame, models: dict[str, list[float]] | None = None,
     empty texts have no spans. Repeated rows are scanned one by one.
     """
     models = train_models(labelled_samples(docs.sparkSession)) if models is None else models
-    text = F.coalesce(F.col("text"), F.lit(""))
-    marked = text.contains("=") | text.contains(":")
-    assign = F.filter(places(text, ASSIGN, 0, marked), lambda s: F.length(F.regexp_extract(s["hit"], ASSIGN, 2)) >= 6)
-    token = F.filter(places(text, TOKEN, 3), lambda s: log_ratio(s["hit"], models) >= margin)
-    found = docs.select("doc_id", assign.alias("assign"), places(text, ACCESS, 1, text.contains("AKIA")).alias("access"), places(text, HEX, 2).alias("hex"), token.alias("markov"))
+    found = docs.select("doc_id", *(c.alias(k) for k, c in secret_spans(F.coalesce(F.col("text"), F.lit("")), models, margin).items()))
     names = F.array(*(F.lit(k) for k in KINDS))
 
     def listed(spans: Column) -> Column:
@@ -194,32 +203,13 @@ def masked_spans(text: Column, spans: Column, mask: str, width: int = 64) -> Col
 
 
 def redact(docs: DataFrame, models: dict[str, list[float]] | None = None, margin: float = MARGIN, mask: str = "[secret]") -> DataFrame:
-    """docs, all columns, with each secret of its text replaced: an assignment keeps its name, and loses its value.
+    """docs, all columns, with a mask for each secret of its text.
 
-    All spans of scan_secrets() are found in the original text and masked in one pass, and with them values of six characters
-    that follow a shorter one. Tokens that are left between masks are judged again.
+    What is masked is exactly the union of the spans of scan_secrets(), found in the original text: each stretch of overlapping
+    spans is one mask, and all else stays as it was. Null and empty texts stay as they are.
     """
     models = train_models(labelled_samples(docs.sparkSession)) if models is None else models
-    text = F.col("text")
-    marked = text.contains("=") | text.contains(":")
-    long = ASSIGN.replace("([A-Za-z0-9+/_.=-]+)", "([A-Za-z0-9+/_.=-]{6,})")
-
-    def values(pattern: str) -> Column:
-        own = F.transform(places(text, pattern, 0, marked), lambda s: F.struct((s["b"] - F.length(F.regexp_extract(s["hit"], pattern, 2))).alias("a"), s["b"].alias("b")))
-        return F.filter(own, lambda s: s["b"] - s["a"] >= 6)
-
-    def bounds(found: Column) -> Column:
-        return F.transform(found, lambda s: F.struct(s["a"].alias("a"), s["b"].alias("b")))
-
-    token = F.filter(places(text, TOKEN, 3), lambda s: log_ratio(s["hit"], models) >= margin)
-    spans = F.concat(values(ASSIGN), values(long), bounds(places(text, ACCESS, 1, text.contains("AKIA"))), bounds(places(text, HEX, 2)), bounds(token))
-
-    def masked(v: Column) -> Column:
-        hits = F.transform(v["hits"], lambda h: F.when(log_ratio(h, models) >= margin, F.lit(mask)).otherwise(h))
-        return F.array_join(F.zip_with(v["gaps"], F.concat(hits, F.array(F.lit(""))), lambda g, h: F.concat(g, h)), "")
-
-    def rest(once: Column) -> Column:
-        again = (once != text) & once.rlike(TOKEN)
-        return F.when(again, let(F.struct(F.split(once, TOKEN, -1).alias("gaps"), F.regexp_extract_all(once, F.lit(TOKEN), F.lit(0)).alias("hits")), masked)).otherwise(once)
-
-    return docs.withColumn("text", let(masked_spans(text, spans, mask), rest))
+    found = secret_spans(F.col("text"), models, margin)
+    spans = F.concat(*(F.transform(found[k], lambda s: F.struct(s["a"].alias("a"), s["b"].alias("b"))) for k in KINDS))
+    masked = masked_spans(F.col("text"), spans, mask)
+    return docs.withColumn("text", F.when(F.coalesce(F.length("text"), F.lit(0)) > 0, masked).otherwise(F.col("text")))

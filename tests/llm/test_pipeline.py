@@ -54,7 +54,7 @@ def test_stages(spark, sf, tmp_path):
         elif name == "secrets":
             texts = {x.doc_id: x.text for x in after}
             assert ids == {x.doc_id for x in before}
-            assert all(texts[x.doc_id] == (x.text and x.text.replace("hunter2hunter2", "[secret]")) for x in before)
+            assert all(texts[x.doc_id] == (x.text and x.text.replace("password=hunter2hunter2", "[secret]")) for x in before)
             assert all(x.n_chars == (len(x.text) if x.text is not None else None) for x in after)
         else:
             assert ids == {x.doc_id for x in before}
