@@ -2,11 +2,12 @@
 
 A shard is a slice of about 1 MB of documents. Its words' suffixes are sorted into a suffix array, two words a level,
 to the depth of a window; only suffixes that still share a prefix are sorted again. Every test suffix is then found by
-binary search, level by level, which gives all locations of each window of a test item and, extended word by word,
-the longest verbatim match there. Shards are never larger, need no shuffle, and are thrown away after their search.
+binary search, level by level, which gives all locations of each window of a test item and, as chains of them,
+the longest verbatim match there: windows that follow each other in both texts are one match, and what matches cover is removed or
+counted. Shards are never larger, need no shuffle, and are thrown away after their search.
 
 Test items reach the executors in blocks of at most BLOCK_BYTES of text, however many there are; each block is one
-more pass over the documents.
+more pass over the documents, whose matches are written before the next one.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import arrays as A
+from .shared import delete_at_exit, new_path, unused
 
 WINDOW = 10
 BLOCK_BYTES = 8 << 20
@@ -168,12 +170,35 @@ def blocks(bench: DataFrame, most: int, id_col: str, text_col: str) -> Iterator[
     yield ids, texts
 
 
-def _hits(w: Words, tests: Tests, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of each match its row, item and place, in order of rows."""
+@dataclass
+class Matches:
+    """Longest verbatim matches in a shard: row, item, first word of both, and words."""
+
+    row: np.ndarray
+    item: np.ndarray
+    place: np.ndarray
+    test: np.ndarray
+    length: np.ndarray
+
+
+def longest(w: Words, tests: Tests, window: int) -> Matches:
+    """Each match of the search, extended to the left and right as far as it is verbatim, in order of rows.
+
+    All windows of an item are searched and checked on the bytes, so a longer match is a chain of windows that follow each other in
+    both texts: on one diagonal, each a word on.
+    """
     query, place = search(w, tests, window)
-    row = np.searchsorted(w.bounds, place, "right") - 1
-    o = np.lexsort((place, tests.item[query], row))
-    return row[o], query[o], place[o]
+    at = tests.at[query]
+    o = np.lexsort((place, place - at))
+    query, place, at = query[o], place[o], at[o]
+    first = np.ones(len(o), bool)
+    own = np.searchsorted(w.bounds, place, "right")
+    first[1:] = (place[1:] != place[:-1] + 1) | (at[1:] != at[:-1] + 1) | (own[1:] != own[:-1]) | (tests.item[query[1:]] != tests.item[query[:-1]])
+    k = np.flatnonzero(first)
+    last = np.append(k[1:], len(o)) - 1
+    found = Matches(own[k] - 1, tests.item[query[k]], place[k], at[k], place[last] + tests.depth[query[last]] - place[k]) if len(k) else Matches(*[np.zeros(0, np.int64)] * 5)
+    o = np.argsort(found.row, kind="stable")
+    return Matches(*(x[o] for x in (found.row, found.item, found.place, found.test, found.length)))
 
 
 def find_leaks(docs: DataFrame, bench: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES, keep_rows: bool = False) -> DataFrame:
@@ -186,13 +211,12 @@ def find_leaks(docs: DataFrame, bench: DataFrame, window: int = WINDOW, block_by
     """
     parts = blocks(bench, block_bytes, "item_id", "text")
     ids, texts = next(parts)
-    tests = test_suffixes(ids, texts, window)
-    following = next(parts, None)
-    if following is None:
+    if next(parts, None) is None:
+        tests = test_suffixes(ids, texts, window)
         if keep_rows:
             return docs.mapInArrow(A.tidy(_keeper(tests, window)), docs.schema)
         return docs.select("doc_id", "text").mapInArrow(A.tidy(_judge(tests, window)), "doc_id " + dict(docs.dtypes)["doc_id"] + ", n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean")
-    return _in_blocks(docs, [tests, test_suffixes(*following, window)], parts, window, keep_rows)
+    return _in_blocks(docs, bench, window, block_bytes, keep_rows)
 
 
 def _keeper(tests: Tests, window: int):
@@ -200,7 +224,7 @@ def _keeper(tests: Tests, window: int):
         for batch in batches:
             clean = np.ones(len(batch), bool)
             for a, w in shards(batch["text"]):
-                clean[a + _hits(w, tests, window)[0]] = False
+                clean[a + longest(w, tests, window).row] = False
             yield batch.filter(pa.array(clean))
 
     return run
@@ -218,11 +242,12 @@ def _judge(tests: Tests, window: int):
             n_words, n_hit, n_items, digests = [], np.zeros(len(batch), np.int64), np.zeros(len(batch), np.int64), [none] * len(batch)
             for a, w in shards(batch["text"]):
                 n_words.append(np.diff(w.bounds))
-                row, query, place = _hits(w, tests, window)
-                cover = np.concatenate(([0], np.cumsum(A.covered(len(w.pairs), place, place + tests.depth[query]))))
+                m = longest(w, tests, window)
+                cover = np.concatenate(([0], np.cumsum(A.covered(len(w.pairs), m.place, m.place + m.length))))
                 n_hit[a : a + len(w.bounds) - 1] = np.diff(cover[w.bounds])
-                for r in np.unique(row):
-                    own = {tests.ids[i] for i in np.unique(tests.item[query[row == r]])}
+                cuts = np.append(np.flatnonzero(np.concatenate(([True], m.row[1:] != m.row[:-1]))), len(m.row)) if len(m.row) else np.zeros(1, np.int64)
+                for x, y in zip(cuts[:-1], cuts[1:], strict=True):
+                    r, own = m.row[x], {tests.ids[i] for i in np.unique(m.item[x:y])}
                     n_items[a + r], digests[a + r] = len(own), _digest(list(own))
             words = np.concatenate(n_words) if n_words else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(words, pa.int64()), pa.array(n_hit), pa.array(n_items), pa.array(digests, pa.string()), pa.array(n_hit > 0)], ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"])
@@ -231,75 +256,74 @@ def _judge(tests: Tests, window: int):
 
 
 def longest_matches(docs: DataFrame, bench: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """A row for each place where a test suffix of a window's words at least stands, with its longest match there.
+    """A row for each longest verbatim match of a window's words at least (a shorter item's: all of it).
 
-    item_id (string), item_word, doc_id, doc_word, n_words (of the match); word numbers from 0.
+    item_id (string), item_word, doc_id, doc_word, n_words (of the match); word numbers from 0. Repeated rows and ids give repeated
+    matches.
     """
     kind = dict(docs.dtypes)["doc_id"]
-    out = None
-    for ids, texts in blocks(bench, block_bytes, "item_id", "text"):
-        found = docs.select("doc_id", "text").mapInArrow(A.tidy(_matcher(test_suffixes(ids, texts, window), window)), f"item_id string, item_word long, doc_id {kind}, doc_word long, n_words long")
-        out = found if out is None else out.unionByName(found)
-    return out
+    return _in_passes(docs.select("doc_id", "text"), bench, window, block_bytes, "doc_id", kind)
 
 
-def _matcher(tests: Tests, window: int):
+MATCH = "item_id string, item_word long, {} {}, doc_word long, n_words long"
+
+
+def _matcher(tests: Tests, window: int, key: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, w in shards(batch["text"]):
-                row, query, place = _hits(w, tests, window)
-                length = tests.depth[query].copy()
-                at = tests.at[query]
-                grow = np.arange(len(query))
-                while len(grow):
-                    i, j = at[grow] + length[grow], place[grow] + length[grow]
-                    ok = (i < tests.words.ends[at[grow]]) & (j < w.ends[place[grow]])
-                    grow, i, j = grow[ok], i[ok], j[ok]
-                    grow = grow[tests.words.hashes[i] == w.hashes[j]]
-                    length[grow] += 1
-                names = pa.array([tests.ids[i] for i in tests.item[query]], pa.string())
-                ids = batch["doc_id"].take(pa.array(a + row))
-                yield pa.RecordBatch.from_arrays([names, pa.array(at - tests.words.bounds[tests.item[query]]), ids, pa.array(place - w.bounds[row]), pa.array(length)], ["item_id", "item_word", "doc_id", "doc_word", "n_words"])
+                m = longest(w, tests, window)
+                names = pa.array([tests.ids[i] for i in m.item], pa.string())
+                yield pa.RecordBatch.from_arrays([names, pa.array(m.test - tests.words.bounds[m.item]), batch[key].take(pa.array(a + m.row)), pa.array(m.place - w.bounds[m.row]), pa.array(m.length)], ["item_id", "item_word", key, "doc_word", "n_words"])
 
     return run
 
 
-def _in_blocks(docs: DataFrame, first: list[Tests], parts: Iterator, window: int, keep_rows: bool) -> DataFrame:
-    """More than one block: ranges and items of each pass meet by the row's own key; only rows with hits are sent."""
-    rows = docs.withColumn("_row", F.sha2(F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("doc_id").isNull().cast("string"), F.coalesce("text", F.lit(""))), 256))
-
-    def ranges(tests: Tests) -> DataFrame:
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for a, w in shards(batch["text"]):
-                    row, query, place = _hits(w, tests, window)
-                    at = place - w.bounds[row]
-                    yield pa.RecordBatch.from_arrays([batch["_row"].take(pa.array(a + row)), pa.array(at), pa.array(at + tests.depth[query]), pa.array([tests.ids[i] for i in tests.item[query]], pa.string())], ["_row", "a", "b", "item"])
-
-        return rows.select("_row", "text").mapInArrow(A.tidy(run), "_row string, a long, b long, item string")
-
-    found = ranges(first[0]).unionByName(ranges(first[1]))
-    for ids, texts in parts:
-        found = found.unionByName(ranges(test_suffixes(ids, texts, window)))
-    found = found.distinct()
+def _in_passes(rows: DataFrame, bench: DataFrame, window: int, block_bytes: int, key: str, kind: str) -> DataFrame:
+    """The longest matches of all items. With more than one block, each block's pass over rows (key, text) is written before the next
+    one begins: the driver holds one block, and neither it nor the plan grows with the items."""
+    schema = MATCH.format(key, kind)
+    parts = blocks(bench, block_bytes, "item_id", "text")
+    found = (rows.mapInArrow(A.tidy(_matcher(test_suffixes(ids, texts, window), window, key)), schema) for ids, texts in parts)
+    one = next(found)
+    two = next(found, None)
+    if two is None:
+        return one
+    path = new_path(rows.sparkSession, "matches")
+    for part in (one, two):
+        part.write.mode("append").parquet(path)
+    for part in found:
+        part.write.mode("append").parquet(path)
+    delete_at_exit(rows.sparkSession, path)
+    return rows.sparkSession.read.schema(schema).parquet(path)
+
+
+def _in_blocks(docs: DataFrame, bench: DataFrame, window: int, block_bytes: int, keep_rows: bool) -> DataFrame:
+    """More than one block: matches of all passes meet by the row's own key; only rows with matches are sent."""
+    name = unused(docs, "row")
+    known = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    key = F.sha2(F.concat(F.when(F.col("doc_id").isNull(), "-").otherwise(F.length(known).cast("string")), F.lit(":"), known, F.coalesce("text", F.lit(""))), 256)
+    rows = docs.withColumn(name, key)
+    found = _in_passes(rows.select(F.col(name).alias("row"), "text"), bench, window, block_bytes, "row", "string").select("row", "item_id", "doc_word", "n_words").distinct()
 
     def merge(table: pa.Table) -> pa.Table:
-        a, b = table["a"].to_numpy(), table["b"].to_numpy()
-        own = set(table["item"].to_pylist())
-        return pa.table({"_row": table["_row"].slice(0, 1), "n_hit": pa.array([int(A.covered(int(b.max()), a, b).sum())]), "n_items": pa.array([len(own)]), "items_sha256": pa.array([_digest(list(own))])})
+        a = table["doc_word"].to_numpy()
+        b = a + table["n_words"].to_numpy()
+        own = set(table["item_id"].to_pylist())
+        return pa.table({"row": table["row"].slice(0, 1), "n_hit": pa.array([int(A.covered(int(b.max()), a, b).sum())]), "n_items": pa.array([len(own)]), "items_sha256": pa.array([_digest(list(own))])})
 
-    merged = found.groupBy("_row").applyInArrow(merge, "_row string, n_hit long, n_items long, items_sha256 string")
+    merged = found.groupBy("row").applyInArrow(merge, "row string, n_hit long, n_items long, items_sha256 string")
     if keep_rows:
-        return rows.join(merged, "_row", "left_anti").drop("_row")
+        return rows.join(merged.select(F.col("row").alias(name)), name, "left_anti").select(*docs.columns)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n = [np.diff(w.bounds) for _, w in shards(batch["text"])]
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["_row"], pa.array(np.concatenate(n) if n else np.zeros(0, np.int64), pa.int64())], ["doc_id", "_row", "n_words"])
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["row"], pa.array(np.concatenate(n) if n else np.zeros(0, np.int64), pa.int64())], ["doc_id", "row", "n_words"])
 
-    counted = rows.select("doc_id", "_row", "text").mapInArrow(A.tidy(count), f"doc_id {dict(docs.dtypes)['doc_id']}, _row string, n_words long")
+    counted = rows.select("doc_id", F.col(name).alias("row"), "text").mapInArrow(A.tidy(count), f"doc_id {dict(docs.dtypes)['doc_id']}, row string, n_words long")
     zero = F.lit(0).cast("long")
-    return counted.join(merged, "_row", "left").select(
+    return counted.join(merged, "row", "left").select(
         "doc_id", "n_words", F.coalesce("n_hit", zero).alias("n_hit"), F.coalesce("n_items", zero).alias("n_items"),
         F.coalesce("items_sha256", F.lit(_digest([]))).alias("items_sha256"), F.col("n_hit").isNotNull().alias("contaminated"),
     )

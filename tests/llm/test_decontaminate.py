@@ -58,8 +58,45 @@ def test_empty_tables(spark):
     assert [(x.n_words, x.contaminated) for x in find_leaks(full, b).collect()] == [(2, False)]
 
 
-def test_longest_matches(spark):
-    d = spark.createDataFrame([(1, "x y one two three four five z"), (2, "two three")], "doc_id long, text string")
-    b = spark.createDataFrame([(7, "one two three four five six")], "item_id long, text string")
-    got = sorted(tuple(x) for x in longest_matches(d, b, window=3).collect())
-    assert got == [("7", 0, 1, 2, 5), ("7", 1, 1, 3, 4), ("7", 2, 1, 4, 3)]
+@pytest.mark.parametrize("block", [1 << 20, 20])
+def test_longest_matches(spark, block):
+    d = spark.createDataFrame([(1, "x y one two three four five z"), (2, "two three"), (3, "one two three x three four five six")], "doc_id long, text string")
+    b = spark.createDataFrame([(7, "one two three four five six"), (8, "z x"), (9, "y one two nine")], "item_id long, text string")
+    got = sorted(tuple(x) for x in longest_matches(d, b, window=3, block_bytes=block).collect())
+    assert got == [("7", 0, 1, 2, 5), ("7", 0, 3, 0, 3), ("7", 2, 3, 4, 4), ("9", 0, 1, 1, 3)]
+
+
+@pytest.mark.parametrize("seed,window", [(5, 3), (6, 4)])
+def test_longest_matches_against_brute_force(spark, seed, window):
+    docs, items = case(seed)
+    docs = [(k, t) for k, (_, t) in enumerate(docs)]
+    items = [(str(k), t) for k, (_, t) in enumerate(items)]
+    want = set()
+    for i, t in docs:
+        w = words(t)
+        for item, text in items:
+            v = words(text)
+            n = min(len(v), window)
+            for a in range(len(v) if n else 0):
+                for b in range(len(w)):
+                    if v[a] == w[b] and not (a and b and v[a - 1] == w[b - 1]):
+                        size = 0
+                        while a + size < len(v) and b + size < len(w) and v[a + size] == w[b + size]:
+                            size += 1
+                        if size >= n and (len(v) >= window or a == 0):
+                            want.add((item, a, i, b, size))
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id string, text string")
+    got = [tuple(x) for x in longest_matches(d, b, window).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+
+
+@pytest.mark.parametrize("block", [1 << 20, 300])
+def test_string_ids_long_texts_and_clashing_names(spark, block):
+    long = " ".join(f"w{i}" for i in range(200_000))  # more than 1 MB
+    rows = [("a|", "b " + long), ("a", "|b x"), (None, long[600_000:600_200]), ("c", "clean")]
+    items = [(1, long[600_000:600_120]), (2, long[:100]), (3, "|b x")]
+    d = spark.createDataFrame(rows, "doc_id string, text string").selectExpr("*", "1 AS row", "2 AS _row", "3 AS item")
+    b = spark.createDataFrame(items, "item_id long, text string")
+    assert sorted((tuple(x) for x in find_leaks(d, b, 10, block).collect()), key=str) == brute(rows, items, 10)
+    kept = find_leaks(d, b, 10, block, keep_rows=True)
+    assert kept.columns == d.columns and [x.doc_id for x in kept.collect()] == ["c"]
