@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from . import arrays as A
 from .decontaminate import folded
-from .shared import hash_sample
+from .shared import hash_sample, whole_ids
 
 #: Labelled rows to fit from, features to keep, and in how many sample rows a feature must stand.
 SAMPLE, FEATURES, LEAST = 10_000, 1 << 15, 4
@@ -71,33 +71,39 @@ class Ordinal:
         return _sigmoid(score[:, None] - self.thresholds[None, :])
 
 
-def fit_ordinal(row: np.ndarray, col: np.ndarray, value: np.ndarray, grade: np.ndarray, n_features: int, steps: int = 600, rate: float = 0.05, ridge: float = 0.05) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and thresholds by full gradient steps with momentum (Adam) on the mean negative log-likelihood.
+def thresholds_of(p: np.ndarray, n_features: int) -> np.ndarray:
+    """A first threshold and positive steps (as logarithms) from it, so that they stay ordered."""
+    return p[n_features] + np.concatenate(([0.0], np.cumsum(np.exp(p[n_features + 1 :]))))
 
-    Thresholds are a first one and positive steps, so that they stay ordered.
-    """
-    n, top = len(grade), int(grade.max())
-    share = np.array([np.clip((grade > k).mean(), 1e-3, 1 - 1e-3) for k in range(top)])
+
+def loss_and_gradient(p: np.ndarray, row: np.ndarray, col: np.ndarray, value: np.ndarray, grade: np.ndarray, n_features: int, ridge: float) -> tuple[float, np.ndarray]:
+    """Mean negative log-likelihood of the grades, with the ridge on weights, and its gradient by weights, threshold and steps."""
+    n, w, th = len(grade), p[:n_features], thresholds_of(p, n_features)
+    s = np.bincount(row, w[col] * value, n)
+    c = np.concatenate((np.zeros((n, 1)), _sigmoid(th[None, :] - s[:, None]), np.ones((n, 1))), 1)
+    d = c * (1 - c)
+    i = np.arange(n)
+    prob = np.maximum(c[i, grade + 1] - c[i, grade], 1e-9)
+    gs = (d[i, grade + 1] - d[i, grade]) / prob / n
+    gt = np.zeros((n, len(th) + 2))
+    gt[i, grade + 1] -= d[i, grade + 1] / prob / n
+    gt[i, grade] += d[i, grade] / prob / n
+    gt = gt[:, 1:-1].sum(0)
+    steps = np.exp(p[n_features + 1 :]) * np.cumsum(gt[::-1])[::-1][1:]
+    return float(-np.log(prob).mean() + ridge / 2 / n * (w @ w)), np.concatenate((np.bincount(col, gs[row] * value, n_features) + ridge * w / n, [gt.sum()], steps))
+
+
+def fit_ordinal(row: np.ndarray, col: np.ndarray, value: np.ndarray, grade: np.ndarray, n_features: int, steps: int = 600, rate: float = 0.05, ridge: float = 0.05) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and thresholds by full gradient steps with momentum (Adam)."""
+    share = np.array([np.clip((grade > k).mean(), 1e-3, 1 - 1e-3) for k in range(int(grade.max()))])
     start = -np.log(share / (1 - share))
-    gaps = np.log(np.maximum(np.diff(start), 1e-2))
-    p = np.concatenate((np.zeros(n_features), start[:1], gaps))
+    p = np.concatenate((np.zeros(n_features), start[:1], np.log(np.maximum(np.diff(start), 1e-2))))
     m, v = np.zeros(len(p)), np.zeros(len(p))
     for t in range(1, steps + 1):
-        w, th = p[:n_features], np.concatenate((p[n_features : n_features + 1], p[n_features] + np.cumsum(np.exp(p[n_features + 1 :]))))
-        s = np.bincount(row, w[col] * value, n)
-        c = np.concatenate((np.zeros((n, 1)), _sigmoid(th[None, :] - s[:, None]), np.ones((n, 1))), 1)
-        d = c * (1 - c)
-        i = np.arange(n)
-        prob = np.maximum(c[i, grade + 1] - c[i, grade], 1e-9)
-        gs = (d[i, grade + 1] - d[i, grade]) / prob / n  # of the negative log-likelihood, by score
-        gt = np.zeros((n, top + 2))
-        gt[i, grade + 1] -= d[i, grade + 1] / prob / n
-        gt[i, grade] += d[i, grade] / prob / n
-        gt = gt[:, 1:-1].sum(0)
-        g = np.concatenate((np.bincount(col, gs[row] * value, n_features) + ridge * w / n, [gt.sum()], np.exp(p[n_features + 1 :]) * np.cumsum(gt[::-1])[::-1][1:]))
+        _, g = loss_and_gradient(p, row, col, value, grade, n_features, ridge)
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         p = p - rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
-    return p[:n_features], np.concatenate((p[n_features : n_features + 1], p[n_features] + np.cumsum(np.exp(p[n_features + 1 :]))))
+    return p[:n_features], thresholds_of(p, n_features)
 
 
 def fit(docs: DataFrame, labels: DataFrame, grade: Column, split: int = 1, sample: int = SAMPLE) -> Ordinal | None:
@@ -112,7 +118,7 @@ def fit(docs: DataFrame, labels: DataFrame, grade: Column, split: int = 1, sampl
     if len({r["grade"] for r in picked}) < 2:
         return None
     chosen = spark.createDataFrame([(r["doc_id"], r["grade"]) for r in picked], "doc_id long, grade int")  # about `sample` rows at most
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
+    texts = docs.select(whole_ids(docs).alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -196,7 +202,10 @@ def _scores(model: Ordinal, batch: pa.RecordBatch, find) -> np.ndarray:
 def judge_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, sample: int = SAMPLE) -> DataFrame:
     """Severity of docs (doc_id, text), from labels (doc_id, toxic 0 or 1).
 
-    Toxic labels are dealt into grades 1 and 2 at the median count of associated features. A row out for each row in: doc_id,
+    Labels only say 0 or 1; toxic ones are dealt into grades 1 and 2 at the median count of associated features (with a z-score of
+    SIGNAL or more), so grade 2 means "more of the same", not a judgement of its own. Bounds of the model, whatever the input: fitted
+    from about `sample` labelled rows, with FEATURES features at most, each in LEAST sample rows or more. Ids are whole numbers,
+    and anything else is an error. A row out for each row in: doc_id,
     expected_severity (0 to 2), p_toxic (of a grade above 0), grade (the likeliest), toxic (p_toxic >= threshold). Null and
     empty texts have no features. Without labels of both kinds the numbers are null and nothing is toxic. Of a doc_id's
     labels the greatest counts; labels without an id or a grade don't.

@@ -1,7 +1,13 @@
+import math
 import random
+import re
 
 import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
 
+from quarrymark.llm import arrays as A
 from quarrymark.llm import toxicity as T
 
 
@@ -55,9 +61,48 @@ def test_thresholds_are_ordered_and_shared():
     assert np.corrcoef(expected, grade)[0, 1] > 0.85
 
 
-def test_gradient_matches_differences():
-    row, col, value, grade = np.array([0, 0, 1, 2]), np.array([0, 1, 1, 0]), np.array([1.0, 0.5, 2.0, 1.0]), np.array([0, 2, 1])
-    w, th = T.fit_ordinal(row, col, value, grade, 2, steps=3000, ridge=1e-9)
-    c = lambda s: np.concatenate(([0], T._sigmoid(th - s), [1]))
-    s = np.bincount(row, w[col] * value, 3)
-    assert all(c(s[i])[g + 1] - c(s[i])[g] > 0.8 for i, g in enumerate(grade))
+@pytest.mark.parametrize("top", [1, 2, 4])
+def test_gradient_matches_differences(top):
+    r = np.random.default_rng(3)
+    n, k, m = 40, 6, 150
+    row, col, value = r.integers(0, n, m), r.integers(0, k, m), r.random(m) + 0.1
+    grade = np.append(r.integers(0, top + 1, n - top - 1), np.arange(top + 1))
+    p = np.concatenate((r.normal(size=k), [-0.5], r.normal(size=top - 1) * 0.3))
+    _, g = T.loss_and_gradient(p, row, col, value, grade, k, 0.3)
+    for i in range(len(p)):
+        e = np.zeros(len(p))
+        e[i] = 1e-5
+        up, down = (T.loss_and_gradient(x, row, col, value, grade, k, 0.3)[0] for x in (p + e, p - e))
+        assert abs((up - down) / 2e-5 - g[i]) < 1e-6
+    assert (np.diff(T.thresholds_of(p, k)) > 0).all()
+
+
+def plain_severity(text, weights, thresholds):
+    """P(grade > k) by dictionaries: folded words and first characters of longer ones, log(1 + count)."""
+    counts = {}
+    for w in re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or "")):
+        for f in [("word", w), *((n, w[:n]) for n in (4, 5) if len(w) > n)]:
+            counts[f] = counts.get(f, 0) + 1
+    score = sum(weights.get(f, 0.0) * math.log1p(n) for f, n in counts.items())
+    return [1 / (1 + math.exp(t - score)) for t in thresholds]
+
+
+def test_scores_against_plain_python(spark):
+    docs, labels = corpus(2, 400)
+    docs += [(1000, None), (1001, ""), (1002, "Éwful ÉWFUL skum " * 60_000), (1003, docs[5][1].upper())]  # 1002: more than 1 MB
+    d, lab = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    model = T.fit(d, lab, F.col("toxic"), 2)
+    weights = {}
+    for w in {w for _, t in docs for w in re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))}:
+        data, offsets = A.text_arrays(pa.array([w]))
+        _, feats, _ = T.text_features(data, offsets)
+        for f, h in zip([("word", w), *((n, w[:n]) for n in (4, 5) if len(w) > n)], feats, strict=True):
+            k = np.searchsorted(model.features, h)
+            if k < len(model.features) and model.features[k] == h:
+                weights[f] = model.weights[k]
+    texts = dict(docs)
+    for x in T.judge_toxicity(d, lab).collect():
+        p = plain_severity(texts[x.doc_id], weights, model.thresholds)
+        assert abs(x.p_toxic - p[0]) < 1e-9 and abs(x.expected_severity - sum(p)) < 1e-9 and x.toxic == (x.p_toxic >= T.THRESHOLD)
+        steps = [1 - p[0], p[0] - p[1], p[1]]
+        assert steps[x.grade] >= max(steps) - 1e-9
