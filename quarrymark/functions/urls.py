@@ -130,3 +130,36 @@ SITE_LINKS = {
     "item": lambda u: F.contains(u, F.lit("/itm/")),
     "event": lambda u: F.contains(u, F.lit("/e/")) | F.contains(u, F.lit("/events/")),
 }
+
+
+def _any(text: Column, words: tuple[str, ...]) -> Column:
+    return reduce(or_, [F.contains(text, F.lit(w)) for w in words])
+
+
+def on_site(url: Column, base: Column) -> Column:
+    """Does the URL hold the base page's authority, anywhere?"""
+    return F.contains(url, authority(base))
+
+
+#: Links to keep by site: a Column function of the link and the page it stands on.
+LINK_TESTS = {
+    "yelp": lambda u, base: F.contains(u, F.lit("/biz/")) & F.contains(authority(u), authority(base)),
+    "yell": lambda u, base: F.contains(u, F.lit("yell.com/biz/")),
+    "goldenpages": lambda u, base: F.contains(u, F.lit("goldenpages.ie/")) & SITE_LINKS["deep"](u),
+    "etsy": lambda u, base: F.contains(u, F.lit("etsy.com/listing/")),
+    "amazon": lambda u, base: _any(u, ("/dp/", "/gp/product/")),
+    "ebay": lambda u, base: F.contains(u, F.lit("/itm/")),
+    "notonthehighstreet": lambda u, base: F.contains(u, F.lit("notonthehighstreet.com/")) & F.contains(u, F.lit("/product/")),
+    "eventbrite": lambda u, base: F.contains(u, F.lit("/e/")) & F.contains(u, F.lit("eventbrite")),
+    "meetup": lambda u, base: F.contains(u, F.lit("meetup.com/")) & F.contains(u, F.lit("/events/")),
+    "wikihow": lambda u, base: F.contains(u, F.lit("wikihow.com/")) & ~F.contains(u, F.lit("/Category:")) & ~F.endswith(u, F.lit("wikihow.com/")) & ~F.endswith(u, F.lit("wikihow.com")),
+    "checkatrade": lambda u, base: F.contains(u, F.lit("checkatrade.com/")) & F.contains(u, F.lit("/trades/")) & (u != base),
+    "job": lambda u, base: on_site(u, base) & _any(F.lower(u), R.JOB_WORDS),
+    "course": lambda u, base: on_site(u, base) & _any(F.lower(u), R.COURSE_WORDS),
+}
+
+
+def capped_links(links: Column, keep: Column, most: int) -> Column:
+    """The first `most` distinct links of an array that are to be kept; keep: an array of booleans beside it."""
+    both = F.filter(F.zip_with(links, keep, lambda x, k: F.when(k, x)), lambda x: x.isNotNull())
+    return F.slice(F.array_distinct(both), 1, most)

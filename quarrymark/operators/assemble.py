@@ -7,7 +7,13 @@ from pyspark.sql import functions as F
 
 from .. import reference_data as R
 from ..functions import html as H
-from .sampling import first_per
+from ..functions import urls as U
+from ..functions.jsontext import reformatted
+from .sampling import first_per, hash_rank
+from .validate import scored
+
+# What stands before a page's markup in a request.
+USER_LEAD = "Generate schema.org JSON-LD for this web page.\n\nHTML:\n"
 
 
 def labelled_pages(labels: DataFrame, pages: DataFrame, *order: str) -> DataFrame:
@@ -22,19 +28,80 @@ def adoption(crawled: DataFrame, marked: DataFrame, key: str = "domain") -> Data
     return both.unionByName(own.join(marked.select(key).distinct(), key, "left_anti").withColumn("adopted", F.lit(False)))
 
 
-def inference_queue(crawled: DataFrame, done: DataFrame, fetched: DataFrame, marked: DataFrame, screenshots: DataFrame, key: str = "domain") -> DataFrame:
-    """Crawled domains that aren't done and are fetched, with their markup and screenshot where there are any."""
+def inference_queue(crawled: DataFrame, done: DataFrame, fetched: DataFrame, marked: DataFrame, screenshots: DataFrame, key: str = "domain", order: tuple[str, ...] = ()) -> DataFrame:
+    """Crawled domains that aren't done and are fetched, with their markup and screenshot where there are any.
+
+    Of several rows of a domain the last one by `order` counts (last by all columns where there is none), as in a map that is
+    filled in that order.
+    """
     own = crawled.join(done.select(key).distinct(), key, "left_anti").join(fetched.select(key).distinct(), key, "left_semi")
-    return own.join(marked, key, "left").join(screenshots, key, "left")
+    last = lambda rows: first_per(rows, key, *(F.desc(c) for c in (order or [c for c in rows.columns if c != key]) if c in rows.columns))
+    return own.join(last(marked), key, "left").join(last(screenshots), key, "left")
+
+
+def records_with_html(records: DataFrame, fetched: DataFrame, *order: str, key: str = "url", last: bool = False) -> DataFrame:
+    """Records whose page was fetched, with it: the first record of each key in the order, or the last."""
+    return first_per(records, key, *((F.desc(c) if last else F.col(c)) for c in order)).join(first_per(fetched, key, *[c for c in fetched.columns if c != key]), key)
+
+
+def rescored_results(results: DataFrame, pages: DataFrame, key: str = "page_id") -> DataFrame:
+    """Results with their page, or none: the last page of a key counts."""
+    return results.join(first_per(pages, key, *(F.desc(c) for c in pages.columns if c != key)), key, "left")
+
+
+def usable(records: DataFrame, jsonld: str = "jsonld", least: float = 0.3) -> DataFrame:
+    """Records whose markup is there, valid, and scores enough, with its `result`."""
+    rows = scored(records.filter(F.coalesce(F.col(jsonld), F.lit("")).isin("", "{}", "[]", "null") == F.lit(False)), jsonld)
+    return rows.filter(F.col("result.valid") & (F.col("result.quality_score") >= least))
+
+
+def assembled(records: DataFrame, screenshots: DataFrame, *order: str, most: int | None = None, least: float = 0.3, shuffle: bool = True, seed: str = "42") -> DataFrame:
+    """Chat examples of records (source_url, jsonld, html): those that are usable, the first `most` in the order, shuffled by hash.
+
+    screenshots: domain, path. Example lines in `value`, with domain, screenshot and quality_score beside them; `rank` is the place.
+    """
+    rows = usable(records, least=least).withColumn("domain", U.domain(F.col("source_url")))
+    if most is not None:
+        rows = rows.orderBy(*order).limit(most)
+    shots = first_per(screenshots, "domain", *(c for c in screenshots.columns if c != "domain")).select("domain", F.col("path").alias("screenshot"))
+    rows = rows.join(shots, "domain", "left")
+    meta = F.struct(F.lit("wdc").alias("source"), F.col("result.types").alias("schema_types"), "domain", F.col("result.quality_score").alias("quality_score"))
+    out = rows.withColumn("value", chat_example(F.coalesce("html", F.lit("")), F.col("jsonld"), F.col("screenshot"), meta))
+    return out.withColumn("rank", hash_rank(*(F.col(c).cast("string") for c in order), seed=seed)) if shuffle else out
+
+
+def with_synthetic(real: DataFrame, synthetic: DataFrame) -> DataFrame:
+    """Both, with their source."""
+    return real.withColumn("source", F.lit("wdc")).unionByName(synthetic.withColumn("source", F.lit("synthetic")), allowMissingColumns=True)
+
+
+def page_example(html: Column, jsonld: Column, screenshot: Column, url: Column, result: Column, most: int = 64_000) -> Column:
+    """A chat example whose metadata say whether there is a screenshot; no id."""
+    meta = F.struct(url.alias("url"), result["types"].alias("schema_types"), result["quality_score"].alias("quality_score"), result["property_count"].alias("property_count"), screenshot.isNotNull().alias("has_screenshot"))
+    return chat_example(html, jsonld, screenshot, meta, most=most, lead=USER_LEAD)
+
+
+def screened_example(html: Column, jsonld: Column, screenshot: Column, url: Column, result: Column, most: int = 12_000) -> Column:
+    """A chat example of raw markup and re-indented JSON-LD; null without a screenshot or where it isn't JSON."""
+    meta = F.struct(url.alias("url"), result["types"].alias("schema_types"), result["quality_score"].alias("quality_score"), result["property_count"].alias("property_count"))
+    neat = reformatted(jsonld)
+    return F.when(screenshot.isNotNull() & neat.isNotNull() & html.isNotNull(), chat_example(html, neat, screenshot, meta, most=most, strip=False))
+
+
+def write_rescored(rows: DataFrame, path: str, final: str) -> None:
+    """Two sinks of one input, which is written once and read again: all results, and projections of those that passed."""
+    rows.write.mode("overwrite").json(path)
+    again = rows.sparkSession.read.schema(rows.schema).json(path)
+    again.filter("rescore_pass").select("page_id", "url", "jsonld", "rescore").write.mode("overwrite").json(final)
 
 
 def manifest_upsert(manifest: DataFrame, new: DataFrame, key: str = "url") -> DataFrame:
     return manifest.unionByName(new.join(manifest.select(key).distinct(), key, "left_anti"), allowMissingColumns=True)
 
 
-def chat_example(html: Column, jsonld: Column, screenshot: Column, metadata: Column, prompt: str = R.SYSTEM_PROMPT, most: int = 64_000) -> Column:
+def chat_example(html: Column, jsonld: Column, screenshot: Column, metadata: Column, prompt: str = R.SYSTEM_PROMPT, most: int = 64_000, lead: str = "", strip: bool = True) -> Column:
     """One JSON line: system, user (image part if any, then text) and assistant messages, and metadata."""
-    parts = F.array(F.when(screenshot.isNotNull(), F.to_json(F.struct(F.lit("image").alias("type"), screenshot.alias("image")))), F.to_json(F.struct(F.lit("text").alias("type"), H.truncated(H.strip_noise(html), most).alias("text"))))
+    parts = F.array(F.when(screenshot.isNotNull(), F.to_json(F.struct(F.lit("image").alias("type"), screenshot.alias("image")))), F.to_json(F.struct(F.lit("text").alias("type"), F.concat(F.lit(lead), H.truncated(H.strip_noise(html) if strip else html, most)).alias("text"))))
     user = F.concat(F.lit('{"role":"user","content":['), F.array_join(F.array_compact(parts), ","), F.lit("]}"))
     plain = lambda role, text: F.to_json(F.struct(F.lit(role).alias("role"), text.alias("content")))
     return F.concat(F.lit('{"messages":['), F.concat_ws(",", plain("system", F.lit(prompt)), user, plain("assistant", jsonld)), F.lit('],"metadata":'), F.to_json(metadata), F.lit("}"))

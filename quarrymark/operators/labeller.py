@@ -46,3 +46,33 @@ def label(pages: DataFrame, labeller: Labeller = stub, done: DataFrame | None =
             yield pd.DataFrame([one(*r) for r in b.itertuples(index=False)], columns=[x.split()[0] for x in RESULT.split(", ")])
 
     return todo.mapInPandas(run, RESULT)
+
+
+#: Gets url, html and JSON-LD, and gives a dict with overall_score and pass; raises on failure.
+Judge = Callable[[str, str, str], dict]
+VERDICT = "page_id long, overall_score double, passed boolean, attempt int, error string"
+
+
+def stub_judge(url: str, html: str, jsonld: str) -> dict:
+    """A deterministic judge for tests and dry runs: longer markup scores higher."""
+    return {"overall_score": 1.0 + len(jsonld or "") % 5, "pass": len(jsonld or "") % 2 == 0}
+
+
+def judge(results: DataFrame, judging: Judge = stub_judge, attempts: int = 3) -> DataFrame:
+    """VERDICT on each result (page_id, url, html, jsonld); after `attempts` failures its error instead."""
+
+    def one(page_id: int, url: str, html: str, jsonld: str) -> tuple:
+        error = None
+        for k in range(1, attempts + 1):
+            try:
+                found = judging(url, html, jsonld)
+                return page_id, float(found.get("overall_score", 0)), bool(found.get("pass", False)), k, None
+            except Exception as x:  # the judge's failure is the row's result
+                error = str(x)[:200]
+        return page_id, None, None, attempts, f"gave up after {attempts}: {error}"
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield pd.DataFrame([one(*r) for r in b.itertuples(index=False)], columns=[x.split()[0] for x in VERDICT.split(", ")]).astype({"passed": "boolean"})
+
+    return results.select("page_id", "url", "html", "jsonld").mapInPandas(run, VERDICT)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .. import reference_data as R
 from ..functions import html as H
 from ..functions import jsontext as J
 from ..functions.urls import known_english
@@ -41,3 +42,17 @@ def acceptance(html: Column, stripped: Column, jsonld: Column, valid: Column, sc
 
 def label_acceptance(parsed: Column, valid: Column, score: Column, html: Column) -> Column:
     return cascade((~parsed, "parse_error"), (~valid, "invalid"), (score < 0.3, "low_quality"), (html.isNull(), "no_page"), (F.length(html) < LEAST_HTML, "short_html"))
+
+
+def early_gate(html: Column, language: Column | None = None, least: int = 300) -> Column:
+    """An older gate: enough text, not parked, and English where the language is known."""
+    text = H.visible_text(html)
+    own = (F.length(text) >= least) & ~H.parked(text, R.PARKED_OLD)
+    return F.coalesce(own if language is None else own & (language.isNull() | (language == "en")), F.lit(False))
+
+
+def early_acceptance(html: Column, jsonld: Column, valid: Column, score: Column) -> Column:
+    """The cascade of the first notebook: no upper sizes, encodings or screenshots."""
+    return cascade(
+        (html.isNull(), "no_html"), (F.length(html) < LEAST_HTML, "html_too_short"), (F.coalesce(jsonld, F.lit("")) == "", "no_jsonld"), (~valid, "invalid_jsonld"), (score < 0.3, "low_quality"),
+    )

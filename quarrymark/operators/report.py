@@ -64,3 +64,20 @@ def coverage(rows: DataFrame, x: str, limits: list[int]) -> DataFrame:
 def costs(rows: DataFrame, tokens: tuple[int, int] = (5300, 1000), price: dict[str, float] = TOKEN_PRICE, hour: float = GPU_HOUR, seconds: float = PAGE_SECONDS) -> DataFrame:
     n = F.count("*")
     return rows.agg(n.alias("n"), F.round(n * tokens[0] / 1e6 * price["input"], 2).alias("input_cost"), F.round(n * tokens[1] / 1e6 * price["output"], 2).alias("output_cost"), F.round(n * seconds * hour / 3600, 2).alias("serving_cost"))
+
+
+def gold_and_predicted(rows: DataFrame, gold: str, pred: str, most: int = 8) -> DataFrame:
+    """The most frequent gold types, with how often each is gold and how often predicted."""
+    top = frequencies(rows, gold, most).select(F.col(gold).alias("kind"), F.col("n").alias("gold"))
+    found = rows.groupBy(F.col(pred).alias("kind")).agg(F.count("*").alias("predicted"))
+    return top.join(found, "kind", "left").select("kind", "gold", F.coalesce("predicted", F.lit(0)).cast("long").alias("predicted"))
+
+
+def share_and_target(counts: DataFrame, targets: DataFrame, key: str) -> DataFrame:
+    """Percentages of all counts beside those wanted, for keys in both."""
+    return shares(counts).join(shares(targets.withColumnRenamed("want", "n")).select(key, F.col("share").alias("target")), key).select(key, "share", "target")
+
+
+def listed_counts(rows: DataFrame, lists: str) -> DataFrame:
+    """How many rows list each value; one that a row repeats counts each time."""
+    return rows.select(F.explode(lists).alias("value")).groupBy("value").agg(F.count("*").alias("n"))

@@ -26,11 +26,13 @@ def capped(rows: DataFrame, key: Column | str, most: int | Column, *order: Colum
     A literal limit is pushed below the shuffle as a group limit, so that a hot key sends few rows; with a limit per key,
     `ceiling` (the greatest of them) does the same.
     """
-    rank = F.row_number().over(Window.partitionBy(key).orderBy(*order))
-    ranked = rows.withColumn(TAKEN, rank)
+    name = TAKEN
+    while name in rows.columns:
+        name += "_"
+    ranked = rows.withColumn(name, F.row_number().over(Window.partitionBy(key).orderBy(*order)))
     if ceiling is not None:
-        ranked = ranked.filter(F.col(TAKEN) <= ceiling)
-    return ranked.filter(F.col(TAKEN) <= most).drop(TAKEN)
+        ranked = ranked.filter(F.col(name) <= ceiling)
+    return ranked.filter(F.col(name) <= most).drop(name)
 
 
 def type_targets(total: int, floor: int = 50, weights: dict[str, int] = R.TYPE_WEIGHTS) -> list[tuple[str, int]]:

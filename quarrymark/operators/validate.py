@@ -53,7 +53,8 @@ def scored(rows: DataFrame, text: str = "jsonld") -> DataFrame:
     raw = F.lit(0.6) * F.least(F.col("_count") / F.lit(10.0), F.lit(1.0)) + F.lit(0.4) * share - F.lit(0.3) * F.size("_errors") - F.lit(0.1) * F.size("_warnings")
     score = F.when(F.col("_e").isNull() | (F.size("_types") == 0), 0.0).otherwise(F.greatest(F.lit(0.0), F.round(raw, 3)))
     result = F.struct((F.size("_errors") == 0).alias("valid"), F.col("_errors").alias("errors"), F.col("_warnings").alias("warnings"), F.col("_types").alias("types"), F.col("_count").alias("property_count"), score.alias("quality_score"))
-    return out.select(*rows.columns, result.alias("result"))
+    # A generator, so that no filter on the result is pushed below it: each of its uses would repeat the whole expression.
+    return out.select(*rows.columns, F.explode(F.array(result)).alias("result"))
 
 
 def pages_with_quality_markup(pages: DataFrame, key: str, least: float = 0.4) -> DataFrame:
@@ -63,11 +64,42 @@ def pages_with_quality_markup(pages: DataFrame, key: str, least: float = 0.4) ->
 
 
 class Vocabulary:
-    """Own properties of types and their ancestors; small enough to travel with the code that uses it."""
+    """Own properties of types, and those of the types they stand below; small enough to travel with the code that uses it.
 
-    def __init__(self, own: dict[str, tuple] = R.VOCABULARY, ancestors: dict[str, tuple] = R.ANCESTORS) -> None:
-        self.types = set(own) | set(ancestors)
-        self.valid = {t: set(own.get(t, ())).union(*(own.get(a, ()) for a in ancestors.get(t, ()))) for t in self.types}
+    own: properties by type, as a sequence or one text; below: types below a type, likewise, "" for those below none.
+    """
+
+    def __init__(self, own: dict = R.VOCABULARY, below: dict = R.BELOW) -> None:
+        words = lambda x: tuple(x.split()) if isinstance(x, str) else tuple(x)
+        above: dict[str, set[str]] = {}
+        for top, kinds in below.items():
+            for k in words(kinds):
+                above.setdefault(k, set()).update({top} - {""})
+        self.types = {*own, *above, *below} - {""}
+        self.valid: dict[str, set[str]] = {}
+        for t in self.types:
+            seen, todo = {t}, [t]
+            while todo:
+                new = above.get(todo.pop(), set()) - seen
+                seen |= new
+                todo += new
+            self.valid[t] = {p for k in seen for p in words(own.get(k, ()))}
+
+    @classmethod
+    def of_release(cls, text: str) -> Vocabulary:
+        """From the vocabulary's published JSON-LD: classes with rdfs:subClassOf, properties with domainIncludes."""
+        ids = lambda x: [v["@id"].split(":")[-1].rsplit("/", 1)[-1] for v in (x if isinstance(x, list) else [x])] if x else []
+        own: dict[str, list[str]] = {}
+        below: dict[str, list[str]] = {}
+        for node in json.loads(text)["@graph"]:
+            kinds, name = node.get("@type", []), node["@id"].split(":")[-1].rsplit("/", 1)[-1]
+            if "rdfs:Class" in kinds:
+                for top in ids(node.get("rdfs:subClassOf")) or [""]:
+                    below.setdefault(top, []).append(name)
+            elif "rdf:Property" in kinds:
+                for t in ids(node.get("schema:domainIncludes")):
+                    own.setdefault(t, []).append(name)
+        return cls(own, below)
 
 
 def _values(key: str, value: object, siblings: dict) -> Iterator[tuple[str, str]]:
@@ -86,16 +118,18 @@ def _values(key: str, value: object, siblings: dict) -> Iterator[tuple[str, str]
 
 
 def vocabulary_issues(entity: dict, words: Vocabulary, path: str = "$") -> Iterator[tuple[str, str, str, str]]:
-    """severity, category, message, path; nested objects too, without recursion deeper than the data."""
+    """severity, category, message, path; nested objects too, without recursion deeper than the data. Objects without a type aren't judged."""
     todo = [(entity, path)]
     while todo:
         own, at = todo.pop()
         kinds = own.get("@type")
         kinds = [k for k in (kinds if isinstance(kinds, list) else [kinds]) if isinstance(k, str)]
+        if not kinds:
+            continue
         for k in kinds:
             if k not in words.types:
                 yield "error", "type", f"unknown type {k}", at
-        valid = words.valid.get(kinds[0], set()) if kinds else set()
+        valid = words.valid.get(kinds[0], set())
         for key, value in own.items():
             if key.startswith("@"):
                 continue
@@ -126,8 +160,11 @@ def _squeezed(text: str) -> str:
     return re.sub(r"\s+", " ", text.lower().strip())
 
 
-def factual(entities: list, texts: list[str]) -> tuple[float, list[tuple[str, str, str, str]]]:
-    """Share of values that a page's texts hold, and a warning for each other one; dates and durations don't count."""
+def factual(entities: list, visible: str, markup: str = "") -> tuple[float, list[tuple[str, str, str, str]]]:
+    """Share of values that a page holds, and a warning for each other one; dates and durations don't count.
+
+    A value is held whole by the visible text or the markup, or, from three words on, by 60 % of its words in the visible text.
+    """
     checked = found = 0
     issues = []
     for k, entity in enumerate(entities):
@@ -137,8 +174,8 @@ def factual(entities: list, texts: list[str]) -> tuple[float, list[tuple[str, st
             checked += 1
             own = _squeezed(value)
             words = own.split()
-            held = sum(len(w) > 2 and any(w in t for t in texts) for w in words)
-            if len(own) < 3 or any(own in t for t in texts) or (len(words) >= 3 and held / len(words) >= 0.6):
+            held = sum(len(w) > 2 and w in visible for w in words)
+            if len(own) < 3 or own in visible or own in markup or (len(words) >= 3 and held / len(words) >= 0.6):
                 found += 1
             else:
                 issues.append(("warning", "factual", f"not on the page: {value[:80]}", path))
@@ -188,7 +225,7 @@ def judged(rows: DataFrame, text: str, page_text: str, html: str, words: Vocabul
                 if json_ok:
                     vocab = [i for k, e in enumerate(entities) for i in vocabulary_issues(e, words, f"$[{k}]" if len(entities) > 1 else "$")]
                     schema_ok = sum(i[0] == "error" for i in vocab) <= 3
-                    score, facts = factual(entities, [_squeezed(v or ""), _squeezed(h or "")])
+                    score, facts = factual(entities, _squeezed(v or ""), _squeezed(h or ""))
                     issues = issues + vocab + facts
                 errors = sum(i[0] == "error" for i in issues)
                 valid = json_ok and schema_ok and errors <= 2 and score >= 0.5

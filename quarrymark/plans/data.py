@@ -41,28 +41,28 @@ def cap_per_domain(spark, sf):
     return S.capped(pages(spark, sf), "domain", 5, "page_id").select("domain", "page_id")
 
 
-@query(f"SELECT schema_type, page_id FROM {_P} QUALIFY row_number() OVER (PARTITION BY schema_type ORDER BY {_RANK}, page_id) <= 12")
+@query(f"SELECT schema_type, page_id FROM {_P} QUALIFY row_number() OVER (PARTITION BY schema_type ORDER BY {_RANK}, page_id) <= 5000")
 def cap_per_type(spark, sf):
-    return S.capped(pages(spark, sf), "schema_type", 12, S.hash_rank(F.col("page_id").cast("string")), "page_id").select("schema_type", "page_id")
+    return S.capped(pages(spark, sf), "schema_type", 5000, S.hash_rank(F.col("page_id").cast("string")), "page_id").select("schema_type", "page_id")
 
 
-_Q = "(VALUES " + ",".join(f"('{k}',{v // 1000})" for k, v in R.TYPE_QUOTAS.items()) + ") AS q(schema_type, quota)"
+_Q = "(VALUES " + ",".join(f"('{k}',{v})" for k, v in R.TYPE_QUOTAS.items()) + ") AS q(schema_type, quota)"
 
 
 @query(f"SELECT schema_type, page_id FROM (SELECT p.*, quota, row_number() OVER (PARTITION BY schema_type ORDER BY page_id) AS r FROM {_P} p JOIN {_Q} USING (schema_type)) WHERE r <= quota")
 def quota_per_type(spark, sf):
-    quotas = spark.createDataFrame([(k, v // 1000) for k, v in R.TYPE_QUOTAS.items()], "schema_type string, quota int")
-    return S.capped(pages(spark, sf).join(F.broadcast(quotas), "schema_type"), "schema_type", F.col("quota"), "page_id", ceiling=max(R.TYPE_QUOTAS.values()) // 1000).select("schema_type", "page_id")
+    quotas = spark.createDataFrame([(k, v) for k, v in R.TYPE_QUOTAS.items()], "schema_type string, quota int")
+    return S.capped(pages(spark, sf).join(F.broadcast(quotas), "schema_type"), "schema_type", F.col("quota"), "page_id", ceiling=max(R.TYPE_QUOTAS.values())).select("schema_type", "page_id")
 
 
-_T = "(VALUES " + ",".join(f"('{k}',{max(5, 200 * w // 100)})" for k, w in R.TYPE_WEIGHTS.items()) + ") AS q(schema_type, target)"
+_T = "(VALUES " + ",".join(f"('{k}',{max(50, 20_000 * w // sum(R.TYPE_WEIGHTS.values()))})" for k, w in R.TYPE_WEIGHTS.items()) + ") AS q(schema_type, target)"
 
 
 @query(f"SELECT schema_type, page_id FROM (SELECT p.*, target, row_number() OVER (PARTITION BY schema_type ORDER BY {_RANK}, page_id) AS r FROM {_P} p JOIN {_T} USING (schema_type)) WHERE r <= target")
 def sample_to_targets(spark, sf):
     p = pages(spark, sf).withColumn("key", F.col("page_id").cast("string"))
-    targets = spark.createDataFrame(S.type_targets(200, 5), "schema_type string, target int")
-    return S.capped(p.join(F.broadcast(targets), "schema_type"), "schema_type", F.col("target"), S.hash_rank("key"), "page_id", ceiling=max(n for _, n in S.type_targets(200, 5))).select("schema_type", "page_id")
+    targets = spark.createDataFrame(S.type_targets(20_000, 50), "schema_type string, target int")
+    return S.capped(p.join(F.broadcast(targets), "schema_type"), "schema_type", F.col("target"), S.hash_rank("key"), "page_id", ceiling=max(n for _, n in S.type_targets(20_000, 50))).select("schema_type", "page_id")
 
 
 @query("SELECT doc_id, lang FROM documents WHERE ('0x' || substr(md5(doc_id::VARCHAR),1,4))::INT % 100 < 5")
@@ -90,10 +90,10 @@ def numbered_ids(spark, sf):
     return S.numbered(t(spark, sf, "documents").select("doc_id"), "doc_id").select("doc_id", "id")
 
 
-@query("SELECT url, CASE WHEN page_id % 3 = 0 THEN 'a' ELSE 'b' END AS pool FROM pages WHERE page_id % 3 = 0 OR page_id % 2 = 0")
+@query("SELECT url, CASE WHEN page_id % 3 = 0 THEN 'a' ELSE 'b' END AS pool FROM pages")
 def merge_pools_priority(spark, sf):
     p = t(spark, sf, "pages").select("page_id", "url")
-    return S.merged_pools(p.filter("page_id % 3 = 0").withColumn("pool", F.lit("a")), p.filter("page_id % 2 = 0").withColumn("pool", F.lit("b")), key="url", order="page_id").select("url", "pool")
+    return S.merged_pools(p.filter("page_id % 3 = 0").withColumn("pool", F.lit("a")), p.filter("page_id % 3 <> 0 OR page_id % 2 = 0").withColumn("pool", F.lit("b")), key="url", order="page_id").select("url", "pool")
 
 
 @query("SELECT page_id FROM pages WHERE url NOT IN (SELECT url FROM pages WHERE page_id % 4 = 0)")
@@ -136,10 +136,10 @@ def labels_with_pages(spark, sf):
     return A.labelled_pages(labels, p, "page_id").select("doc_id", F.col("address").alias("url"))
 
 
-@query("SELECT page_id, CASE WHEN page_id % 3 = 0 THEN 'old' ELSE 'new' END AS tag FROM pages WHERE page_id % 3 = 0 OR page_id % 2 = 0")
+@query("SELECT page_id, CASE WHEN page_id % 3 = 0 THEN 'old' ELSE 'new' END AS tag FROM pages")
 def manifest_upsert(spark, sf):
     p = t(spark, sf, "pages").select("page_id")
-    return A.manifest_upsert(p.filter("page_id % 3 = 0").withColumn("tag", F.lit("old")), p.filter("page_id % 2 = 0").withColumn("tag", F.lit("new")), "page_id")
+    return A.manifest_upsert(p.filter("page_id % 3 = 0").withColumn("tag", F.lit("old")), p.filter("page_id % 3 <> 0 OR page_id % 2 = 0").withColumn("tag", F.lit("new")), "page_id")
 
 
 _W = "(VALUES " + ",".join(f"('{k}',{w})" for k, w in [*R.TYPE_WEIGHTS.items(), ("Dataset", 6)] if k != "HowTo") + ") AS q(schema_type, want)"
@@ -240,13 +240,13 @@ def batch_chunks(spark, sf):
     return S.chunked(t(spark, sf, "pages").select("page_id"), "page_id", 100, 4)
 
 
-@query("SELECT url, 200 AS status, CASE WHEN page_id % 2 = 0 THEN 'eng,fra' END AS languages, page_id * 10 AS \"offset\" FROM pages WHERE page_id % 7 <> 0 AND (page_id % 2 = 0 OR page_id % 5 = 0) ")
+@query("SELECT url, 200 AS status, CASE WHEN page_id % 2 = 0 THEN 'eng,fra' END AS languages, page_id * 10 AS \"offset\" FROM pages WHERE page_id % 7 <> 0 AND page_id % 11 <> 0")
 def index_scan(spark, sf):
     from ..operators.pages import language_ok
 
     key = F.col("page_id").cast("string")
-    good = F.to_json(F.struct("url", F.lit("200").alias("status"), F.when(F.col("page_id") % 2 == 0, "eng,fra").alias("languages"), (F.col("page_id") * 10).cast("string").alias("offset")))
-    lines = t(spark, sf, "pages").filter("page_id % 2 = 0 OR page_id % 5 = 0").select(F.when(F.col("page_id") % 7 == 0, F.concat(F.lit("{broken "), key)).otherwise(good).alias("value"))
+    good = F.to_json(F.struct("url", F.lit("200").alias("status"), F.when(F.col("page_id") % 11 == 0, "fra").when(F.col("page_id") % 2 == 0, "eng,fra").alias("languages"), (F.col("page_id") * 10).cast("string").alias("offset")))
+    lines = t(spark, sf, "pages").select(F.when(F.col("page_id") % 7 == 0, F.concat(F.lit("{broken "), key)).otherwise(good).alias("value"))
     rows = SRC.index_lines(lines)
     return rows.filter(language_ok(F.col("languages"))).select("url", "status", "languages", "offset")
 

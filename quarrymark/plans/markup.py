@@ -102,40 +102,6 @@ def jsonld_config_score(spark, sf):
     return r.select("p_partkey", n(F.size("result.errors")).alias("errors"), n(F.size("result.warnings")).alias("warnings"), n("result.property_count").alias("property_count"), "result.valid", "result.quality_score")
 
 
-def judged_parts(spark, sf):
-    rows = parts_jsonld(spark, sf).join(t(spark, sf, "part").select("p_partkey", "p_name", "p_brand"), "p_partkey")
-    page = F.when(F.col("p_partkey") % 2 == 0, F.concat_ws(" ", "p_name", "p_brand")).otherwise("nothing")
-    return V.judged(rows, "jsonld", page, F.concat(F.lit("<p>"), page, F.lit("</p>")))
-
-
-_ISSUES = (
-    "WITH j AS " + _J + ", b AS (SELECT p_partkey, p_partkey%11<>0 AS ok, p_partkey%11<>0 AND p_partkey%7<>0 AS typed, p_partkey%5<>0 AS cx, p_partkey%3<>0 AS offers, p_partkey%4=0 AS bad FROM j) "
-)
-
-
-@query(_ISSUES + "SELECT category, severity, count(*) AS n FROM (SELECT 'json' AS category, 'error' AS severity FROM b WHERE NOT ok UNION ALL SELECT 'structure','error' FROM b WHERE ok AND NOT typed UNION ALL SELECT 'structure','warning' FROM b WHERE ok AND NOT cx) GROUP BY ALL")
-def jsonld_structure_issues(spark, sf):
-    i = judged_parts(spark, sf).select(F.explode("judged.issues").alias("i")).filter(F.col("i.category").isin("json", "structure"))
-    return i.groupBy("i.category", "i.severity").agg(count_n())
-
-
-@query(_ISSUES + "SELECT category, severity, path, count(*) AS n FROM (SELECT 'value' AS category, 'warning' AS severity, '$.offers.price' AS path FROM b WHERE typed AND offers UNION ALL SELECT 'value','error','$.offers.availability' FROM b WHERE typed AND offers AND bad) GROUP BY ALL")
-def jsonld_vocab_issues(spark, sf):
-    i = judged_parts(spark, sf).select(F.explode("judged.issues").alias("i")).filter(F.col("i.category").isin("type", "property", "value"))
-    return i.groupBy("i.category", "i.severity", "i.path").agg(count_n())
-
-
-@query()
-def jsonld_factual_score(spark, sf):
-    """Scores by the parser's rules; no SQL form."""
-    return judged_parts(spark, sf).select("p_partkey", "judged.factual_score")
-
-
-@query(_ISSUES + "SELECT ok AND typed AS json_valid, count(*) AS n FROM b GROUP BY 1")
-def validation_decision(spark, sf):
-    return judged_parts(spark, sf).groupBy("judged.json_valid").agg(count_n())
-
-
 @query("SELECT decision, count(*) AS n FROM (SELECT CASE WHEN doc_id % 13 = 0 THEN 'error' WHEN quality + 3.0 >= 3.5 AND toxic = 0 THEN 'pass' ELSE 'fail' END AS decision FROM labels) GROUP BY 1")
 def rescore_decision(spark, sf):
     error = F.when(F.col("doc_id") % 13 == 0, "timeout")

@@ -12,7 +12,7 @@ from ..operators import assemble as A
 from ..operators import pages as P
 from ..operators import sampling as S
 from ..operators import validate as V
-from .base import PART_JSON, count_n, n, parts_jsonld, query, t, with_kind
+from .base import KIND, PART_JSON, count_n, n, parts_jsonld, query, t, with_kind
 from .web import _SITES
 
 _KEY = "CAST(page_id AS VARCHAR(20))"
@@ -38,13 +38,6 @@ def generation_targets(spark, sf):
     return S.without(rows, V.pages_with_quality_markup(rows, "page_id"), "page_id").select("page_id")
 
 
-@query("SELECT page_id % 4 AS k, CASE WHEN page_id % 4 < 2 THEN 'Product' ELSE '' END AS types, count(*) AS n FROM pages GROUP BY ALL")
-def declared_types(spark, sf):
-    blocks = F.filter(H.jsonld_blocks(F.col("html")), lambda b: F.get_json_object(b, "$['@type']").isNotNull())
-    types = F.array_join(F.array_sort(F.array_distinct(F.transform(blocks, lambda b: F.get_json_object(b, "$['@type']")))), ",")
-    return marked(spark, sf).groupBy((F.col("page_id") % 4).alias("k"), types.alias("types")).agg(count_n())
-
-
 @query("SELECT count(*) AS n, count(*) FILTER (WHERE page_id % 4 < 3) AS still, round(100.0 * count(*) FILTER (WHERE page_id % 4 < 3) / count(*), 6)::DOUBLE AS share FROM pages")
 def manifest_consistency(spark, sf):
     has = F.size(H.jsonld_blocks(F.col("html"))) > 0
@@ -59,12 +52,14 @@ def export_filter(spark, sf):
     return rows.select("doc_id", ((F.col("quality") == 1) & (score >= 0.5)).alias("exported"))
 
 
-_HINT = "Name, address and phone matter."
+_PROMPTS = " ".join(f"WHEN '{k}' THEN '{v.replace(chr(39), chr(39) * 2)}'" for k, v in R.TYPE_HINTS.items())
 
 
-@query(f"SELECT page_id, CASE WHEN page_id % 15 = 0 THEN '{R.SYSTEM_PROMPT}' || chr(10) || chr(10) || '{_HINT}' ELSE '{R.SYSTEM_PROMPT}' END AS prompt FROM pages")
+@query(f"SELECT page_id, '{R.SYSTEM_PROMPT}' || coalesce(chr(10) || chr(10) || CASE k {_PROMPTS} END, '') AS prompt FROM (SELECT page_id, CASE page_id % 16 WHEN 15 THEN 'Hotel' WHEN 14 THEN 'Restaurant' ELSE {KIND} END AS k FROM pages)")
 def type_prompts(spark, sf):
-    return with_kind(t(spark, sf, "pages").select("page_id")).select("page_id", A.system_prompt(F.col("schema_type"), {"LocalBusiness": _HINT}).alias("prompt"))
+    rows = with_kind(t(spark, sf, "pages").select("page_id"))
+    kind = F.when(F.col("page_id") % 16 == 15, "Hotel").when(F.col("page_id") % 16 == 14, "Restaurant").otherwise(F.col("schema_type"))
+    return rows.select("page_id", A.system_prompt(kind, R.TYPE_HINTS).alias("prompt"))
 
 
 @query("SELECT page_id, page_id::VARCHAR AS custom_id, 'm' AS model FROM pages")

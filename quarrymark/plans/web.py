@@ -79,30 +79,50 @@ def probable_type_case(spark, sf):
 _ALL = " UNION ALL ".join("SELECT c_custkey, url, '" + k + "' AS schema_type FROM u WHERE " + " OR ".join(f"contains(url,'{p}')" for p in pieces) for pieces, k, _ in R.PATH_TYPES)
 
 
-@query(f"WITH u AS (SELECT c_custkey, {_PATHS} AS url FROM customer), m AS ({_ALL} UNION ALL SELECT c_custkey, url, 'LocalBusiness' FROM u WHERE regexp_extract(url,'^[^:/?#]+://[^/?#]*([^?#]*)',1)='/' OR contains(url,'/about') OR contains(url,'/services')) SELECT c_custkey, schema_type FROM m QUALIFY row_number() OVER (PARTITION BY schema_type ORDER BY c_custkey) <= 100")
+#: The limits of the types, and that of home pages (fixed value).
+_LIMITS = {**{k: m for _, k, m in R.PATH_TYPES}, "LocalBusiness": 20_000}
+_MOST = " ".join(f"WHEN '{k}' THEN {m}" for k, m in _LIMITS.items())
+
+
+@query(f"WITH u AS (SELECT c_custkey, {_PATHS} AS url FROM customer), m AS ({_ALL} UNION ALL SELECT c_custkey, url, 'LocalBusiness' FROM u WHERE regexp_extract(url,'^[^:/?#]+://[^/?#]*([^?#]*)',1)='/' OR contains(url,'/about') OR contains(url,'/services')) SELECT c_custkey, schema_type FROM m QUALIFY row_number() OVER (PARTITION BY schema_type ORDER BY c_custkey) <= CASE schema_type " + _MOST + " END")
 def type_pattern_branches(spark, sf):
     rows = t(spark, sf, "customer").selectExpr("c_custkey", f"{_PATHS} AS url").select("c_custkey", F.explode(U.matching_types(F.col("url"))).alias("schema_type"))
-    return S.capped(rows, "schema_type", 100, "c_custkey")
+    most = F.create_map(*(F.lit(x) for kv in _LIMITS.items() for x in kv))
+    return S.capped(rows, "schema_type", most[F.col("schema_type")], "c_custkey", ceiling=max(_LIMITS.values()))
 
 
 _RLIKE = [(U.wildcard(p), k, m, i) for i, (p, k, m) in enumerate(R.CRAWL_PATTERNS)]
 _CRAWL = "WITH u AS (SELECT c_custkey, " + _PATHS + " AS url FROM customer), m AS (" + " UNION ALL ".join(f"SELECT c_custkey, url, '{k}' AS schema_type, {i} AS pattern FROM u WHERE regexp_matches(url, '{p}')" for p, k, _, i in _RLIKE) + ") "
 
 
-@query(_CRAWL + ", d AS (SELECT * FROM m QUALIFY row_number() OVER (PARTITION BY url ORDER BY pattern) = 1) SELECT c_custkey, schema_type, pattern FROM d QUALIFY row_number() OVER (PARTITION BY pattern ORDER BY c_custkey) <= 50")
+@query(_CRAWL + ", d AS (SELECT * FROM m QUALIFY row_number() OVER (PARTITION BY url ORDER BY pattern) = 1) SELECT c_custkey, schema_type, pattern FROM d QUALIFY row_number() OVER (PARTITION BY pattern ORDER BY c_custkey) <= CASE pattern " + " ".join(f"WHEN {i} THEN {m}" for _, _, m, i in _RLIKE) + " END")
 def crawl_patterns(spark, sf):
+    return _crawled(spark, sf, _RLIKE)
+
+
+def _crawled(spark, sf, patterns):
     """The patterns are an array constant, so no join: each URL explodes to those that fit."""
     rows = t(spark, sf, "customer").selectExpr("c_custkey", f"{_PATHS} AS url")
-    fits = F.array_compact(F.array(*(F.when(F.col("url").rlike(p), F.struct(F.lit(k).alias("schema_type"), F.lit(i).alias("pattern"))) for p, k, _, i in _RLIKE)))
+    fits = F.array_compact(F.array(*(F.when(F.col("url").rlike(p), F.struct(F.lit(k).alias("schema_type"), F.lit(i).alias("pattern"))) for p, k, _, i in patterns)))
     first = S.first_per(rows.select("c_custkey", "url", F.explode(fits).alias("m")).select("c_custkey", "url", "m.schema_type", "m.pattern"), "url", "pattern")
-    return S.capped(first, "pattern", 50, "c_custkey").select("c_custkey", "schema_type", "pattern")
+    most = F.create_map(*(F.lit(x) for _, _, m, i in patterns for x in (i, m)))
+    return S.capped(first, "pattern", most[F.col("pattern")], "c_custkey", ceiling=max(m for _, _, m, _ in patterns)).select("c_custkey", "schema_type", "pattern")
+
+
+_BLIKE = [(U.wildcard(p), k, m, i) for i, (p, k, m) in enumerate(R.BUSINESS_PATTERNS)]
+_BUSINESS = _CRAWL.split("m AS (")[0] + "m AS (" + " UNION ALL ".join(f"SELECT c_custkey, url, '{k}' AS schema_type, {i} AS pattern FROM u WHERE regexp_matches(url, '{p}')" for p, k, _, i in _BLIKE) + ") "
+
+
+@query(_BUSINESS + ", d AS (SELECT * FROM m QUALIFY row_number() OVER (PARTITION BY url ORDER BY pattern) = 1) SELECT c_custkey, schema_type, pattern FROM d QUALIFY row_number() OVER (PARTITION BY pattern ORDER BY c_custkey) <= CASE pattern " + " ".join(f"WHEN {i} THEN {m}" for _, _, m, i in _BLIKE) + " END")
+def business_patterns(spark, sf):
+    return _crawled(spark, sf, _BLIKE)
 
 
-@query("WITH d AS (SELECT DISTINCT concat('s', s_suppkey % 40, '.ie') AS domain FROM supplier ORDER BY domain LIMIT 20), u AS (SELECT 'https://' || domain || p AS url FROM d, (VALUES ('/services'),('/our-services'),('/what-we-do')) AS v(p)) SELECT url FROM u WHERE url NOT IN (SELECT concat('https://s', s_suppkey % 7, '.ie/services') FROM supplier)")
+@query("WITH d AS (SELECT DISTINCT concat('s', s_suppkey % 40, '.ie') AS domain FROM supplier ORDER BY domain LIMIT 500), u AS (SELECT 'https://' || domain || p AS url FROM d, (VALUES ('/services'),('/our-services'),('/what-we-do')) AS v(p)) SELECT url FROM u WHERE url NOT IN (SELECT concat('https://s', s_suppkey % 7, '.ie/services') FROM supplier)")
 def derived_urls(spark, sf):
     s = t(spark, sf, "supplier")
     known = s.selectExpr("concat('https://s', s_suppkey % 7, '.ie/services') AS url")
-    return S.derived_urls(s.selectExpr("concat('s', s_suppkey % 40, '.ie') AS domain"), ["/services", "/our-services", "/what-we-do"], known, 20)
+    return S.derived_urls(s.selectExpr("concat('s', s_suppkey % 40, '.ie') AS domain"), ["/services", "/our-services", "/what-we-do"], known, 500)
 
 
 @query(f"SELECT page_id, md5(s) AS digest, length(s) AS chars, length(CASE WHEN length(s)>2000 THEN substr(s,1,2000)||chr(10)||'<!-- [HTML truncated] -->' ELSE s END) AS cut FROM (SELECT page_id, {STRIP} AS s FROM pages)")
@@ -159,10 +179,10 @@ def jsonld_block_extract(spark, sf):
     return t(spark, sf, "pages").select("page_id", F.explode(H.jsonld_blocks(html)).alias("block"))
 
 
-@query(f"SELECT {HOST} AS domain, count(*) AS n, min(url) AS min_url, arg_min(page_id, url) AS first_page FROM (SELECT *, CASE WHEN page_id % 9 = 0 THEN 404 ELSE 200 END AS status FROM pages) WHERE status = 200 AND ends_with({HOST},'.com') GROUP BY 1 ORDER BY n DESC, domain LIMIT 20")
+@query(f"SELECT {HOST} AS domain, count(*) AS n, min(url) AS min_url, arg_min(page_id, url) AS first_page FROM (SELECT *, CASE WHEN page_id % 9 = 0 THEN 404 ELSE 200 END AS status FROM pages) WHERE status = 200 AND ends_with({HOST},'.com') GROUP BY 1 ORDER BY n DESC, domain LIMIT 200000")
 def cc_domain_index(spark, sf):
     rows = t(spark, sf, "pages").withColumn("status", F.when(F.col("page_id") % 9 == 0, 404).otherwise(200)).filter("status = 200").select("page_id", "url", U.authority(F.col("url")).alias("domain")).filter(F.endswith("domain", F.lit(".com")))
-    return rows.groupBy("domain").agg(count_n(), F.min("url").alias("min_url"), F.min_by("page_id", "url").alias("first_page")).orderBy(F.desc("n"), "domain").limit(20)
+    return rows.groupBy("domain").agg(count_n(), F.min("url").alias("min_url"), F.min_by("page_id", "url").alias("first_page")).orderBy(F.desc("n"), "domain").limit(200_000)
 
 
 @query(f"WITH g AS (SELECT page_id, length(html) AS raw, {STRIP} AS s, page_id % 6 AS k, 0.1 * (page_id % 8) AS q FROM pages) SELECT CASE WHEN raw<200 THEN 'html_too_short' WHEN raw>300000 THEN 'html_too_long' WHEN length(s)>64000 THEN 'html_too_long' WHEN k=1 THEN 'no_jsonld' WHEN k=2 THEN 'invalid_jsonld' WHEN q<0.3 THEN 'low_quality' WHEN k=4 THEN 'encoding_corrupted' WHEN k=5 THEN 'no_screenshot' ELSE 'accepted' END AS status, count(*) AS n FROM g GROUP BY 1")

@@ -26,6 +26,37 @@ def read_index(spark: SparkSession, path: str, crawl: str | None = None, subset:
     return rows.filter(F.col("subset") == subset) if "subset" in rows.columns else rows
 
 
+def catalog_query(spark: SparkSession, sql: str, **tables: DataFrame) -> DataFrame:
+    """SQL over catalog tables, some of them frames under names of their own."""
+    for name, rows in tables.items():
+        rows.createOrReplaceTempView(name)
+    return spark.sql(sql)
+
+
+def page_urls(lines: DataFrame, quota: int, english: bool = True) -> DataFrame:
+    """Of N-Quads lines (file, line_no, line) the URLs of subjects, in each file's first 2 * quota lines that have one; repeats stay."""
+    from ..functions.urls import english_tld
+    from ..operators.sampling import capped
+
+    url = F.regexp_extract("line", "^<([^>]+)>", 1)
+    rows = lines.select("file", "line_no", url.alias("url")).filter(F.startswith("url", F.lit("http")))
+    return capped(rows.filter(english_tld(F.col("url"))) if english else rows, "file", 2 * quota, "line_no")
+
+
+def link_iris(lines: DataFrame) -> DataFrame:
+    """Every <http...> token of N-Quads lines but for the vocabulary's own."""
+    found = lines.select(*lines.columns, F.explode(F.regexp_extract_all("line", F.lit("<(https?://[^>]+)>"), F.lit(1))).alias("url"))
+    return found.filter(~F.startswith("url", F.lit("http://schema.org")) & ~F.startswith("url", F.lit("https://schema.org"))).drop("line")
+
+
+def to_fetch(records: DataFrame, cached: DataFrame, *order: str, most: int | None = None) -> DataFrame:
+    """Records (url) whose file name isn't cached (file_name) yet; of the first `most` records, where given."""
+    from ..functions.urls import file_name
+
+    some = records.orderBy(*order).limit(most) if most is not None else records
+    return some.withColumn("file_name", file_name(F.col("url"), "plain")).join(cached.select("file_name").distinct(), "file_name", "left_anti")
+
+
 def read_nquads(spark: SparkSession, *paths: str) -> DataFrame:
     """file, line_no, line. Gzip files are read by one task each, so that lines keep their order."""
     lines = spark.read.text(list(paths)).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("line"))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -37,10 +40,23 @@ def append_to(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     return stream.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def run_to_table(spark: SparkSession, stream: DataFrame, mode: str) -> DataFrame:
-    """Run a stream over what is there now into a table in memory: for results of bounded size, and tests."""
-    import uuid
+def run_to_table(spark: SparkSession, stream: DataFrame, mode: str, path: str | None = None) -> DataFrame:
+    """Run a stream over what is there now into Parquet: each batch is a folder, and in complete mode the last one counts.
+
+    path: a folder of the run's own; below spark.checkpoint.dir (locally, where that is unset, a temporary one) where it is None. No row
+    passes through the driver.
+    """
+    base = path or f"{spark.conf.get('spark.checkpoint.dir', None) or spark.sparkContext.getConf().get('spark.checkpoint.dir') or tempfile.mkdtemp()}/stream-{uuid.uuid4().hex}"
 
-    name = f"stream_{uuid.uuid4().hex}"
-    stream.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True).start().awaitTermination()
-    return spark.table(name)
+    def save(batch: DataFrame, number: int) -> None:
+        folder = f"{base}/rows" if mode == "complete" else f"{base}/rows/batch={number}"
+        batch.write.mode("overwrite").parquet(folder)
+
+    stream.writeStream.foreachBatch(save).outputMode(mode).option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start().awaitTermination()
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(base)
+    files = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if path is None:
+        files.deleteOnExit(where)
+    if not files.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{base}/rows")):
+        return spark.createDataFrame([], stream.schema)
+    return spark.read.schema(stream.schema).parquet(f"{base}/rows").select(*stream.columns)

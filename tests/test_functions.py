@@ -5,11 +5,12 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from quarrymark import reference_data as R
 from quarrymark.functions import html as H
 from quarrymark.functions import jsontext as J
 from quarrymark.functions import nquads as N
 from quarrymark.functions import urls as U
-from quarrymark.operators import labeller, pages, validate
+from quarrymark.operators import assemble, labeller, pages, validate
 from quarrymark.operators import nquads as Q
 from quarrymark.operators import sampling as S
 from quarrymark.sources import readers as SRC
@@ -87,7 +88,10 @@ def test_vocabulary(body, severities):
 def test_structure_and_facts():
     assert [i[0] for i in issues('{"@type":"Thing"}')] == ["warning"]
     person = [json.loads("{" + CTX + ',"@type":"Person","name":"Ada Lovelace"}')]
-    assert validate.factual(person, ["ada lovelace"])[0] == 1.0 and validate.factual(person, ["nothing"])[0] == 0.0
+    assert validate.factual(person, "ada lovelace")[0] == 1.0 and validate.factual(person, "nothing")[0] == 0.0
+    long = [json.loads("{" + CTX + ',"@type":"Person","name":"Ada King Lovelace Byron"}')]
+    assert validate.factual(long, "byron lovelace king")[0] == 1.0 and validate.factual(long, "nothing", "byron lovelace king")[0] == 0.0
+    assert validate.factual(long, "nothing", "x ada king lovelace byron y")[0] == 1.0
 
 
 def test_page_gate(spark):
@@ -165,3 +169,59 @@ def test_streams(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out")).count() == 2
     assert pools.run_to_table(spark, pools.counts(stream, "ts", "60 seconds"), "complete").count() == 2
     assert pools.run_to_table(spark, pools.sessions(stream, "url", "ts"), "append").count() >= 0
+
+
+def test_vocabulary_is_whole_and_replaceable():
+    words = validate.Vocabulary()
+    assert set(R.TYPE_WEIGHTS) | set(R.RULES) <= words.types
+    assert {"telephone", "servesCuisine", "vatID", "geoCovers", "name"} <= words.valid["Restaurant"] and words.valid["MusicEvent"] == set() and words.valid["PostalAddress"] == set(R.VOCABULARY["PostalAddress"].split())
+    assert {"step", "author", "name", "cookTime"} <= words.valid["Recipe"] and "price" not in words.valid["Rating"]
+    graph = [
+        {"@id": "schema:Thing", "@type": "rdfs:Class"}, {"@id": "schema:Pub", "@type": "rdfs:Class", "rdfs:subClassOf": {"@id": "schema:Thing"}},
+        {"@id": "schema:name", "@type": "rdf:Property", "schema:domainIncludes": {"@id": "schema:Thing"}}, {"@id": "schema:beer", "@type": "rdf:Property", "schema:domainIncludes": [{"@id": "schema:Pub"}]},
+    ]
+    own = validate.Vocabulary.of_release(json.dumps({"@graph": graph}))
+    assert own.types == {"Thing", "Pub"} and own.valid == {"Thing": {"name"}, "Pub": {"name", "beer"}}
+
+
+@pytest.mark.parametrize("text,ok", [("{} x", False), ("{}{}", False), ("[1]]", False), ('1,"a":2', False), ("1]", False), ("1}", False), ("1],[2", False), ('{"a":1,"a":2}', True), ("NaN", True), ("null", True), (" {} ", True), ('{"a":01}', False), ("", False), (None, False)])
+def test_json_tests_agree_with_python(spark, text, ok):
+    row = spark.createDataFrame([(text,)], "t string").select(J.is_json("t"), J.normal_json("t"), J.repair("t")).first()
+    assert row[0] is ok and (row[1] is not None) == (ok and text not in ("null", "NaN"))
+    assert not ok or row[2] == text
+
+
+@pytest.mark.parametrize("html,text", [
+    ("<p>a <b>b</b>&amp;c</p>", "a b &c"), ("<head><title>t</title></head>x", "x"), ("<head><script>a</script><title>t</title></head>x", "t x"), ("<script>var a='</style>';</script>y", "y"),
+    ("<noscript>n</noscript>z", "z"), ("a<!-- b -->c", "a c"), ("<meta name=x>hidden</head>shown", "shown"), ("<link/>shown", "shown"), ("<style>p{}", ""), ("", ""), ("&nbsp;a&nbsp;", "a"), ("1 < 2", "1 < 2"), (None, None),
+])
+def test_visible_pieces(html, text):
+    assert H.visible_pieces(html) == text
+
+
+def test_joins_and_judges(spark, tmp_path):
+    records = spark.createDataFrame([("u", 1), ("u", 2), ("v", 3)], "url string, n int")
+    pages = spark.createDataFrame([("u", "h"), ("u", "h2")], "url string, html string")
+    assert [tuple(x) for x in assemble.records_with_html(records, pages, "n").collect()] == [("u", 1, "h")]
+    assert [tuple(x) for x in assemble.records_with_html(records, pages, "n", last=True).collect()] == [("u", 2, "h")]
+    results = spark.createDataFrame([(1, "u", "h", "ab"), (2, None, None, None)], "page_id long, url string, html string, jsonld string")
+
+    def failing(url, html, jsonld):
+        if url is None:
+            raise ValueError("no page")
+        return {"overall_score": 4, "pass": True}
+
+    found = {x.page_id: x for x in labeller.judge(results, failing, attempts=2).collect()}
+    assert found[1].passed and found[1].overall_score == 4.0 and found[2].error == "gave up after 2: no page" and found[2].passed is None
+    rows = results.selectExpr("page_id", "url", "jsonld", "named_struct('s', 1) AS rescore", "page_id = 1 AS rescore_pass")
+    assemble.write_rescored(rows, str(tmp_path / "all"), str(tmp_path / "final"))
+    assert spark.read.json(str(tmp_path / "all")).count() == 2 and [x.page_id for x in spark.read.json(str(tmp_path / "final")).collect()] == [1]
+    clash = spark.createDataFrame([(1, 5), (1, 6)], "k int, _rank int")
+    assert [tuple(x) for x in S.capped(clash, "k", 1, "_rank").collect()] == [(1, 5)]
+
+
+def test_index_scans_prune_folders(spark, tmp_path):
+    rows = spark.createDataFrame([("u1", "c1", "warc"), ("u2", "c2", "warc"), ("u3", "c1", "robots")], "url string, crawl string, subset string")
+    rows.write.partitionBy("crawl", "subset").parquet(str(tmp_path / "i"))
+    found = SRC.read_index(spark, str(tmp_path / "i"), "c1")
+    assert [x.url for x in found.collect()] == ["u1"] and "PartitionFilters: [isnotnull(crawl" in found._jdf.queryExecution().executedPlan().toString()
