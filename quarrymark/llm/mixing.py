@@ -21,7 +21,7 @@ from .shared import numbered, partitions, salted_join, written
 BLOCKS = 1 << 20
 REPEAT = 3
 #: Sources that the driver ranks itself, and documents expected in a shard.
-MOST_LOCAL, SHARD_ROWS = 10_000, 20_000
+MOST_LOCAL, SHARD_ROWS = 10_000, 1_000
 WORD = r"[^\x20\x09-\x0D]+"
 
 
