@@ -17,9 +17,9 @@ def frequencies(rows: DataFrame, key: str, most: int | None = None) -> DataFrame
 
 
 def shares(counts: DataFrame) -> DataFrame:
-    """Counts with their percentage of all; a total of a grouped table, not of rows."""
+    """Counts with their percentage of all (null where all are 0); a total of a grouped table, not of rows."""
     total = F.sum("n").over(Window.partitionBy())
-    return counts.withColumn("share", F.round(100.0 * F.col("n") / total, 6).cast("double"))
+    return counts.withColumn("share", F.round(F.try_divide(100.0 * F.col("n"), total), 6).cast("double"))
 
 
 def have_and_want(have: DataFrame, want: DataFrame, key: str) -> DataFrame:
@@ -47,6 +47,28 @@ def histogram(rows: DataFrame, x: str, bins: int) -> DataFrame:
     return rows.groupBy(F.floor(F.col(x) * bins).cast("long").alias("bin")).agg(F.count("*").alias("n"))
 
 
+def fixed_bins(rows: DataFrame, x: str, bins: int, most: float = 1.0) -> DataFrame:
+    """Rows in so many equal bins from 0 to `most`, which is in the last one; values outside are in none."""
+    at = F.least(F.floor(F.col(x) * F.lit(bins) / F.lit(most)), F.lit(bins - 1)).cast("long")
+    return rows.filter((F.col(x) >= 0) & (F.col(x) <= most)).groupBy(at.alias("bin")).agg(F.count("*").alias("n"))
+
+
+def adoption_report(rows: DataFrame, types: str = "types", most: int = 10) -> DataFrame:
+    """One row over sites (existing, generated, quality, properties, types): how many have markup, and what was generated where something was.
+
+    top_types: the most frequent types of all rows as name:count, ties by name.
+    """
+    made = F.col("generated")
+    mean = lambda c, places: F.round(F.coalesce(F.avg(F.when(made, F.col(c))), F.lit(0.0)), places)
+    sums = rows.agg(
+        F.count("*").alias("total"), F.count_if("existing").alias("with_markup"), F.count_if(~F.col("existing")).alias("without_markup"),
+        F.round(F.try_divide(F.count_if("existing"), F.count("*")), 3).alias("rate"), F.count_if(made).alias("valid"), mean("quality", 3).alias("mean_quality"), mean("properties", 1).alias("mean_properties"),
+    )
+    top = frequencies(rows.select(F.explode(types).alias("type")), "type", most)
+    listed = F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("k"), "type")))  # at most `most` rows
+    return sums.crossJoin(top.agg(F.array_join(F.transform(listed, lambda x: F.concat(x["type"], F.lit(":"), (-x["k"]).cast("string"))), ",").alias("top_types")))  # one row each
+
+
 def percentiles(rows: DataFrame, x: str, percents: tuple[int, ...], exact: bool = True) -> DataFrame:
     """Linear percentiles, or with exact=False approximate ones, whose state is small at any size."""
     at = F.array(*(F.lit(p / 100) for p in percents))
@@ -55,10 +77,10 @@ def percentiles(rows: DataFrame, x: str, percents: tuple[int, ...], exact: bool
 
 
 def coverage(rows: DataFrame, x: str, limits: list[int]) -> DataFrame:
-    """Percentage of rows below each limit, in one pass."""
+    """Percentage of rows below each limit, in one pass; null without rows."""
     found = rows.agg(F.count("*").alias("n"), *(F.count_if(F.col(x) < v).alias(f"c{v}") for v in limits))
     each = F.array(*(F.struct(F.lit(v).cast("long").alias("at"), F.col(f"c{v}").alias("c")) for v in limits))
-    return found.select("n", F.explode(each).alias("e")).select("e.at", F.round(100.0 * F.col("e.c") / F.col("n"), 6).cast("double").alias("share"))
+    return found.select("n", F.explode(each).alias("e")).select("e.at", F.round(F.try_divide(100.0 * F.col("e.c"), F.col("n")), 6).cast("double").alias("share"))
 
 
 def costs(rows: DataFrame, tokens: tuple[int, int] = (5300, 1000), price: dict[str, float] = TOKEN_PRICE, hour: float = GPU_HOUR, seconds: float = PAGE_SECONDS) -> DataFrame:

@@ -40,12 +40,12 @@ def type_targets(total: int, floor: int = 50, weights: dict[str, int] = R.TYPE_W
     return [(k, max(floor, total * w // whole)) for k, w in weights.items()]
 
 
-def sampled_to_targets(rows: DataFrame, kind: str, total: int, *keys: str, seed: str = "42", oversample: int = 1, unknown: int = 0) -> DataFrame:
+def sampled_to_targets(rows: DataFrame, kind: str, total: int, *keys: str, seed: str = "42", oversample: int = 1, unknown: int = 0, floor: int = 50) -> DataFrame:
     """Rows of each type up to its target times oversample, by hash rank; of other types `unknown` rows each."""
-    targets = rows.sparkSession.createDataFrame(type_targets(total), f"{kind} string, _target int")
+    targets = rows.sparkSession.createDataFrame(type_targets(total, floor), f"{kind} string, _target int")
     ranked = rows.join(F.broadcast(targets), kind, "left")  # a row for each of the configured types
     most = F.coalesce(F.col("_target") * oversample, F.lit(unknown))
-    ceiling = max(unknown, *(n * oversample for _, n in type_targets(total)))
+    ceiling = max(unknown, *(n * oversample for _, n in type_targets(total, floor)))
     return capped(ranked, kind, most, hash_rank(*keys, seed=seed), *keys, ceiling=ceiling).drop("_target")
 
 

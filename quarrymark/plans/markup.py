@@ -192,7 +192,7 @@ def improvement_delta(spark, sf):
 def adoption_summary(spark, sf):
     a = audited(spark, sf)
     some = F.count_if(F.col("existing") > 0)
-    return a.agg(F.count("*").alias("total"), some.alias("with_markup"), F.round(some / F.count("*"), 6).alias("rate"), F.round(F.avg("delta"), 6).alias("mean_delta"), F.round(F.avg(F.size("added")), 6).alias("mean_added"), F.count_if(F.col("delta") > 0.05).alias("improved"))
+    return a.agg(F.count("*").alias("total"), some.alias("with_markup"), F.round(F.try_divide(some, F.count("*")), 6).alias("rate"), F.round(F.avg("delta"), 6).alias("mean_delta"), F.round(F.avg(F.size("added")), 6).alias("mean_added"), F.count_if(F.col("delta") > 0.05).alias("improved"))
 
 
 @query(f"SELECT id, delta FROM {_DELTA} WHERE delta>0 ORDER BY delta DESC, id LIMIT 10")

@@ -41,7 +41,7 @@ def generation_targets(spark, sf):
 @query("SELECT count(*) AS n, count(*) FILTER (WHERE page_id % 4 < 3) AS still, round(100.0 * count(*) FILTER (WHERE page_id % 4 < 3) / count(*), 6)::DOUBLE AS share FROM pages")
 def manifest_consistency(spark, sf):
     has = F.size(H.jsonld_blocks(F.col("html"))) > 0
-    return marked(spark, sf).agg(count_n(), F.count_if(has).alias("still"), F.round(100.0 * F.count_if(has) / F.count("*"), 6).cast("double").alias("share"))
+    return marked(spark, sf).agg(count_n(), F.count_if(has).alias("still"), F.round(F.try_divide(100.0 * F.count_if(has), F.count("*")), 6).cast("double").alias("share"))
 
 
 @query("SELECT doc_id, length(text) > 1500 AND quality = 1 AS exported FROM labels JOIN documents USING (doc_id)")

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..session import own_folder
+
 
 def stream_json(spark: SparkSession, path: str, schema: str, per_trigger: int = 100) -> DataFrame:
     """JSON lines dropped in a folder; the checkpoint remembers what was read."""
@@ -46,7 +45,7 @@ def run_to_table(spark: SparkSession, stream: DataFrame, mode: str, path: str |
     path: a folder of the run's own; below spark.checkpoint.dir (locally, where that is unset, a temporary one) where it is None. No row
     passes through the driver.
     """
-    base = path or f"{spark.conf.get('spark.checkpoint.dir', None) or spark.sparkContext.getConf().get('spark.checkpoint.dir') or tempfile.mkdtemp()}/stream-{uuid.uuid4().hex}"
+    base = path or own_folder(spark, "stream")
 
     def save(batch: DataFrame, number: int) -> None:
         folder = f"{base}/rows" if mode == "complete" else f"{base}/rows/batch={number}"
@@ -55,8 +54,6 @@ def run_to_table(spark: SparkSession, stream: DataFrame, mode: str, path: str |
     stream.writeStream.foreachBatch(save).outputMode(mode).option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start().awaitTermination()
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(base)
     files = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if path is None:
-        files.deleteOnExit(where)
     if not files.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{base}/rows")):
         return spark.createDataFrame([], stream.schema)
     return spark.read.schema(stream.schema).parquet(f"{base}/rows").select(*stream.columns)

@@ -1,6 +1,8 @@
 """Hand-made cases with known answers."""
 
 import json
+import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,7 +14,9 @@ from quarrymark.functions import nquads as N
 from quarrymark.functions import urls as U
 from quarrymark.operators import assemble, labeller, pages, validate
 from quarrymark.operators import nquads as Q
+from quarrymark.operators import report as G
 from quarrymark.operators import sampling as S
+from quarrymark.session import own_folder
 from quarrymark.sources import readers as SRC
 from quarrymark.streaming import pools
 
@@ -225,3 +229,32 @@ def test_index_scans_prune_folders(spark, tmp_path):
     rows.write.partitionBy("crawl", "subset").parquet(str(tmp_path / "i"))
     found = SRC.read_index(spark, str(tmp_path / "i"), "c1")
     assert [x.url for x in found.collect()] == ["u1"] and "PartitionFilters: [isnotnull(crawl" in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_fixed_bins_close_at_both_ends(spark):
+    rows = spark.createDataFrame([(0.0,), (0.05,), (1.0,), (1.1,), (-0.1,), (None,)], "v double")
+    assert {r["bin"]: r["n"] for r in G.fixed_bins(rows, "v", 20).collect()} == {0: 1, 1: 1, 19: 1}
+    assert G.fixed_bins(rows.limit(0), "v", 20).count() == 0
+
+
+def test_adoption_report(spark):
+    kind = "existing boolean, generated boolean, quality double, properties long, types array<string>"
+    rows = [(True, True, 0.5, 4, ["A", "B"]), (False, False, 0.9, 9, ["B", "B"]), (False, True, 0.7, 5, []), (None, None, None, None, None)]
+    got = G.adoption_report(spark.createDataFrame(rows, kind), most=1).first()
+    assert tuple(got) == (4, 1, 2, 0.25, 2, 0.6, 4.5, "B:3")
+    none = G.adoption_report(spark.createDataFrame([], kind)).first()
+    assert (none.total, none.rate, none.mean_quality, none.top_types) == (0, None, 0.0, "")
+    assert [r.share for r in G.coverage(spark.createDataFrame([], "x long"), "x", [5]).collect()] == [None]
+
+
+def test_normal_text(spark):
+    texts = [" A  b\x1c\r\n C ", "", None, "　", "x​y"]
+    rows = spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "i long, x string")
+    got = {r.i: r.y for r in rows.select("i", H.normal_text(F.col("x")).alias("y")).collect()}
+    assert got == {i: None if x is None else re.sub(r"\s+", " ", x.lower().strip()) for i, x in enumerate(texts)}
+
+
+def test_own_folder_is_shared_and_deleted(spark):
+    path = own_folder(spark, "x")
+    assert path.startswith(spark.sparkContext.getConf().get("spark.checkpoint.dir")) and os.path.isdir(path)
+    assert own_folder(spark, "x") != path
