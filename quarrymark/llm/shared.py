@@ -83,10 +83,11 @@ def salted_join(rows: DataFrame, table: DataFrame, key: str, salt: Column, salts
     table has a row for each key at most. Only salts that a key has among the rows are given to its row,
     so that nothing is copied for rare keys.
     """
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(salt), F.lit(salts)).cast("int"))
-    seen = salted.groupBy(key).agg(F.collect_set("_salt").alias("_salts"))
-    spread = table.join(seen, key).select("*", F.explode("_salts").alias("_salt")).drop("_salts")
-    return salted.join(spread, [key, "_salt"], "left").drop("_salt")
+    dealt = unused(rows, "_salt")
+    salted = rows.withColumn(dealt, F.pmod(F.xxhash64(salt), F.lit(salts)).cast("int"))
+    seen = salted.groupBy(key).agg(F.collect_set(dealt).alias("_salts"))
+    spread = table.join(seen, key).select("*", F.explode("_salts").alias(dealt)).drop("_salts")
+    return salted.join(spread, [key, dealt], "left").drop(dealt)
 
 
 def numbered(rows: DataFrame, key: str, name: str = "src") -> DataFrame:

@@ -8,14 +8,16 @@ table with the ranks, dealt by salts so that a hub is no single task; each round
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import partitions, salted_join, written
+from .shared import partitions, salted_join, unused, written
 
 #: host, path, action.
 RULES = (("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block"))
-#: Rules up to this number are a constant of the plan; more are joined by host.
+#: Rules up to this number are a constant of the plan; more are joined by equality. Both give the same.
 MOST_CONSTANT = 1000
 DAMPING, CLOSE = 0.85, 1e-6
 #: Blocked where (distrust - trust) / (distrust + trust) is above this.
@@ -45,29 +47,41 @@ def with_rules(urls: DataFrame, rules: DataFrame | tuple = RULES) -> DataFrame:
     """urls, with host and path, and with rule and action of the longest rule that fits (null where none does).
 
     A rule fits its host and all subdomains, if the path starts with the rule's. rules: tuples or a table of host, path,
-    action; rules with nulls fit nothing, and of equal rules "block" counts.
+    action; rules with nulls fit nothing, and of equal rules "block" counts. Columns rule and action of urls are replaced.
     """
+    name = unused(urls, "_b")
     if isinstance(rules, DataFrame):
         clean = rules.select(lower_az(F.col("host")).alias("host"), "path", "action").na.drop().groupBy("host", "path").agg(F.max("action").alias("action"))
         some = clean.limit(MOST_CONSTANT + 1).collect()
         if len(some) > MOST_CONSTANT:
-            return _joined_rules(urls, clean)
+            return _joined_rules(urls, clean, name)
         rules = tuple(tuple(r) for r in some)
     if not rules:
         return urls.withColumns({"rule": F.lit(None).cast("string"), "action": F.lit(None).cast("string")})
     table = F.array(*(F.struct(F.lit(h).alias("host"), F.lit(p).alias("path"), F.lit(a).alias("action")) for h, p, a in rules))
-    return urls.withColumn("_b", _best(table, F.col("host"), F.col("path"))).withColumns({"rule": F.col("_b.rule"), "action": F.col("_b.action")}).drop("_b")
+    return urls.withColumn(name, _best(table, F.col("host"), F.col("path"))).withColumns({"rule": F.col(f"{name}.rule"), "action": F.col(f"{name}.action")}).drop(name)
 
 
-def _joined_rules(urls: DataFrame, rules: DataFrame) -> DataFrame:
-    """Many rules: each distinct host gathers those of its own suffixes; paths are compared row by row."""
-    hosts = urls.select("host").distinct()
+def _joined_rules(urls: DataFrame, rules: DataFrame, name: str) -> DataFrame:
+    """Many rules, met by equality: a host and path asks for each suffix of the host with each prefix of the path that is as long as one of
+    that suffix's rules. No host gathers rules, and what is asked is bounded by the labels of a host and the lengths of paths, however many
+    rules there are. A url that many rows have asks once."""
+    salts = 2 * partitions(urls.sparkSession)
+    asked = urls.select("host", "path").distinct()
     labels = F.split("host", r"\.")
     suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
-    found = hosts.select(F.col("host").alias("_own"), F.explode(suffixes).alias("host")).join(rules, "host")
-    lists = found.groupBy(F.col("_own").alias("host")).agg(F.collect_list(F.struct("host", "path", "action")).alias("_rules"))
-    joined = salted_join(urls, lists, "host", F.xxhash64("path"), 2 * partitions(urls.sparkSession))
-    return joined.withColumn("_b", _best(F.coalesce("_rules", F.array().cast("array<struct<host:string,path:string,action:string>>")), F.col("host"), F.col("path"))).withColumns({"rule": F.col("_b.rule"), "action": F.col("_b.action")}).drop("_b", "_rules")
+    asked = asked.select("host", "path", F.explode(suffixes).alias("suffix"))
+    mixed = F.xxhash64("host", "path")
+    lengths = rules.groupBy(F.col("host").alias("suffix")).agg(F.collect_set(F.length("path")).alias("lengths"))
+    tried = salted_join(asked, lengths, "suffix", mixed, salts).withColumn("n", F.explode(F.filter("lengths", lambda k: k <= F.length("path"))))
+    tried = tried.select("host", "path", F.struct("suffix", F.substring("path", F.lit(1), F.col("n")).alias("prefix")).alias("key"))
+    rule = F.concat("host", "path")
+    table = rules.select(F.struct(F.col("host").alias("suffix"), F.col("path").alias("prefix")).alias("key"), F.struct(F.length(rule).alias("n"), F.length("host").alias("h"), rule.alias("rule"), "action").alias("b"))
+    fits = salted_join(tried, table, "key", mixed, salts).filter("b IS NOT NULL")
+    best = fits.groupBy(F.struct("host", "path").alias(name)).agg(F.max("b").alias("b")).select(name, F.col("b.rule").alias("rule"), F.col("b.action").alias("action"))
+    keyed = urls.drop("rule", "action").withColumn(name, F.struct("host", "path"))
+    plain = [F.col(f"`{c}`") for c, kind in keyed.dtypes if not re.search("map<|variant", kind)]
+    return salted_join(keyed, best, name, F.xxhash64(*plain), salts).drop(name)
 
 
 def host_edges(pages: DataFrame) -> DataFrame:

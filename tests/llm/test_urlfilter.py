@@ -47,6 +47,27 @@ def test_many_rules_are_joined(spark, monkeypatch):
     assert sorted(map(tuple, U.with_rules(urls, table).select(cols).collect()), key=str) == sorted(few, key=str)
 
 
+def test_joined_rules_against_plain_matching(spark, monkeypatch):
+    """Rules of many lengths, clashing as text, with hosts that hold a slash or nothing; repeated urls and clashing columns."""
+    monkeypatch.setattr(U, "MOST_CONSTANT", 0)
+    rules = [("com", "/", "block"), ("com", "/a", "allow"), ("x.com", "/", "allow"), ("com", "/abc", "block"), ("com", "", "allow"), ("com/", "a", "block"), ("", "/", "block"), ("x.com", "/a", "block"), ("x.com", "/a", "allow"), ("é.com", "/\U0001f600", "block"), ("", "", "allow"), ("COM", "/z/", "block")]
+    hosts = ["com", "x.com", "a.x.com", "xx.com", "x.com.", "é.com", "net", ""]
+    urls = [(h, p) for h in hosts for p in ("", "/", "/a", "/ab", "/abcd", "/\U0001f600x", "/z/1", "/z")]
+    rows = [(i, h, p, "old", {"k": 1}) for i, (h, p) in enumerate([*urls, *urls[:9]])]
+    got = U.with_rules(spark.createDataFrame(rows, "_b long, host string, path string, rule string, _salt map<string,int>"), spark.createDataFrame(rules, "host string, path string, action string"))
+    assert sorted(got.columns) == ["_b", "_salt", "action", "host", "path", "rule"]
+    table: dict = {}
+    for h, p, a in rules:
+        h = h.lower()
+        table[h, p] = max(a, table.get((h, p), ""))
+    want = {}
+    for i, h, p, *_ in rows:
+        fit = [(len(x + y), len(x), x + y, a) for (x, y), a in table.items() if (h == x or h.endswith("." + x)) and p.startswith(y)]
+        want[i] = max(fit, default=(0, 0, None, None))[2:]
+    assert {r._b: (r.rule, r.action) for r in got.collect()} == want
+    assert got.count() == len(rows)
+
+
 def test_page_rank_against_dense_iteration(spark):
     hosts = "abcdef"
     links = [("a", "b", 2), ("a", "c", 1), ("b", "c", 1), ("c", "a", 3), ("d", "c", 1), ("c", "e", 1)]
