@@ -67,4 +67,36 @@ SELECT doc_id, coalesce(least(doc_id, low), doc_id) AS class_id, coalesce(n_link
 FROM documents LEFT JOIN c ON c.u = doc_id LEFT JOIN k ON k.u = doc_id
 """
 
-ALL = {"op9_jaccard_join": OP9, "op4_warc": OP4, "op10_decontaminate": OP10, "op3_suffix_dedup": OP3, "op8_substring_dedup": OP8}
+#: crc32 of decimal digits, bit by bit: DuckDB has none.
+_BYTE = "list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]), lambda x, y: xor(x >> 1, (x & 1) * 3988292384))"
+CRC = f"xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda s: ord(s)::BIGINT)), lambda c, b: {_BYTE}), 4294967295)"
+
+OP11 = f"""
+WITH RECURSIVE t AS (SELECT conv_id, md5(md5(coalesce(role, '')) || md5(coalesce(text, ''))) AS k, length(coalesce(text, '')) AS size,
+  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(coalesce(role, '')), md5(coalesce(text, ''))) - 1 AS pos FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, conv_id - conv_id % 100 AS base, {CRC} % 6 AS h FROM (SELECT DISTINCT conv_id FROM t)),
+r AS (SELECT c.conv_id, 0 AS own, pos, k, size FROM c JOIN t ON t.conv_id = base WHERE pos < h UNION ALL SELECT conv_id, 1, pos, k, size FROM c JOIN t USING (conv_id) WHERE pos >= h),
+n AS (SELECT conv_id, k, size, row_number() OVER (PARTITION BY conv_id ORDER BY own, pos) AS depth FROM r),
+p AS (SELECT conv_id, depth, size, md5(string_agg(k, '' ORDER BY depth) OVER (PARTITION BY conv_id ORDER BY depth)) AS key FROM n UNION ALL SELECT conv_id, 0, 0, 'root' FROM c),
+q AS (SELECT *, lag(key) OVER (PARTITION BY conv_id ORDER BY depth) AS up, max(depth) OVER (PARTITION BY conv_id) AS last FROM p),
+v AS (SELECT key, depth, any_value(up) AS up, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(size) AS size, max(last) = depth AS leaf,
+  sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE last = depth), '')) AS ends_sha256 FROM q GROUP BY key, depth),
+u AS (SELECT key AS top, key FROM v UNION ALL SELECT top, v.key FROM u JOIN v ON v.up = u.key),
+s AS (SELECT top, sum(leaf::INT)::BIGINT AS n_leaves, sum((n_convs - 1) * size)::BIGINT AS saved_tokens FROM u JOIN v USING (key) GROUP BY top),
+k AS (SELECT up, count(*) AS n_children FROM v GROUP BY up)
+SELECT v.conv_id, v.depth, w.conv_id AS parent_conv_id, v.n_convs, coalesce(n_children, 0) AS n_children, n_leaves, saved_tokens, v.ends_sha256
+FROM v JOIN s ON s.top = v.key LEFT JOIN v w ON w.key = v.up LEFT JOIN k ON k.up = v.key
+"""
+
+OP13 = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u, sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS g FROM documents),
+h AS (SELECT *, len(u) AS n, ('0x' || substr(g, 1, 8))::BIGINT AS h1, ('0x' || substr(g, 9, 8))::BIGINT AS h2, ('0x' || substr(g, 17, 8))::BIGINT AS h3, ('0x' || substr(g, 25, 8))::BIGINT AS h4 FROM d),
+f AS (SELECT *, CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 100 THEN 'plain' WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form,
+  least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b FROM h),
+c AS (SELECT *, coalesce(array_to_string(u[1:a], ''), '') AS p, coalesce(array_to_string(u[a + 1:b], ''), '') AS m, coalesce(array_to_string(u[b + 1:], ''), '') AS s FROM f)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(text) AS restored_sha256
+FROM c
+"""
+
+ALL = {"op11_prefix_trie": OP11, "op13_fill_in_middle": OP13, "op9_jaccard_join": OP9, "op4_warc": OP4, "op10_decontaminate": OP10, "op3_suffix_dedup": OP3, "op8_substring_dedup": OP8}
