@@ -148,10 +148,9 @@ def html_text_length_stats(spark, sf):
     return g.groupBy("status").agg(count_n(), F.sum("a").alias("chars"), F.sum("b").alias("tagless"), F.sum("c").alias("snippets"))
 
 
-@query(f"WITH l AS (SELECT page_id, {HOST} AS h, regexp_extract(url,'^([^:/?#]+):',1) AS s, unnest(regexp_extract_all(html,'href=\"([^\"]+)\"',1)) AS x, generate_subscripts(regexp_extract_all(html,'href=\"([^\"]+)\"',1),1) AS i FROM pages), r AS (SELECT page_id, i, CASE WHEN starts_with(x,'//') THEN s||':'||x WHEN starts_with(x,'/') THEN s||'://'||h||x ELSE x END AS link FROM l) SELECT page_id, link FROM r WHERE starts_with(link,'http') QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY i) <= 5")
+@query(f"WITH l AS (SELECT page_id, {HOST} AS h, regexp_extract(url,'^([^:/?#]+):',1) AS s, unnest(regexp_extract_all(html,'href=\"([^\"]+)\"',1)) AS x, generate_subscripts(regexp_extract_all(html,'href=\"([^\"]+)\"',1),1) AS i FROM pages), r AS (SELECT page_id, i, CASE WHEN starts_with(x,'//') THEN s||':'||x WHEN starts_with(x,'/') THEN s||'://'||h||x ELSE x END AS link FROM l) SELECT page_id, link FROM r WHERE starts_with(link,'http')")
 def link_extract(spark, sf):
-    links = F.slice(U.resolved_links(F.col("html"), F.col("url")), 1, 5)
-    return t(spark, sf, "pages").select("page_id", F.explode(links).alias("link"))
+    return t(spark, sf, "pages").select("page_id", F.explode(U.resolved_links(F.col("html"), F.col("url"))).alias("link"))
 
 
 @query("SELECT page_id, substr(regexp_replace(regexp_extract(html,'<title[^>]*>([^<]+)</title>',1,'i'),'^\\s+|\\s+$','','g'),1,100) AS title, replace(replace(replace(substr(regexp_replace(regexp_extract(html,'<title[^>]*>([^<]+)</title>',1,'i'),'^\\s+|\\s+$','','g'),1,100),'&','&amp;'),'<','&lt;'),'>','&gt;') AS escaped FROM pages")
