@@ -9,26 +9,50 @@ from ..functions import nquads as N
 from ..functions.urls import iri, local_name
 
 
+#: Lines of a file that are looked at together.
+SEGMENT = 1 << 16
+
+
 def parse(lines: DataFrame, compat: bool = False) -> DataFrame:
-    """lines (file, line_no, line) -> subject, property, value, source_url; blank lines, comments and short lines go."""
+    """lines (file, line_no, line, and block where there is one) -> subject, property, value, source_url beside them; blank lines, comments and short lines go."""
     own = lines.filter("line IS NOT NULL AND trim(line) <> '' AND NOT startswith(trim(line), '#')").withColumn("t", N.tokens(F.col("line"))).filter("t IS NOT NULL")
-    return own.select("file", "line_no", iri(F.col("t")[0]).alias("subject"), local_name(F.col("t")[1]).alias("property"), N.value(F.col("t")[2], compat).alias("value"), iri(F.col("t")[3]).alias("source_url"))
+    place = ["file", *(c for c in ("block",) if c in lines.columns), "line_no"]
+    return own.select(*place, iri(F.col("t")[0]).alias("subject"), local_name(F.col("t")[1]).alias("property"), N.value(F.col("t")[2], compat).alias("value"), iri(F.col("t")[3]).alias("source_url"))
 
 
-def entities(quads: DataFrame, grouping: str = "runs") -> DataFrame:
+def runs(quads: DataFrame, segment: int = SEGMENT) -> DataFrame:
+    """quads with run, the number of their run of one subject and source among those of their file.
+
+    A file is cut into segments, by its splits and by line numbers. Changes are counted within segments; the first and last quad of each, and how many
+    changes it has, say whether a run goes on over a border and where its numbers begin. So a file of any size is many tasks, and
+    what meets in one is a row for each of its segments.
+    """
+    block = F.col("block") if "block" in quads.columns else F.lit(0).cast("long")
+    keys = F.struct("subject", "source_url")
+    dealt = quads.withColumn("_s", F.struct(block.alias("b"), F.floor(F.col("line_no") / segment).alias("n")))
+    w = Window.partitionBy("file", "_s").orderBy("line_no")
+    change = F.when(F.lag(F.lit(1)).over(w).isNull() | F.lag(keys).over(w).eqNullSafe(keys), 0).otherwise(1)  # none at a segment's first quad
+    local = dealt.withColumn("_c", change).withColumn("_local", F.sum("_c").over(w))
+    ends = local.groupBy("file", "_s").agg(F.min_by(keys, "line_no").alias("opens"), F.max_by(keys, "line_no").alias("closes"), F.max("_local").alias("changes"))
+    across = Window.partitionBy("file").orderBy("_s")
+    fresh = F.when(F.lag(F.lit(1)).over(across).isNull() | ~F.lag("closes").over(across).eqNullSafe(F.col("opens")), 1).otherwise(0)
+    starts = ends.withColumn("fresh", fresh).select("file", "_s", (F.sum(F.col("fresh") + F.col("changes")).over(across) - F.col("changes")).alias("_base"))
+    return local.join(starts, ["file", "_s"]).withColumn("run", F.col("_base") + F.col("_local")).drop("_s", "_c", "_local", "_base")
+
+
+def entities(quads: DataFrame, grouping: str = "runs", segment: int = SEGMENT) -> DataFrame:
     """subject, source_url, properties (map of arrays) of each run of quads with one subject and source in a file.
 
     A subject that comes back later is another entity; with grouping "global" it isn't. Quads without a value add nothing, and
-    entities without values go. A file's lines are one window, so files are the unit of parallel work.
+    entities without values go.
     """
     keys = ["subject", "source_url"]
     if grouping == "runs":
-        w = Window.partitionBy("file").orderBy("line_no")
-        change = F.when((F.lag("subject").over(w).eqNullSafe(F.col("subject"))) & (F.lag("source_url").over(w).eqNullSafe(F.col("source_url"))), 0).otherwise(1)
-        quads = quads.withColumn("change", change).withColumn("run", F.sum("change").over(w)).drop("change")
+        quads = runs(quads, segment)
         keys = ["file", "run", *keys]
-    values = quads.filter("value IS NOT NULL").groupBy(*keys, "property").agg(F.array_sort(F.collect_list(F.struct("line_no", "value"))).alias("v"))
-    each = values.withColumn("first", F.col("v")[0]["line_no"]).withColumn("v", F.transform("v", lambda x: x["value"]))
+    place = F.struct(*(c for c in ("file", "block") if c in quads.columns and c not in keys), "line_no")
+    values = quads.filter("value IS NOT NULL").groupBy(*keys, "property").agg(F.array_sort(F.collect_list(F.struct(place.alias("at"), "value"))).alias("v"))
+    each = values.withColumn("first", F.col("v")[0]["at"]).withColumn("v", F.transform("v", lambda x: x["value"]))
     out = each.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("first", "property", "v"))).alias("p"))
     return out.withColumn("properties", F.map_from_entries(F.transform("p", lambda x: F.struct(x["property"], x["v"])))).drop("p")
 

@@ -13,6 +13,7 @@ from ..operators import pages as P
 from ..operators import report as G
 from ..operators import sampling as S
 from ..operators import validate as V
+from ..session import own_folder
 from ..sources import readers as SRC
 from .base import HOST, KIND, PART_JSON, STRIP, TEXT, count_n, n, parts_jsonld, query, t, with_kind
 from .markup import _QUADS, _SCORE, quads
@@ -139,16 +140,21 @@ def page_links_capped(spark, sf):
     return rows.select("page_id", F.explode(F.when(k == 0, own(40)).when(k == 1, own(50)).otherwise(own(30))).alias("link"))
 
 
-@query(f"SELECT string_split({HOST},'.')[-1] AS tld, count(*) AS n, min(url) AS sample FROM pages GROUP BY 1")
+@query(f"SELECT length(html) > 2000 AS large, string_split({HOST},'.')[-1] AS tld, count(*) AS n, min(url) AS sample FROM pages WHERE contains(html, '</body>') GROUP BY ALL")
 def index_table_scan(spark, sf):
-    rows = SRC.read_index(spark, f"{sf}/pages.parquet", crawl="any")
-    return rows.groupBy(F.substring_index(U.authority(F.col("url")), ".", -1).alias("tld")).agg(count_n(), F.min("url").alias("sample"))
+    """A hive-partitioned index of two crawls: each is read by its folders, and pages that were cut off are in another subset's."""
+    path = f"{own_folder(spark, 'index')}/rows"
+    crawl = F.when(F.length("html") > 2000, "large").otherwise("small")
+    subset = F.when(F.contains("html", F.lit("</body>")), "warc").otherwise("crawldiagnostics")
+    t(spark, sf, "pages").select("url", crawl.alias("crawl"), subset.alias("subset")).write.partitionBy("crawl", "subset").parquet(path)
+    each = [SRC.read_index(spark, path, k).groupBy(F.lit(k == "large").alias("large"), F.substring_index(U.authority(F.col("url")), ".", -1).alias("tld")).agg(count_n(), F.min("url").alias("sample")) for k in ("large", "small")]
+    return each[0].unionByName(each[1])
 
 
 @query(f"SELECT {HOST} AS domain, count(*) AS page_count, min(url) AS sample_url FROM pages WHERE ends_with({HOST}, '.org') GROUP BY 1 ORDER BY page_count DESC, domain LIMIT 200000")
 def catalog_index_query(spark, sf):
     rows = t(spark, sf, "pages").select("url", U.authority(F.col("url")).alias("host"))
-    return SRC.catalog_query(spark, "SELECT host AS domain, count(*) AS page_count, min(url) AS sample_url FROM crawl_index WHERE endswith(host, '.org') GROUP BY host ORDER BY page_count DESC, domain LIMIT 200000", crawl_index=rows)
+    return SRC.catalog_query(spark, "SELECT host AS domain, count(*) AS page_count, min(url) AS sample_url FROM {crawl_index} WHERE endswith(host, '.org') GROUP BY host ORDER BY page_count DESC, domain LIMIT 200000", crawl_index=rows)
 
 
 @query(_QUADS + ", m AS (SELECT file, line_no, regexp_extract(line, '^<([^>]+)>', 1) AS url FROM l) SELECT file, line_no, url FROM m WHERE starts_with(url, 'http') AND regexp_matches(regexp_extract(url,'^[^:/?#]+://([^/?#]*)',1), '\\.ie$') QUALIFY row_number() OVER (PARTITION BY file ORDER BY line_no) <= 60")

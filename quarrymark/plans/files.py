@@ -14,7 +14,7 @@ from ..sources import readers as SRC
 from ..streaming import pools
 from .base import KIND, count_n, n, query, t, with_kind
 from .data import _RANK, _STATS
-from .markup import _RUNS, quads
+from .markup import _RUNS, quads, shown_properties
 
 
 @query("SELECT doc_id, lang, md5(text) AS digest FROM documents")
@@ -84,6 +84,28 @@ def nquads_file_entities(spark, sf):
     return e.select("subject", "source_url", n(F.size(keys)).alias("n_properties"), F.array_min(keys).alias("first_property"))
 
 
+@query(_RUNS + " SELECT subject, source_url, string_agg(property||'='||v, ';' ORDER BY property) AS properties FROM p GROUP BY file, run, subject, source_url")
+def nquads_split_runs(spark, sf):
+    """Plain files, which are read in splits: runs are found in segments of few lines and go on over their borders."""
+    folder = own_folder(spark, "quads")
+    quads(spark, sf).repartition("file").sortWithinPartitions("file", "line_no").select("file", "line").write.partitionBy("file").text(f"{folder}/rows")
+    e = Q.entities(Q.parse(SRC.read_nquads(spark, f"{folder}/rows")), segment=16)
+    return e.select("subject", "source_url", shown_properties().alias("properties"))
+
+
+@query(_RUNS.replace("s_suppkey % 4 AS file", "s_suppkey % 7 AS file") + " SELECT file AS part, subject, source_url, string_agg(property||'='||v, ';' ORDER BY property) AS properties FROM p WHERE file IN (1, 4) GROUP BY file, run, subject, source_url")
+def tld_part_entities(spark, sf):
+    """Quads in seven parts, of which a lookup names those with hosts of a TLD: only these are opened."""
+    folder, k = own_folder(spark, "parts"), F.col("s_suppkey")
+    lines = quads(spark, sf).withColumn("part", F.floor(F.col("line_no") / 10) % 7)
+    lines.repartition("part").sortWithinPartitions("part", "line_no").select("part", "line").write.partitionBy("part").option("compression", "gzip").text(f"{folder}/rows")
+    tld = F.when((k % 7).isin(1, 4), "ie").otherwise("com")
+    lookup = t(spark, sf, "supplier").select(F.concat(F.lit("s"), k.cast("string"), F.lit("."), tld).alias("pld"), tld.alias("tld"), F.concat(F.lit("part_"), (k % 7).cast("string"), F.lit(".gz")).alias("part_name"))
+    lines = SRC.read_parts(spark, f"{folder}/rows", Q.parts_for_tld(lookup, "ie"))
+    e = Q.entities(Q.parse(lines.withColumn("file", F.col("part"))))
+    return e.select(F.col("file").alias("part"), "subject", "source_url", shown_properties().alias("properties"))
+
+
 @query("SELECT DISTINCT url FROM pages WHERE url IS NOT NULL")
 def index_url_set(spark, sf):
     """Index answers as a set: JSON lines and plain URLs of the same pages, a resume key at the end of each answer."""

@@ -49,14 +49,18 @@ def nquads_tokenise(spark, sf):
     return Q.parse(quads(spark, sf))
 
 
+def shown_properties():
+    """Properties of an entity as one text: names in order, and their values."""
+    return F.array_join(F.array_sort(F.transform(F.map_entries("properties"), lambda x: F.concat(x["key"], F.lit("="), F.array_join(x["value"], "|")))), ";")
+
+
 _RUNS = _PARSED + ", c AS (SELECT *, CASE WHEN lag(subject) OVER w = subject AND lag(source_url) OVER w = source_url THEN 0 ELSE 1 END AS ch FROM q WINDOW w AS (PARTITION BY file ORDER BY line_no)), r AS (SELECT *, sum(ch) OVER (PARTITION BY file ORDER BY line_no) AS run FROM c), p AS (SELECT file, run, subject, source_url, property, string_agg(value,'|' ORDER BY line_no) AS v, count(*) AS nv FROM r WHERE value IS NOT NULL GROUP BY ALL)"
 
 
 @query(_RUNS + " SELECT subject, source_url, string_agg(property||'='||v, ';' ORDER BY property) AS properties, count(*) AS n_properties FROM p GROUP BY file, run, subject, source_url")
 def nquads_entity_runs(spark, sf):
     e = Q.entities(Q.parse(quads(spark, sf)))
-    shown = F.array_join(F.array_sort(F.transform(F.map_entries("properties"), lambda x: F.concat(x["key"], F.lit("="), F.array_join(x["value"], "|")))), ";")
-    return e.select("subject", "source_url", shown.alias("properties"), n(F.size(F.map_keys("properties"))).alias("n_properties"))
+    return e.select("subject", "source_url", shown_properties().alias("properties"), n(F.size(F.map_keys("properties"))).alias("n_properties"))
 
 
 @query(_PARSED + ", f AS (SELECT subject, source_url, property, list(value ORDER BY line_no) AS v, min(line_no) AS o FROM q WHERE value IS NOT NULL GROUP BY ALL), j AS (SELECT subject, count(*) AS c, '{\"@context\":\"https://schema.org\",\"@type\":\"LocalBusiness\",'||string_agg('\"'||property||'\":'||CASE WHEN len(v)=1 THEN to_json(v[1])::VARCHAR ELSE to_json(v)::VARCHAR END, ',' ORDER BY o)||'}' AS jsonld FROM f WHERE property NOT IN ('type','context') GROUP BY subject, source_url) SELECT subject, jsonld, c AS property_count FROM j WHERE c >= 4")

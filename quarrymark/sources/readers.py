@@ -18,19 +18,20 @@ def index_lines(lines: DataFrame) -> DataFrame:
     return rows.filter("url IS NOT NULL")
 
 
-def read_index(spark: SparkSession, path: str, crawl: str | None = None, subset: str = "warc") -> DataFrame:
-    """A hive-partitioned Parquet index; crawl and subset prune folders."""
+def read_index(spark: SparkSession, path: str, crawl: str | None = None, subset: str | None = "warc") -> DataFrame:
+    """A hive-partitioned Parquet index; crawl and subset prune folders. Asking for one that the index isn't partitioned by is an error."""
     rows = spark.read.parquet(path)
-    if crawl and "crawl" in rows.columns:
-        rows = rows.filter(F.col("crawl") == crawl)
-    return rows.filter(F.col("subset") == subset) if "subset" in rows.columns else rows
+    for name, value in (("crawl", crawl), ("subset", subset)):
+        if value is not None:
+            if name not in rows.columns:
+                raise ValueError(f"the index at {path} has no {name}")
+            rows = rows.filter(F.col(name) == value)
+    return rows
 
 
 def catalog_query(spark: SparkSession, sql: str, **tables: DataFrame) -> DataFrame:
-    """SQL over catalog tables, some of them frames under names of their own."""
-    for name, rows in tables.items():
-        rows.createOrReplaceTempView(name)
-    return spark.sql(sql)
+    """SQL over catalog tables, and over frames that it names in braces; the session's views stay as they are."""
+    return spark.sql(sql, **tables)
 
 
 def page_urls(lines: DataFrame, quota: int, english: bool = True) -> DataFrame:
@@ -58,9 +59,21 @@ def to_fetch(records: DataFrame, cached: DataFrame, *order: str, most: int | Non
 
 
 def read_nquads(spark: SparkSession, *paths: str) -> DataFrame:
-    """file, line_no, line. Gzip files are read by one task each, so that lines keep their order."""
-    lines = spark.read.text(list(paths)).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("line"))
-    return lines.select("file", F.monotonically_increasing_id().alias("line_no"), "line")
+    """file, block, line_no, line. Plain files are read in splits, gzip files by one task each; (block, line_no) orders a file's lines,
+    block being where the line's split begins."""
+    lines = spark.read.text(list(paths)).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.col("value").alias("line"))
+    return lines.select("file", "block", F.monotonically_increasing_id().alias("line_no"), "line")
+
+
+def read_parts(spark: SparkSession, path: str, parts: DataFrame, part: str = "part") -> DataFrame:
+    """file, block, line_no, line and part of the quads in the folders part=N of path that parts (part) names; no other file is opened.
+
+    The folders are pruned when the join's small side is known, which is broadcast: a row for each part.
+    """
+    wanted = F.broadcast(parts.select(part).distinct())
+    rows = spark.read.schema(f"value string, {part} bigint").text(path)
+    kept = rows.select("value", part, F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")).join(wanted, part)
+    return kept.select("file", "block", F.monotonically_increasing_id().alias("line_no"), F.col("value").alias("line"), part)
 
 
 def gzip_files(spark: SparkSession, path: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import json
 import os
+import random
 import re
 
 import pytest
@@ -61,6 +62,59 @@ def test_runs(spark):
     assert Q.entities(quads).count() == 3 and Q.entities(quads, "global").count() == 2
 
 
+@pytest.mark.parametrize("segment", [1, 2, 3, 7, 1000])
+def test_runs_go_on_over_segments(spark, segment):
+    r = random.Random(segment)
+    lines = [(f, i, f"<http://{r.choice('ab')}> <http://s/n> {r.choice(['_:b', chr(34) + str(i) + chr(34)])} <http://{r.choice('pp' if f else 'pq')}> .") for f in range(3) for i in r.sample(range(60), 30)]
+    lines += [(9, i, f'<http://a> <http://s/n> "{i}" <http://p> .') for i in range(50)] + [(8, i, None) for i in range(3)]
+    quads = Q.parse(spark.createDataFrame(lines, "file int, line_no int, line string").repartition(5))
+    want, last = {}, None
+    for q in sorted(quads.collect(), key=lambda q: (q.file, q.line_no)):
+        if last is None or (q.file, q.subject, q.source_url) != last:
+            last, n = (q.file, q.subject, q.source_url), len(want)
+            want[n] = (q.subject, q.source_url, [])
+        if q.value is not None:
+            want[n][2].append(q.value)
+    got = sorted((e.subject, e.source_url, e.properties["n"]) for e in Q.entities(quads, segment=segment).collect())
+    assert got == sorted(x for x in want.values() if x[2])
+
+
+def test_one_plain_file_is_many_tasks(spark, tmp_path):
+    lines = [f'<http://s{i // 7}> <http://s/n> "{i}" <http://p> .' for i in range(20_000)]
+    (tmp_path / "a.nq").write_text("\n".join(lines))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", 64 << 10)
+        rows = SRC.read_nquads(spark, str(tmp_path / "a.nq"))
+        assert rows.rdd.getNumPartitions() > 10
+        e = Q.entities(Q.parse(rows))
+        assert sorted((x.subject, x.properties["n"]) for x in e.collect()) == sorted((f"http://s{k}", [str(i) for i in range(7 * k, min(7 * k + 7, 20_000))]) for k in range(-(-20_000 // 7)))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_only_named_parts_are_opened(spark, tmp_path):
+    rows = spark.range(70).select((F.col("id") % 7).alias("part"), F.concat(F.lit("<http://s> <http://s/n> \""), F.col("id").cast("string"), F.lit("\" <http://p> .")).alias("line"))
+    rows.repartition("part").write.partitionBy("part").text(str(tmp_path / "q"))
+    lookup = spark.createDataFrame([("a.ie", "ie", "part_1.gz"), ("b.ie", "ie", "part_4.gz"), ("c.com", "com", "part_2.gz")], "pld string, tld string, part_name string")
+    found = SRC.read_parts(spark, str(tmp_path / "q"), Q.parts_for_tld(lookup, "ie"))
+    rows = found.collect()
+    assert {x.part for x in rows} == {1, 4} and len(rows) == 20
+    plan = found._jdf.queryExecution().executedPlan()
+    assert "dynamicpruning" in plan.toString().lower()
+    (scan,) = [x for x in leaves(plan) if x.getClass().getSimpleName() == "FileSourceScanExec"]
+    assert scan.metrics().apply("numFiles").value() == 2
+
+
+def leaves(plan):
+    """The nodes without children of a plan that ran."""
+    name = plan.getClass().getSimpleName()
+    if name == "AdaptiveSparkPlanExec" or name.endswith("QueryStageExec"):
+        return leaves(plan.executedPlan() if name.startswith("Adaptive") else plan.plan())
+    kids = plan.children()
+    return [x for i in range(kids.size()) for x in leaves(kids.apply(i))] if kids.size() else [plan]
+
+
 CASES = [
     ("{%s,\"@type\":\"Product\",\"name\":\"A\",\"brand\":\"B\"}" % CTX, True, 0, 0, 2, 0.2),
     ("{%s,\"@type\":\"Restaurant\",\"name\":\"A\",\"address\":\"x\",\"telephone\":\"1\"}" % CTX, True, 0, 0, 3, 0.18),
@@ -229,6 +283,15 @@ def test_index_scans_prune_folders(spark, tmp_path):
     rows.write.partitionBy("crawl", "subset").parquet(str(tmp_path / "i"))
     found = SRC.read_index(spark, str(tmp_path / "i"), "c1")
     assert [x.url for x in found.collect()] == ["u1"] and "PartitionFilters: [isnotnull(crawl" in found._jdf.queryExecution().executedPlan().toString()
+    assert SRC.read_index(spark, str(tmp_path / "i"), subset=None).count() == 3
+    with pytest.raises(ValueError, match="no crawl"):
+        SRC.read_index(spark, str(tmp_path / "i" / "crawl=c1"), "c1")
+
+
+def test_catalog_queries_leave_views_alone(spark):
+    spark.range(3).createOrReplaceTempView("mine")
+    found = SRC.catalog_query(spark, "SELECT count(*) AS n FROM {mine} a JOIN mine USING (id)", mine=spark.range(2))
+    assert found.first().n == 2 and spark.table("mine").count() == 3
 
 
 def test_fixed_bins_close_at_both_ends(spark):
