@@ -1,18 +1,16 @@
-"""Two validators of JSON-LD and the decisions built on them."""
+"""The first validator of JSON-LD, the vocabulary of the second (judge.py), and the decisions built on both."""
 
 from __future__ import annotations
 
 import json
-import re
-from collections.abc import Iterator
+from collections.abc import Sequence
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import reference_data as R
 from ..functions.html import jsonld_blocks
-from ..functions.jsontext import _parsed, normal_json, without_fence
+from ..functions.jsontext import normal_json
 
 
 def _rule_map(which: int) -> Column:
@@ -64,175 +62,38 @@ def pages_with_quality_markup(pages: DataFrame, key: str, least: float = 0.4) ->
 
 
 class Vocabulary:
-    """Own properties of types, and those of the types they stand below; small enough to travel with the code that uses it.
+    """Types with their own properties, and the types right above them, whose properties they have too."""
 
-    own: properties by type, as a sequence or one text; below: types below a type, likewise, "" for those below none.
-    """
-
-    def __init__(self, own: dict = R.VOCABULARY, below: dict = R.BELOW) -> None:
-        words = lambda x: tuple(x.split()) if isinstance(x, str) else tuple(x)
-        above: dict[str, set[str]] = {}
-        for top, kinds in below.items():
-            for k in words(kinds):
-                above.setdefault(k, set()).update({top} - {""})
-        self.types = {*own, *above, *below} - {""}
+    def __init__(self, own: dict[str, Sequence[str]], above: dict[str, Sequence[str]]) -> None:
+        self.types = {*own, *above, *(t for tops in above.values() for t in tops)}
         self.valid: dict[str, set[str]] = {}
         for t in self.types:
             seen, todo = {t}, [t]
             while todo:
-                new = above.get(todo.pop(), set()) - seen
+                new = set(above.get(todo.pop(), ())) - seen
                 seen |= new
                 todo += new
-            self.valid[t] = {p for k in seen for p in words(own.get(k, ()))}
+            self.valid[t] = {p for k in seen for p in own.get(k, ())}
 
     @classmethod
     def of_release(cls, text: str) -> Vocabulary:
         """From the vocabulary's published JSON-LD: classes with rdfs:subClassOf, properties with domainIncludes."""
         ids = lambda x: [v["@id"].split(":")[-1].rsplit("/", 1)[-1] for v in (x if isinstance(x, list) else [x])] if x else []
         own: dict[str, list[str]] = {}
-        below: dict[str, list[str]] = {}
+        above: dict[str, list[str]] = {}
         for node in json.loads(text)["@graph"]:
             kinds, name = node.get("@type", []), node["@id"].split(":")[-1].rsplit("/", 1)[-1]
             if "rdfs:Class" in kinds:
-                for top in ids(node.get("rdfs:subClassOf")) or [""]:
-                    below.setdefault(top, []).append(name)
+                above.setdefault(name, []).extend(ids(node.get("rdfs:subClassOf")))
             elif "rdf:Property" in kinds:
                 for t in ids(node.get("schema:domainIncludes")):
                     own.setdefault(t, []).append(name)
-        return cls(own, below)
-
-
-def _values(key: str, value: object, siblings: dict) -> Iterator[tuple[str, str]]:
-    if key in R.ENUMERATIONS:
-        allowed = {R.SCHEMA_ORG + v for v in R.ENUMERATIONS[key]} | (set(R.BARE_DAYS) if key == "dayOfWeek" else set())
-        for v in value if key == "dayOfWeek" and isinstance(value, list) else [value]:
-            if isinstance(v, str) and v not in allowed:
-                yield "error", f"{key} has no value {v}"
-    if isinstance(value, str) and value:
-        if key in R.DATE_KEYS and not re.match(R.ISO_DATE, value):
-            yield "warning", f"{key} is no ISO 8601 date: {value}"
-        if key in R.DURATION_KEYS and not re.match(R.ISO_DURATION, value):
-            yield "warning", f"{key} is no ISO 8601 duration: {value}"
-    if key == "price" and isinstance(value, int | float | str) and "priceCurrency" not in siblings:
-        yield "warning", "price without priceCurrency"
-
-
-def vocabulary_issues(entity: dict, words: Vocabulary, path: str = "$") -> Iterator[tuple[str, str, str, str]]:
-    """severity, category, message, path; nested objects too, without recursion deeper than the data. Objects without a type aren't judged."""
-    todo = [(entity, path)]
-    while todo:
-        own, at = todo.pop()
-        kinds = own.get("@type")
-        kinds = [k for k in (kinds if isinstance(kinds, list) else [kinds]) if isinstance(k, str)]
-        if not kinds:
-            continue
-        for k in kinds:
-            if k not in words.types:
-                yield "error", "type", f"unknown type {k}", at
-        valid = words.valid.get(kinds[0], set())
-        for key, value in own.items():
-            if key.startswith("@"):
-                continue
-            if valid and key not in valid:
-                yield "warning", "property", f"{key} is no property of {kinds[0]}", f"{at}.{key}"
-            for severity, message in _values(key, value, own):
-                yield severity, "value", message, f"{at}.{key}"
-            if isinstance(value, dict):
-                todo.append((value, f"{at}.{key}"))
-            elif isinstance(value, list):
-                todo += [(v, f"{at}.{key}[{i}]") for i, v in enumerate(value) if isinstance(v, dict)]
-
-
-def leaf_strings(value: object, path: str = "$") -> Iterator[tuple[str, str]]:
-    """Strings longer than two characters that aren't links, with their paths; @ keys are skipped."""
-    todo = [(value, path)]
-    while todo:
-        v, at = todo.pop()
-        if isinstance(v, dict):
-            todo += [(x, f"{at}.{k}") for k, x in v.items() if not k.startswith("@")]
-        elif isinstance(v, list):
-            todo += [(x, f"{at}[{i}]") for i, x in enumerate(v)]
-        elif isinstance(v, str) and len(v) > 2 and not v.startswith("http"):
-            yield v, at
-
-
-def _squeezed(text: str) -> str:
-    return re.sub(r"\s+", " ", text.lower().strip())
-
-
-def factual(entities: list, visible: str, markup: str = "") -> tuple[float, list[tuple[str, str, str, str]]]:
-    """Share of values that a page holds, and a warning for each other one; dates and durations don't count.
-
-    A value is held whole by the visible text or the markup, or, from three words on, by 60 % of its words in the visible text.
-    """
-    checked = found = 0
-    issues = []
-    for k, entity in enumerate(entities):
-        for value, path in leaf_strings(entity, f"$[{k}]" if len(entities) > 1 else "$"):
-            if re.match(r"^\d{4}-\d{2}-\d{2}|^PT?\d", value):
-                continue
-            checked += 1
-            own = _squeezed(value)
-            words = own.split()
-            held = sum(len(w) > 2 and w in visible for w in words)
-            if len(own) < 3 or own in visible or own in markup or (len(words) >= 3 and held / len(words) >= 0.6):
-                found += 1
-            else:
-                issues.append(("warning", "factual", f"not on the page: {value[:80]}", path))
-    return (found / checked if checked else 1.0), issues
-
-
-def _structure(text: str | None) -> tuple[list, list[tuple[str, str, str, str]]]:
-    value, ok = _parsed(text)
-    if not ok:
-        return [], [("error", "json", "Invalid JSON", "$")]
-    entities = value if isinstance(value, list) else [value]
-    issues = []
-    for k, e in enumerate(entities):
-        at = f"$[{k}]" if isinstance(value, list) else "$"
-        if not isinstance(e, dict):
-            issues.append(("error", "structure", "no object", at))
-            continue
-        if "@type" not in e:
-            issues.append(("error", "structure", "missing @type", at))
-        if "@context" not in e:
-            issues.append(("warning", "structure", "missing @context", at))
-        elif "schema.org" not in json.dumps(e["@context"]):
-            issues.append(("error", "structure", "@context is not schema.org", at))
-    return entities, issues
-
-
-JUDGED = "json_valid boolean, schema_valid boolean, valid boolean, factual_score double, entity_count int, error_count int, warning_count int, issues array<struct<severity:string,category:string,message:string,path:string>>"
-
-
-def judged(rows: DataFrame, text: str, page_text: str, html: str, words: Vocabulary | None = None) -> DataFrame:
-    """rows with structure, vocabulary and facts of their JSON-LD judged against the page.
-
-    Structure errors end the check. The vocabulary holds with at most 3 errors; all is valid with at most 2 errors and half
-    of the facts on the page. page_text: the page's visible text.
-    """
-    words = words or Vocabulary()
-    fields = [f.split()[0] for f in JUDGED.split(", ")]
-
-    @F.pandas_udf(f"struct<{', '.join(f'{a}: {b}' for a, b in (f.split(' ', 1) for f in JUDGED.split(', ')))}>")
-    def run(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        for texts, visible, markup in batches:
-            out = []
-            for t, v, h in zip(texts, visible, markup, strict=True):
-                entities, issues = _structure(t)
-                json_ok = not any(i[0] == "error" for i in issues)
-                schema_ok, score = json_ok, 0.0
-                if json_ok:
-                    vocab = [i for k, e in enumerate(entities) for i in vocabulary_issues(e, words, f"$[{k}]" if len(entities) > 1 else "$")]
-                    schema_ok = sum(i[0] == "error" for i in vocab) <= 3
-                    score, facts = factual(entities, _squeezed(v or ""), _squeezed(h or ""))
-                    issues = issues + vocab + facts
-                errors = sum(i[0] == "error" for i in issues)
-                valid = json_ok and schema_ok and errors <= 2 and score >= 0.5
-                out.append((json_ok, schema_ok, valid, round(score, 3), len(entities), errors, len(issues) - errors, [dict(zip(("severity", "category", "message", "path"), i, strict=True)) for i in sorted(issues, key=lambda i: i[3])]))
-            yield pd.DataFrame(out, columns=fields)
-
-    return rows.withColumn("judged", run(without_fence(F.col(text)), F.coalesce(page_text, F.lit("")), F.coalesce(html, F.lit(""))))
+        return cls(own, above)
+
+    def tables(self, spark: SparkSession) -> tuple[DataFrame, DataFrame]:
+        """Types (type), and what is valid on them (type, property)."""
+        types = spark.createDataFrame([(t,) for t in sorted(self.types)], "type string")
+        return types, spark.createDataFrame([(t, p) for t in sorted(self.valid) for p in sorted(self.valid[t])], "type string, property string")
 
 
 def rescored(score: Column, passed: Column, error: Column, least: float = 3.5) -> Column:

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from .. import reference_data as R
 from ..functions import html as H
 from ..functions import jsontext as J
-from ..operators import validate as V
+from ..operators import judge as D
+from ..operators.validate import Vocabulary
 from .base import KINDS, count_n, query, t
 
 _K = "CAST(page_id AS VARCHAR(20))"
@@ -27,13 +28,46 @@ _SEEN = f"CASE page_id % 3 WHEN 0 THEN concat('Grand Hotel  Item ', {_K}, ' Marc
 _ATTR = f"CASE WHEN page_id % 10 = 0 THEN concat('grand hotel item ', {_K}) WHEN page_id % 5 = 0 THEN 'item grand deep hotel' ELSE '' END"
 
 
-def judged_pages(spark, sf):
-    rows = t(spark, sf, "pages").selectExpr("page_id", f"{_TEXT} AS jsonld", f"concat('<html><head><title>x</title></head><p title=\"', {_ATTR}, '\">', {_SEEN}, '</p></html>') AS html")
-    return V.judged(rows, "jsonld", H.parsed_text("html"), F.col("html"))
+def page_issues(spark, sf):
+    """Issues of structure and vocabulary by page_id."""
+    return D.text_issues(t(spark, sf, "pages").selectExpr("page_id AS k", f"{_TEXT} AS text"), Vocabulary(OWN, ABOVE)).withColumnRenamed("k", "page_id")
 
 
-def _pairs(table: dict[str, str]) -> str:
-    return "(VALUES " + ",".join(f"('{k}','{x}')" for k, v in table.items() for x in v.split()) + ")"
+def judged_pages(spark, sf):
+    rows = t(spark, sf, "pages").selectExpr("page_id", f"{_TEXT} AS jsonld", f"concat('<html><head><title>x</title></head><p title=\"', {_ATTR}, '\">', {_SEEN}, '</p></html>') AS html")
+    return D.judged(rows, "jsonld", H.parsed_text("html"), F.col("html"), Vocabulary(OWN, ABOVE))
+
+
+#: A small vocabulary for these queries; a release's is read by Vocabulary.of_release().
+OWN = {
+    "Thing": ("name", "description", "url", "image"),
+    "Organization": ("address", "telephone", "email"),
+    "Place": ("address", "geo"),
+    "LocalBusiness": ("openingHours", "priceRange"),
+    "Restaurant": ("servesCuisine", "menu"),
+    "Product": ("brand", "offers", "review", "itemCondition"),
+    "Offer": ("availability", "price", "priceCurrency", "itemCondition"),
+    "Event": ("startDate", "endDate", "eventStatus", "offers", "review"),
+    "CreativeWork": ("author", "datePublished", "offers", "review"),
+    "Article": ("articleBody",),
+    "FAQPage": ("mainEntity",),
+    "HowTo": ("step",),
+    "Recipe": ("recipeIngredient",),
+    "Service": ("provider", "offers", "review"),
+    "JobPosting": ("datePosted", "validThrough"),
+    "ItemList": ("itemListElement",),
+    "Review": ("reviewBody", "reviewRating"),
+}
+ABOVE = {
+    "Organization": ("Thing",), "Place": ("Thing",), "LocalBusiness": ("Organization", "Place"), "Restaurant": ("LocalBusiness",), "Product": ("Thing",), "Offer": ("Thing",), "Event": ("Thing",),
+    "CreativeWork": ("Thing",), "Article": ("CreativeWork",), "WebPage": ("CreativeWork",), "FAQPage": ("WebPage",), "WebSite": ("CreativeWork",), "HowTo": ("CreativeWork",), "Recipe": ("HowTo",),
+    "Course": ("CreativeWork",), "SoftwareApplication": ("CreativeWork",), "Service": ("Thing",), "Person": ("Thing",), "JobPosting": ("Thing",), "ItemList": ("Thing",), "BreadcrumbList": ("ItemList",),
+    "Review": ("CreativeWork",), "PostalAddress": (),
+}
+
+
+def _pairs(table: dict[str, tuple[str, ...]]) -> str:
+    return "(VALUES " + ",".join(f"('{k}','{x}')" for k, v in table.items() for x in v) + ")"
 
 
 _BASE = (
@@ -43,8 +77,8 @@ _BASE = (
     "good AS (SELECT * FROM st WHERE ok AND NOT untyped AND NOT alien)"
 )
 _VOCAB = (
-    f", own AS (SELECT * FROM {_pairs(R.VOCABULARY)} AS x(type, prop)), below AS (SELECT * FROM {_pairs(R.BELOW)} AS x(top, type)), "
-    "up AS (SELECT type, type AS top FROM (SELECT type FROM own UNION SELECT type FROM below UNION SELECT top FROM below WHERE top <> '') UNION SELECT up.type, below.top FROM up JOIN below ON below.type = up.top WHERE below.top <> ''), "
+    f", own AS (SELECT * FROM {_pairs(OWN)} AS x(type, prop)), above AS (SELECT * FROM {_pairs(ABOVE)} AS x(type, top)), "
+    "up AS (SELECT type, type AS top FROM (SELECT type FROM own UNION SELECT type FROM above UNION SELECT top FROM above UNION SELECT 'PostalAddress') UNION SELECT up.type, above.top FROM up JOIN above ON above.type = up.top), "
     "known AS (SELECT DISTINCT type FROM up), valid AS (SELECT DISTINCT up.type, own.prop FROM up JOIN own ON own.type = up.top), "
     "kids AS (SELECT page_id, '$' AS path, o FROM good UNION ALL SELECT page_id, path, o FROM (SELECT page_id, k.path || '.' || m || CASE WHEN i IS NULL THEN '' ELSE '[' || i || ']' END AS path, x AS o FROM (SELECT page_id, path, m, unnest([NULL] || range(coalesce(json_array_length(v), 0)::BIGINT)) AS i, v, CASE WHEN i IS NULL THEN v ELSE json_extract(v, '$[' || i || ']') END AS x FROM (SELECT page_id, path, m, json_extract(o, '$.\"' || m || '\"') AS v FROM (SELECT page_id, path, o, unnest(json_keys(o)) AS m FROM kids WHERE list_contains(json_keys(o), '@type')))) k WHERE json_type(x) = 'OBJECT')), "
     "typed AS (SELECT *, o->>'@type' AS type FROM kids WHERE list_contains(json_keys(o), '@type')), "
@@ -64,14 +98,14 @@ _FACTS = (
 
 @query(_BASE + " SELECT category, severity, count(*) AS n FROM (SELECT 'json' AS category, 'error' AS severity FROM st WHERE NOT ok UNION ALL SELECT 'structure','error' FROM st WHERE untyped UNION ALL SELECT 'structure','error' FROM st WHERE alien UNION ALL SELECT 'structure','warning' FROM st WHERE bare) GROUP BY ALL")
 def jsonld_structure_issues(spark, sf):
-    i = judged_pages(spark, sf).select(F.explode("judged.issues").alias("i")).filter(F.col("i.category").isin("json", "structure"))
-    return i.groupBy("i.category", "i.severity").agg(count_n())
+    texts = t(spark, sf, "pages").selectExpr("page_id AS k", f"{_TEXT} AS text")
+    return D.structure_issues(D.entities(texts)).groupBy("category", "severity").agg(count_n())
 
 
 @query(_BASE + _VOCAB + " SELECT page_id, category, severity, path, count(*) AS n FROM issues GROUP BY ALL")
 def jsonld_vocab_issues(spark, sf):
-    i = judged_pages(spark, sf).select("page_id", F.explode("judged.issues").alias("i")).filter(F.col("i.category").isin("type", "property", "value"))
-    return i.groupBy("page_id", "i.category", "i.severity", "i.path").agg(count_n())
+    i = page_issues(spark, sf).filter(F.col("category").isin("type", "property", "value"))
+    return i.groupBy("page_id", "category", "severity", "path").agg(count_n())
 
 
 @query(_BASE + _FACTS + " SELECT src.page_id, CASE WHEN good.page_id IS NULL THEN 0.0 ELSE coalesce(factual_score, 1.0) END::DOUBLE AS factual_score FROM src LEFT JOIN good USING (page_id) LEFT JOIN score USING (page_id)")

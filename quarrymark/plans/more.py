@@ -9,6 +9,7 @@ from ..functions import html as H
 from ..functions import jsontext as J
 from ..functions import urls as U
 from ..operators import assemble as A
+from ..operators import judge as D
 from ..operators import pages as P
 from ..operators import sampling as S
 from ..operators import validate as V
@@ -74,16 +75,15 @@ def example_ids(spark, sf):
     return t(spark, sf, "pages").select("page_id", A.example_id("url", F.col("page_id").cast("string")).alias("id"))
 
 
-@query(f"SELECT p_partkey, CASE WHEN p_partkey % 11 = 0 OR p_partkey % 3 = 0 THEN 0 ELSE 1 END::BIGINT + CASE WHEN p_partkey % 11 = 0 THEN 0 ELSE (length(p_name) > 2)::INT + (length(p_brand) > 2)::INT END::BIGINT + CASE WHEN p_partkey % 11 <> 0 AND p_partkey % 3 <> 0 THEN (length(p_partkey::VARCHAR) > 2)::INT - (p_partkey % 4 <> 0)::INT ELSE 0 END::BIGINT AS leaves FROM part")
+@query(
+    f"WITH p AS (SELECT p_partkey, {PART_JSON} AS jsonld FROM part), e AS (SELECT p_partkey, e.atom->>'$' AS s FROM (SELECT * FROM p WHERE json_valid(jsonld)) p, json_tree(jsonld) AS e WHERE e.type = 'VARCHAR' AND NOT starts_with(e.key, '@')) "
+    "SELECT p_partkey, count(s) FILTER (WHERE length(s) > 2 AND NOT starts_with(s, 'http')) AS leaves FROM p LEFT JOIN e USING (p_partkey) GROUP BY 1"
+)
 def leaf_values(spark, sf):
-    """Strings of at least three characters that aren't links, at any depth, by path."""
-    from pyspark.sql.types import ArrayType, StringType
-
-    @F.pandas_udf(ArrayType(StringType()))
-    def walk(texts):
-        return texts.map(lambda x: [f"{p}={v}" for v, p in sorted(V.leaf_strings(J._parsed(x)[0]), key=lambda y: y[1])])
-
-    return parts_jsonld(spark, sf).select("p_partkey", n(F.size(walk("jsonld"))).alias("leaves"))
+    """Strings of at least three characters that aren't links, at any depth."""
+    parts = parts_jsonld(spark, sf)
+    found = D.leaf_strings(D.entities(parts, "p_partkey", "jsonld").filter("n > 0")).groupBy(F.col("k").alias("p_partkey")).agg(count_n())
+    return parts.select("p_partkey").join(found, "p_partkey", "left").select("p_partkey", F.coalesce("n", F.lit(0)).cast("long").alias("leaves"))
 
 
 @query(f"SELECT p_partkey, CASE WHEN json_valid(jsonld) THEN len(json_keys(jsonld)) > 2 ELSE false END AS rich FROM (SELECT p_partkey, {PART_JSON} AS jsonld FROM part)")

@@ -132,26 +132,6 @@ def test_config_scores(spark):
         assert (r.valid, len(r.errors), len(r.warnings), r.property_count, r.quality_score) == (valid, errors, warnings, count, score), CASES[i]
 
 
-def issues(text, html="", page=""):
-    words = validate.Vocabulary()
-    entities, found = validate._structure(text)
-    return found + [i for e in entities for i in validate.vocabulary_issues(e, words)]
-
-
-@pytest.mark.parametrize("body,severities", [('"@type":"Offer","price":"9"', ["warning"]), ('"@type":"Offer","availability":"InStock"', ["error"]), ('"@type":"Event","startDate":"March 3"', ["warning"]), ('"@type":"Recipe","prepTime":"30 min"', ["warning"]), ('"@type":"Recipe","prepTime":"PT"', []), ('"@type":"Bogus"', ["error"]), ('"@type":"PostalAddress","name":"x"', ["warning"]), ('"@type":"MusicEvent","zzz":1', [])])
-def test_vocabulary(body, severities):
-    assert [i[0] for i in issues("{" + CTX + "," + body + "}")] == severities
-
-
-def test_structure_and_facts():
-    assert [i[0] for i in issues('{"@type":"Thing"}')] == ["warning"]
-    person = [json.loads("{" + CTX + ',"@type":"Person","name":"Ada Lovelace"}')]
-    assert validate.factual(person, "ada lovelace")[0] == 1.0 and validate.factual(person, "nothing")[0] == 0.0
-    long = [json.loads("{" + CTX + ',"@type":"Person","name":"Ada King Lovelace Byron"}')]
-    assert validate.factual(long, "byron lovelace king")[0] == 1.0 and validate.factual(long, "nothing", "byron lovelace king")[0] == 0.0
-    assert validate.factual(long, "nothing", "x ada king lovelace byron y")[0] == 1.0
-
-
 def test_page_gate(spark):
     long = "word " * 100
     rows = [("a", "<p>short</p>"), ("b", f"<p>coming soon {long}</p>"), ("c", f"<p>x the y {long}</p>"), ("d", f"<p>x the and y {long}</p>"), ("https://www.bbc.co.uk/x", f"<p>{long}</p>")]
@@ -229,19 +209,6 @@ def test_streams(spark, tmp_path):
     assert pools.run_to_table(spark, pools.sessions(stream, "url", "ts"), "append").count() >= 0
 
 
-def test_vocabulary_is_whole_and_replaceable():
-    words = validate.Vocabulary()
-    assert set(R.TYPE_WEIGHTS) | set(R.RULES) <= words.types
-    assert {"telephone", "servesCuisine", "vatID", "geoCovers", "name"} <= words.valid["Restaurant"] and words.valid["MusicEvent"] == set() and words.valid["PostalAddress"] == set(R.VOCABULARY["PostalAddress"].split())
-    assert {"step", "author", "name", "cookTime"} <= words.valid["Recipe"] and "price" not in words.valid["Rating"]
-    graph = [
-        {"@id": "schema:Thing", "@type": "rdfs:Class"}, {"@id": "schema:Pub", "@type": "rdfs:Class", "rdfs:subClassOf": {"@id": "schema:Thing"}},
-        {"@id": "schema:name", "@type": "rdf:Property", "schema:domainIncludes": {"@id": "schema:Thing"}}, {"@id": "schema:beer", "@type": "rdf:Property", "schema:domainIncludes": [{"@id": "schema:Pub"}]},
-    ]
-    own = validate.Vocabulary.of_release(json.dumps({"@graph": graph}))
-    assert own.types == {"Thing", "Pub"} and own.valid == {"Thing": {"name"}, "Pub": {"name", "beer"}}
-
-
 @pytest.mark.parametrize("text,ok", [("{} x", False), ("{}{}", False), ("[1]]", False), ('1,"a":2', False), ("1]", False), ("1}", False), ("1],[2", False), ('{"a":1,"a":2}', True), ("NaN", True), ("null", True), (" {} ", True), ('{"a":01}', False), ("", False), (None, False)])
 def test_json_tests_agree_with_python(spark, text, ok):
     row = spark.createDataFrame([(text,)], "t string").select(J.is_json("t"), J.normal_json("t"), J.repair("t")).first()
