@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 # Patterns of a token and of a literal's text.
 TOKEN = r'(<[^>]+>|"(?:[^"\\]|\\.)*"(?:\^\^<[^>]+>|@\w+)?|_:\w+)'
+PAIR = r"\\u([dD][89abAB][0-9A-Fa-f]{2})\\u([dD][c-fC-F][0-9A-Fa-f]{2})"
 LITERAL = r'^"((?:[^"\\]|\\.)*)"'
 
 
@@ -25,10 +26,14 @@ def value(token: Column, compat: bool = False) -> Column:
     out = text
     for raw, plain in ((r"\n", "\n"), (r"\t", "\t"), (r"\r", "\r"), (r"\"", '"')):
         out = F.replace(out, F.lit(raw), F.lit(plain))
-    pieces = F.split(out, r"\\u(?=[0-9A-Fa-f]{4})")
-    point = lambda p: F.decode(F.unhex(F.substring(p, 1, 4)), "UTF-16BE")
-    rest = F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), lambda p: F.concat(point(p), F.substring(p, 5, 2**31 - 1)))
-    out = F.when(F.contains(out, F.lit("\\u")), F.concat(F.element_at(pieces, 1), F.array_join(rest, ""))).otherwise(out)
+    # Two escapes that are one character become one mark with both; half of such a pair stands for nothing.
+    paired = F.regexp_replace(out, PAIR, "\x01$1$2")
+    utf16 = lambda digits: F.decode(F.unhex(digits), "UTF-16BE")
+    rest = lambda p, at: F.substring(p, at, 2**31 - 1)
+    point = lambda p: F.when(F.rlike(p, F.lit(r"^\\u[dD][89a-fA-F]")), "\ufffd").otherwise(utf16(F.substring(p, 3, 4)))
+    decoded = lambda p: F.when(F.rlike(p, F.lit(r"^\x01[0-9A-Fa-f]{8}")), F.concat(utf16(F.substring(p, 2, 8)), rest(p, 10))).when(F.rlike(p, F.lit(r"^\\u[0-9A-Fa-f]{4}")), F.concat(point(p), rest(p, 7))).otherwise(p)
+    pieces = F.split(paired, r"(?=\\u[0-9A-Fa-f]{4})|(?=\x01)")
+    out = F.when(F.contains(out, F.lit("\\u")), F.array_join(F.transform(pieces, decoded), "")).otherwise(out)
     out = F.replace(out, F.lit("\\\\"), F.lit("\\"))
     if compat:
         out = F.decode(F.encode(out, "UTF-8"), "ISO-8859-1")

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from .. import reference_data as R
 from ..functions import html as H
 from ..functions import urls as U
-from ..functions.jsontext import reformatted
+from ..functions.jsontext import reformatted, types_of
 from .sampling import first_per, hash_rank
 from .validate import scored
 
@@ -88,11 +89,42 @@ def screened_example(html: Column, jsonld: Column, screenshot: Column, url: Colu
     return F.when(screenshot.isNotNull() & neat.isNotNull() & html.isNotNull(), chat_example(html, neat, screenshot, meta, most=most, strip=False))
 
 
-def write_rescored(rows: DataFrame, path: str, final: str) -> None:
-    """Two sinks of one input, which is written once and read again: all results, and projections of those that passed."""
-    rows.write.mode("overwrite").json(path)
+def _rescore_counts() -> list[Column]:
+    passed = F.col("rescore_pass")
+    return [F.count("*").alias("total"), F.count_if(passed).alias("passed"), F.count_if(~passed).alias("failed"), F.count_if(passed.isNull()).alias("errors")]
+
+
+def write_rescored(rows: DataFrame, path: str, final: str, mode: str = "overwrite") -> dict[str, int]:
+    """Two sinks of one input: all results, and projections of those that passed; and how many there are in all, passed, failed or have an error.
+
+    The input is evaluated once: it is counted while it is written, and the second sink reads what the first has.
+    """
+    seen = Observation()
+    rows.observe(seen, *_rescore_counts()).write.mode(mode).json(path)
     again = rows.sparkSession.read.schema(rows.schema).json(path)
-    again.filter("rescore_pass").select("page_id", "url", "jsonld", "rescore").write.mode("overwrite").json(final)
+    again.filter("rescore_pass").select("page_id", "url", "jsonld", "rescore").write.mode(mode).json(final)
+    return seen.get
+
+
+def stream_rescored(stream: DataFrame, path: str, final: str, state: str) -> StreamingQuery:
+    """The same for results as they come: a folder for each batch in both sinks, and its counts in path/counts. A batch that comes again overwrites its
+    own."""
+
+    def save(batch: DataFrame, number: int) -> None:
+        counts = write_rescored(batch, f"{path}/rows/batch={number}", f"{final}/batch={number}")
+        batch.sparkSession.createDataFrame([tuple(counts[c] for c in ("total", "passed", "failed", "errors"))], "total long, passed long, failed long, errors long").write.mode("overwrite").json(f"{path}/counts/batch={number}")
+
+    return stream.writeStream.foreachBatch(save).option("checkpointLocation", state).trigger(availableNow=True).start()
+
+
+def chat_export(results: DataFrame, prompt: str = R.SYSTEM_PROMPT, least: float = 0.5) -> DataFrame:
+    """Lines (value) of training examples from results (page_id, url, jsonld, judged) that are valid and whose facts the page holds: messages and metadata
+    with the types and the factual score."""
+    kept = results.filter(F.col("judged.valid") & (F.col("judged.factual_score") >= least))
+    said = lambda role, text: F.struct(F.lit(role).alias("role"), text.alias("content"))
+    user = F.concat(F.lit("URL: "), F.coalesce("url", F.lit("")), F.lit("\n\n[Screenshot attached]\n\n[HTML source attached]"))
+    about = F.struct(F.col("page_id").cast("string").alias("page_id"), F.col("url"), types_of("jsonld").alias("types"), F.col("judged.factual_score").alias("factual_score"))
+    return kept.select(F.to_json(F.struct(F.array(said("system", F.lit(prompt)), said("user", user), said("assistant", F.col("jsonld"))).alias("messages"), about.alias("metadata"))).alias("value"))
 
 
 def manifest_upsert(manifest: DataFrame, new: DataFrame, key: str = "url") -> DataFrame:
@@ -115,10 +147,29 @@ def system_prompt(kind: Column, hints: dict[str, str], prompt: str = R.SYSTEM_PR
     return F.concat(F.lit(prompt), F.coalesce(F.concat(F.lit("\n\n"), hint), F.lit("")))
 
 
-def batch_requests(pages: DataFrame, model: str, prompt: str = R.SYSTEM_PROMPT) -> DataFrame:
-    """custom_id and request lines for a labelling service."""
-    body = F.struct(F.struct(F.lit(prompt).alias("system"), H.trimmed(F.col("html")).alias("user")).alias("messages"))
-    return pages.select(F.to_json(F.struct(F.col("page_id").cast("string").alias("custom_id"), F.struct(F.lit(model).alias("model"), body.alias("body")).alias("request"))).alias("value"))
+def batch_requests(pages: DataFrame, model: str, prompt: str = R.SYSTEM_PROMPT, settings: dict[str, float] | None = None) -> DataFrame:
+    """custom_id and request lines for a labelling service.
+
+    pages: page_id, url, html, and where there are any, category_hint (put before the text), schema_type (whose hint follows the prompt) and image (bytes)
+    with image_name, whose ending tells its type. settings: of the generation, as they stand.
+    """
+    has = set(pages.columns)
+    text = F.concat(F.lit("URL: "), F.coalesce("url", F.lit("")), F.lit("\n\nHTML source:\n"), H.trimmed(F.col("html")))
+    if "category_hint" in has:
+        text = F.concat(F.when(F.col("category_hint") != "", F.concat(F.lit("Category hint: "), "category_hint", F.lit("\n\n"))).otherwise(""), text)
+    system = system_prompt(F.col("schema_type"), R.TYPE_HINTS, prompt) if "schema_type" in has else F.lit(prompt)
+    parts = [F.struct(text.alias("text"), F.lit(None).cast("struct<mime_type:string,data:string>").alias("inline_data"))]
+    if "image" in has:
+        ending = F.lower(F.substring_index("image_name", ".", -1))
+        kind = F.when(ending.isin("jpg", "jpeg"), "image/jpeg").when(ending == "webp", "image/webp").otherwise("image/png")
+        shown = F.struct(F.lit(None).cast("string").alias("text"), F.struct(kind.alias("mime_type"), F.base64("image").alias("data")).alias("inline_data"))
+        parts = [F.when(F.col("image").isNotNull(), shown), *parts]
+    content = F.struct(F.lit("user").alias("role"), F.array_compact(F.array(*parts)).alias("parts"))
+    body = [F.struct(F.array(F.struct(system.alias("text"))).alias("parts")).alias("system_instruction"), F.array(content).alias("contents")]
+    if settings:
+        body.append(F.struct(*(F.lit(v).alias(k) for k, v in settings.items())).alias("generationConfig"))
+    request = F.struct(F.lit(model).alias("model"), F.struct(*body).alias("body"))
+    return pages.select(F.to_json(F.struct(F.col("page_id").cast("string").alias("custom_id"), request.alias("request"))).alias("value"))
 
 
 def example_id(*keys: Column | str) -> Column:

@@ -103,3 +103,22 @@ def share_and_target(counts: DataFrame, targets: DataFrame, key: str) -> DataFra
 def listed_counts(rows: DataFrame, lists: str) -> DataFrame:
     """How many rows list each value; one that a row repeats counts each time."""
     return rows.select(F.explode(lists).alias("value")).groupBy("value").agg(F.count("*").alias("n"))
+
+
+#: Size of a quantile sketch, with which ranks are off by less than RANK_ERROR, and log2 of a distinct counter's registers.
+SKETCH, RANK_ERROR, REGISTERS = 400, 0.01, 12
+
+
+def sketches(rows: DataFrame, batch: str, x: str, key: str) -> DataFrame:
+    """Of each batch, n, and mergeable states: quantiles of a number, and distinct keys. Small tables, which stand for their batches from then on: a pool
+    that grows adds a row for each new batch and reads none of the old ones again. Nulls count in n alone."""
+    return rows.groupBy(batch).agg(F.count("*").alias("n"), F.kll_sketch_agg_double(F.col(x).cast("double"), SKETCH).alias("quantiles"), F.hll_sketch_agg(F.col(key), REGISTERS).alias("keys"))
+
+
+def merged_sketches(states: DataFrame, percents: tuple[int, ...]) -> DataFrame:
+    """One row over all batches: n, n_keys (about), and values (percent, x), each x having a rank within RANK_ERROR of its percent. Null values without
+    numbers."""
+    whole = states.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.kll_merge_agg_double("quantiles", SKETCH).alias("q"), F.hll_union_agg("keys").alias("k"))
+    at = [F.struct(F.lit(p).alias("percent"), F.kll_sketch_get_quantile_double("q", F.lit(p / 100)).alias("x")) for p in percents]
+    some = F.col("q").isNotNull() & (F.kll_sketch_get_n_double("q") > 0)
+    return whole.select("n", F.coalesce(F.hll_sketch_estimate("k"), F.lit(0)).alias("n_keys"), F.when(some, F.array(*at)).alias("values"))

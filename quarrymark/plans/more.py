@@ -63,39 +63,28 @@ def type_prompts(spark, sf):
     return rows.select("page_id", A.system_prompt(kind, R.TYPE_HINTS).alias("prompt"))
 
 
-@query("SELECT page_id, page_id::VARCHAR AS custom_id, 'm' AS model FROM pages")
-def batch_requests(spark, sf):
-    lines = A.batch_requests(t(spark, sf, "pages"), "m")
-    x = F.from_json("value", "custom_id string, request struct<model:string>")
-    return lines.select(x["custom_id"].cast("bigint").alias("page_id"), x["custom_id"].alias("custom_id"), x["request"]["model"].alias("model"))
-
-
-@query("SELECT page_id, substr(md5(concat_ws('|', url, page_id::VARCHAR)), 1, 8) AS id FROM pages")
-def example_ids(spark, sf):
-    return t(spark, sf, "pages").select("page_id", A.example_id("url", F.col("page_id").cast("string")).alias("id"))
+_ASKED = f"CASE WHEN page_id % 5 = 0 THEN 'Category hint: shop' || chr(10) || chr(10) ELSE '' END || 'URL: ' || url || chr(10) || chr(10) || 'HTML source:' || chr(10) || "
 
 
 @query(
-    f"WITH p AS (SELECT p_partkey, {PART_JSON} AS jsonld FROM part), e AS (SELECT p_partkey, e.atom->>'$' AS s FROM (SELECT * FROM p WHERE json_valid(jsonld)) p, json_tree(jsonld) AS e WHERE e.type = 'VARCHAR' AND NOT starts_with(e.key, '@')) "
-    "SELECT p_partkey, count(s) FILTER (WHERE length(s) > 2 AND NOT starts_with(s, 'http')) AS leaves FROM p LEFT JOIN e USING (p_partkey) GROUP BY 1"
+    f"SELECT page_id, page_id::VARCHAR AS custom_id, 'm' AS model, md5('{R.SYSTEM_PROMPT}' || coalesce(chr(10) || chr(10) || CASE k {_PROMPTS} END, '')) AS system, md5({_ASKED} title) AS asked, CASE WHEN page_id % 3 = 0 THEN 'image/jpeg' END AS mime_type, CASE WHEN page_id % 3 = 0 THEN 'shot ' || page_id END AS image, 0.2::DOUBLE AS temperature "
+    f"FROM (SELECT page_id, url, {KIND} AS k, regexp_extract(html, '<title>[^<]*</title>') AS title FROM pages)"
 )
-def leaf_values(spark, sf):
-    """Strings of at least three characters that aren't links, at any depth."""
-    parts = parts_jsonld(spark, sf)
-    found = D.leaf_strings(D.entities(parts, "p_partkey", "jsonld").filter("n > 0")).groupBy(F.col("k").alias("p_partkey")).agg(count_n())
-    return parts.select("p_partkey").join(found, "p_partkey", "left").select("p_partkey", F.coalesce("n", F.lit(0)).cast("long").alias("leaves"))
-
-
-@query(f"SELECT p_partkey, CASE WHEN json_valid(jsonld) THEN len(json_keys(jsonld)) > 2 ELSE false END AS rich FROM (SELECT p_partkey, {PART_JSON} AS jsonld FROM part)")
-def normal_json_keys(spark, sf):
-    return parts_jsonld(spark, sf).select("p_partkey", F.coalesce(F.size(F.json_object_keys(J.normal_json("jsonld"))) > 2, F.lit(False)).alias("rich"))
-
-
-@query(f"SELECT s_suppkey, url FROM (SELECT s_suppkey, {_SITES} AS url FROM supplier) WHERE contains(url, '/biz/') AND s_suppkey % 5 <> 0")
-def scrape_category(spark, sf):
-    """Pluggable predicates: Column functions choose links, known ones are left out."""
-    rows = t(spark, sf, "supplier").selectExpr("s_suppkey", f"{_SITES} AS url")
-    return S.without(rows.filter(U.SITE_LINKS["biz"](F.col("url"))), rows.filter("s_suppkey % 5 = 0"), "url").select("s_suppkey", "url")
+def batch_requests(spark, sf):
+    """Requests with a category's and a type's hint and an image each where there is one, read back whole; the page is its title here."""
+    k = F.col("page_id")
+    image = F.when(k % 3 == 0, F.concat(F.lit("shot "), k.cast("string")).cast("binary"))
+    pages = with_kind(t(spark, sf, "pages")).select("page_id", "url", F.regexp_extract("html", "<title>[^<]*</title>", 0).alias("html"), "schema_type", F.when(k % 5 == 0, "shop").alias("category_hint"), image.alias("image"), F.lit("shot.JPG").alias("image_name"))
+    part = "struct<text:string,inline_data:struct<mime_type:string,data:string>>"
+    x = F.from_json("value", f"custom_id string, request struct<model:string,body:struct<system_instruction:struct<parts:array<{part}>>,contents:array<struct<role:string,parts:array<{part}>>>,generationConfig:struct<temperature:double>>>")
+    body = x["request"]["body"]
+    parts = body["contents"][0]["parts"]
+    data = F.try_element_at(F.filter(parts, lambda p: p["inline_data"].isNotNull()), F.lit(1))["inline_data"]
+    asked = F.element_at(parts, -1)["text"]
+    return A.batch_requests(pages, "m", settings={"temperature": 0.2}).select(
+        x["custom_id"].cast("bigint").alias("page_id"), x["custom_id"].alias("custom_id"), x["request"]["model"].alias("model"), F.md5(body["system_instruction"]["parts"][0]["text"]).alias("system"), F.md5(asked).alias("asked"),
+        data["mime_type"].alias("mime_type"), F.unbase64(data["data"]).cast("string").alias("image"), body["generationConfig"]["temperature"].alias("temperature"),
+    )
 
 
 @query("SELECT page_id, CASE WHEN page_id % 3 = 1 THEN false ELSE true END AS ok FROM pages")
