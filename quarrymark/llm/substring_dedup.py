@@ -2,7 +2,7 @@
 
 The suffixes of a bucket's segments are split by prefixes of variable length: those with the same first word are a group, a
 group with more suffixes than fit is split by one word more, and neighbouring small ones are packed together, until every group
-is memory-sized. Each group's subtree is built from the top, level by level, down to the ends of its suffixes; it is kept as the
+is memory-sized. Each group's subtree is built from the top, level by level, as deep as is asked; it is kept as the
 sorted suffixes and, between neighbours, the depth of the node that parts them. Internal nodes of `length` words or more
 are repeats: the topmost of them tell which windows are equal, and maximal_repeats() lists all of them.
 """
@@ -68,11 +68,17 @@ class Subtree:
     parted: np.ndarray
 
 
-def build(words: np.ndarray, ends: np.ndarray, own: np.ndarray, depth: int) -> Subtree:
-    """The subtree of suffixes that share `depth` words. Each level parts the leaves of every open node by their next word."""
+def build(words: np.ndarray, ends: np.ndarray, own: np.ndarray, depth: int, stop: int | None = None) -> Subtree:
+    """The subtree of suffixes that share `depth` words. Each level parts the leaves of every open node by their next word.
+
+    stop: a depth below which nodes aren't parted: leaves that share so many words stand below one node of that depth.
+    """
     order, parted = own.copy(), np.zeros(len(own), np.int64)
     slots, node = np.arange(len(own)), np.zeros(len(own), np.int64)
     while len(slots):
+        if depth == stop:
+            parted[slots[1:][node[1:] == node[:-1]]] = depth
+            break
         key = next_words(words, ends, order[slots], depth)
         bits = int(key.max()).bit_length()
         o = np.argsort((node << bits) | key, kind="stable")
@@ -134,7 +140,7 @@ def by_subtrees(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, low: np.n
     place[at] = np.arange(len(at))
     out = low[seg]
     for own, depth in prefix_groups(words, word_ends, at, unit.length):
-        tree = build(words, word_ends, own, depth)
+        tree = build(words, word_ends, own, depth, unit.length)  # what parts deeper decides nothing, and repetitive text parts very deep
         k = place[tree.suffixes]
         out[k] = R.least_of_runs(np.concatenate(([True], tree.parted[1:] < unit.length)), low[seg[k]])
     return out, first

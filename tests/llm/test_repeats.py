@@ -140,3 +140,10 @@ def test_many_rows_without_id(spark):
     rows = [(None, f"{i} " + "word " * 20) for i in range(50)] + [(7, "word " * 20), (9, "word " * 20)]
     got = W.dedup_words(spark.createDataFrame(rows, SCHEMA), block_bytes=500)
     assert sorted((tuple(x) for x in got.collect()), key=str) == sorted(((i, n, g, d) for i, n, g, _, d in brute(rows, 13, True)), key=str)
+
+
+def test_two_long_texts_of_one_word(spark):
+    n = 500_000
+    docs = spark.createDataFrame([(1, "a " * n), (2, "a " * n), (3, "b " + "a " * 12)], "doc_id long, text string")
+    got = {r.doc_id: (r.n_words, r.n_removed) for r in W.dedup_words(docs).collect()}
+    assert got == {1: (n, 0), 2: (n, n), 3: (13, 0)}
