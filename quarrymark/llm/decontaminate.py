@@ -3,8 +3,8 @@
 A shard is a slice of about 1 MB of documents. Its words' suffixes are sorted into a suffix array, two words a level,
 to the depth of a window; only suffixes that still share a prefix are sorted again. Every test suffix is then found by
 binary search, level by level, which gives all locations of each window of a test item and, as chains of them,
-the longest verbatim match there: windows that follow each other in both texts are one match, and what matches cover is removed or
-counted. Shards are never larger, need no shuffle, and are thrown away after their search.
+the longest verbatim match there: windows that follow each other in both texts are one match. Equal windows are searched as one, and what
+their intervals of the suffix array cover is removed or counted. Shards are never larger, need no shuffle, and are thrown away after their search.
 
 Test items reach the executors in blocks of at most BLOCK_BYTES of text, however many there are; each block is one
 more pass over the documents, whose matches are written before the next one.
@@ -117,8 +117,38 @@ def _bound(w: Words, order: np.ndarray, lo: np.ndarray, hi: np.ndarray, shift: i
         hi[open_[~less]] = mid[~less]
 
 
-def search(w: Words, tests: Tests, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """Test suffix and first word of every match in the shard, checked byte by byte."""
+@dataclass
+class Hits:
+    """Occurrences in a shard: first word and number of the window of each; and of the windows, distinct ones, a test suffix each, and all their
+    test suffixes, those of window k from starts[k] to starts[k + 1]."""
+
+    place: np.ndarray
+    window: np.ndarray
+    test: np.ndarray
+    suffixes: np.ndarray
+    starts: np.ndarray
+
+
+def _same(left: Words, a: np.ndarray, right: Words, b: np.ndarray, depth: np.ndarray) -> np.ndarray:
+    """Whether so many words from each place on are equal, on the bytes; a slice at a time."""
+    x, y = left.at[a], right.at[b]
+    lx, ly = left.at[a + depth] - x, right.at[b + depth] - y
+    alike = np.flatnonzero(lx == ly)
+    good = np.zeros(len(a), bool)
+    for i, j in A.slices(np.concatenate(([0], np.cumsum(lx[alike])))):
+        k = alike[i:j]
+        equal = left.buf[A.ranges(x[k], lx[k])] == right.buf[A.ranges(y[k], lx[k])]
+        good[k] = np.logical_and.reduceat(equal, np.concatenate(([0], np.cumsum(lx[k])[:-1])))
+    return good
+
+
+def search(w: Words, tests: Tests, window: int) -> Hits:
+    """Every occurrence of a test window in the shard, checked byte by byte.
+
+    The search gives each test suffix an interval of the suffix array. Equal windows have one interval, which is read once, and intervals of
+    unequal windows of one length don't meet: there are no more occurrences than words in the shard for each length, however often
+    both sides repeat themselves.
+    """
     order = suffix_array(w, window)
     q = np.arange(len(tests.at))
     lo, hi = np.zeros(len(q), np.int64), np.full(len(q), len(order))
@@ -135,20 +165,51 @@ def search(w: Words, tests: Tests, window: int) -> tuple[np.ndarray, np.ndarray]
         q, lo, hi = q[found], new_lo[found], new_hi[found]
         if not len(q):
             break
-    n = hi - lo
-    place, query = order[A.ranges(lo, n)], np.repeat(q, n)
-    depth = tests.depth[query]
+    o = np.lexsort((q, tests.depth[q], hi, lo))
+    q, lo, hi = q[o], lo[o], hi[o]
+    first = np.ones(len(q), bool)
+    first[1:] = (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1]) | (tests.depth[q[1:]] != tests.depth[q[:-1]])
+    head = q[np.flatnonzero(first)[np.cumsum(first) - 1]] if len(q) else q
+    odd = ~_same(tests.words, tests.at[q], tests.words, tests.at[head], tests.depth[q])  # equal hashes of unequal words: windows of their own
+    if odd.any():
+        o = np.argsort(odd, kind="stable")
+        q, lo, hi, first = q[o], lo[o], hi[o], (first | odd)[o]
+    starts = np.append(np.flatnonzero(first), len(q))
+    k = starts[:-1]
+    test, n = q[k], hi[k] - lo[k]
+    place, own = order[A.ranges(lo[k], n)], np.repeat(np.arange(len(k)), n)
+    depth = tests.depth[test[own]] if len(own) else np.zeros(0, np.int64)
     fits = place + depth <= w.ends[place] if len(place) else np.zeros(0, bool)
-    place, query, depth = place[fits], query[fits], depth[fits]
-    a, b = w.at[place], tests.words.at[tests.at[query]]
-    la, lb = w.at[place + depth] - a, tests.words.at[tests.at[query] + depth] - b
-    same = np.flatnonzero(la == lb)
-    good = np.zeros(len(place), bool)
-    for i, j in A.slices(np.concatenate(([0], np.cumsum(la[same])))):
-        k = same[i:j]
-        equal = w.buf[A.ranges(a[k], la[k])] == tests.words.buf[A.ranges(b[k], la[k])]
-        good[k] = np.logical_and.reduceat(equal, np.concatenate(([0], np.cumsum(la[k])[:-1])))
-    return query[good], place[good]
+    place, own, depth = place[fits], own[fits], depth[fits]
+    good = _same(w, place, tests.words, tests.at[test[own]], depth)
+    return Hits(place[good], own[good], test, q, starts)
+
+
+@dataclass
+class Leaks:
+    """What a shard's texts hold: covered words, and row and item of each item that occurs, both ascending."""
+
+    cover: np.ndarray
+    row: np.ndarray
+    item: np.ndarray
+
+
+def leaks(w: Words, tests: Tests, window: int) -> Leaks:
+    """Words of any occurrence, and the items of the windows that occur in each text. Neither is larger than the shard's words, or for a text the test
+    suffixes."""
+    h = search(w, tests, window)
+    cover = A.covered(len(w.pairs), h.place, h.place + tests.depth[h.test[h.window]])
+    row = np.searchsorted(w.bounds, h.place, "right") - 1
+    n = len(h.test)
+    pairs = np.unique(row * n + h.window) if n else np.zeros(0, np.int64)
+    rows, items = [], []
+    for own in np.split(pairs, np.flatnonzero(np.diff(pairs // max(1, n))) + 1) if len(pairs) else []:
+        k = own % n
+        found = np.unique(tests.item[h.suffixes[A.ranges(h.starts[k], h.starts[k + 1] - h.starts[k])]])
+        rows.append(np.full(len(found), own[0] // n))
+        items.append(found)
+    none = np.zeros(0, np.int64)
+    return Leaks(cover, np.concatenate(rows) if rows else none, np.concatenate(items) if items else none)
 
 
 def shards(texts: pa.Array) -> Iterator[tuple[int, Words]]:
@@ -185,9 +246,12 @@ def longest(w: Words, tests: Tests, window: int) -> Matches:
     """Each match of the search, extended to the left and right as far as it is verbatim, in order of rows.
 
     All windows of an item are searched and checked on the bytes, so a longer match is a chain of windows that follow each other in
-    both texts: on one diagonal, each a word on.
+    both texts: on one diagonal, each a word on. Texts that repeat themselves match an item that does so on very many of them: this list
+    has them all, and so its size isn't bounded by that of the texts; leaks() is.
     """
-    query, place = search(w, tests, window)
+    h = search(w, tests, window)
+    n = h.starts[h.window + 1] - h.starts[h.window]
+    query, place = h.suffixes[A.ranges(h.starts[h.window], n)], np.repeat(h.place, n)
     at = tests.at[query]
     o = np.lexsort((place, place - at))
     query, place, at = query[o], place[o], at[o]
@@ -224,7 +288,7 @@ def _keeper(tests: Tests, window: int):
         for batch in batches:
             clean = np.ones(len(batch), bool)
             for a, w in shards(batch["text"]):
-                clean[a + longest(w, tests, window).row] = False
+                clean[a + leaks(w, tests, window).row] = False
             yield batch.filter(pa.array(clean))
 
     return run
@@ -242,12 +306,12 @@ def _judge(tests: Tests, window: int):
             n_words, n_hit, n_items, digests = [], np.zeros(len(batch), np.int64), np.zeros(len(batch), np.int64), [none] * len(batch)
             for a, w in shards(batch["text"]):
                 n_words.append(np.diff(w.bounds))
-                m = longest(w, tests, window)
-                cover = np.concatenate(([0], np.cumsum(A.covered(len(w.pairs), m.place, m.place + m.length))))
+                m = leaks(w, tests, window)
+                cover = np.concatenate(([0], np.cumsum(m.cover)))
                 n_hit[a : a + len(w.bounds) - 1] = np.diff(cover[w.bounds])
                 cuts = np.append(np.flatnonzero(np.concatenate(([True], m.row[1:] != m.row[:-1]))), len(m.row)) if len(m.row) else np.zeros(1, np.int64)
                 for x, y in zip(cuts[:-1], cuts[1:], strict=True):
-                    r, own = m.row[x], {tests.ids[i] for i in np.unique(m.item[x:y])}
+                    r, own = m.row[x], {tests.ids[i] for i in m.item[x:y]}
                     n_items[a + r], digests[a + r] = len(own), _digest(list(own))
             words = np.concatenate(n_words) if n_words else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(words, pa.int64()), pa.array(n_hit), pa.array(n_items), pa.array(digests, pa.string()), pa.array(n_hit > 0)], ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"])
@@ -279,12 +343,34 @@ def _matcher(tests: Tests, window: int, key: str):
     return run
 
 
-def _in_passes(rows: DataFrame, bench: DataFrame, window: int, block_bytes: int, key: str, kind: str) -> DataFrame:
-    """The longest matches of all items. With more than one block, each block's pass over rows (key, text) is written before the next
+def _marker(tests: Tests, window: int, key: str):
+    """As _matcher(), but for each text its covered stretches, which have no item, and its items, which have no words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, w in shards(batch["text"]):
+                m = leaks(w, tests, window)
+                edge = m.cover.copy()
+                edge[1:] &= ~m.cover[:-1] | np.isin(np.arange(1, len(edge)), w.bounds)
+                first = np.flatnonzero(edge)
+                upto = np.append(first[1:], len(edge))
+                sums = np.concatenate(([0], np.cumsum(m.cover)))
+                size = sums[upto] - sums[first]
+                row = np.searchsorted(w.bounds, first, "right") - 1
+                names = pa.array([None] * len(first) + [tests.ids[i] for i in m.item], pa.string())
+                zeros = np.zeros(len(m.item), np.int64)
+                at = np.concatenate((first - w.bounds[row], zeros))
+                yield pa.RecordBatch.from_arrays([names, pa.array(np.zeros(len(names), np.int64)), batch[key].take(pa.array(a + np.concatenate((row, m.row)))), pa.array(at), pa.array(np.concatenate((size, zeros)))], ["item_id", "item_word", key, "doc_word", "n_words"])
+
+    return run
+
+
+def _in_passes(rows: DataFrame, bench: DataFrame, window: int, block_bytes: int, key: str, kind: str, by=_matcher) -> DataFrame:
+    """What `by` finds of all items. With more than one block, each block's pass over rows (key, text) is written before the next
     one begins: the driver holds one block, and neither it nor the plan grows with the items."""
-    schema = MATCH.format(key, kind)
+    columns = MATCH.format(key, kind)
     parts = blocks(bench, block_bytes, "item_id", "text")
-    found = (rows.mapInArrow(A.tidy(_matcher(test_suffixes(ids, texts, window), window, key)), schema) for ids, texts in parts)
+    found = (rows.mapInArrow(A.tidy(by(test_suffixes(ids, texts, window), window, key)), columns) for ids, texts in parts)
     one = next(found)
     two = next(found, None)
     if two is None:
@@ -295,7 +381,7 @@ def _in_passes(rows: DataFrame, bench: DataFrame, window: int, block_bytes: int,
     for part in found:
         part.write.mode("append").parquet(path)
     delete_at_exit(rows.sparkSession, path)
-    return rows.sparkSession.read.schema(schema).parquet(path)
+    return rows.sparkSession.read.schema(columns).parquet(path)
 
 
 def _in_blocks(docs: DataFrame, bench: DataFrame, window: int, block_bytes: int, keep_rows: bool) -> DataFrame:
@@ -304,12 +390,12 @@ def _in_blocks(docs: DataFrame, bench: DataFrame, window: int, block_bytes: int,
     known = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     key = F.sha2(F.concat(F.when(F.col("doc_id").isNull(), "-").otherwise(F.length(known).cast("string")), F.lit(":"), known, F.coalesce("text", F.lit(""))), 256)
     rows = docs.withColumn(name, key)
-    found = _in_passes(rows.select(F.col(name).alias("row"), "text"), bench, window, block_bytes, "row", "string").select("row", "item_id", "doc_word", "n_words").distinct()
+    found = _in_passes(rows.select(F.col(name).alias("row"), "text"), bench, window, block_bytes, "row", "string", _marker).select("row", "item_id", "doc_word", "n_words").distinct()
 
     def merge(table: pa.Table) -> pa.Table:
         a = table["doc_word"].to_numpy()
         b = a + table["n_words"].to_numpy()
-        own = set(table["item_id"].to_pylist())
+        own = set(table["item_id"].to_pylist()) - {None}
         return pa.table({"row": table["row"].slice(0, 1), "n_hit": pa.array([int(A.covered(int(b.max()), a, b).sum())]), "n_items": pa.array([len(own)]), "items_sha256": pa.array([_digest(list(own))])})
 
     merged = found.groupBy("row").applyInArrow(merge, "row string, n_hit long, n_items long, items_sha256 string")

@@ -2,8 +2,10 @@ import hashlib
 import random
 import re
 
+import pyarrow as pa
 import pytest
 
+from quarrymark.llm import decontaminate as D
 from quarrymark.llm.decontaminate import find_leaks, longest_matches
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -51,6 +53,34 @@ def test_against_brute_force(spark, seed, window, block):
     assert sorted((str(x.doc_id) for x in kept.collect())) == sorted(str(x[0]) for x in want if not x[5])
 
 
+@pytest.mark.parametrize("block", [1 << 20, 100])
+def test_texts_that_repeat_themselves(spark, block):
+    items = [(1, "a " * 60), (2, "a " * 12), (3, "a b " * 20), (4, "b"), (5, "a " * 60), (6, "a a a b")]
+    docs = [(1, "a " * 500), (2, "a b " * 200), (3, "a " * 9), (4, "b " * 30), (5, ("a " * 11 + "c ") * 20), (6, "a a a b a b a b")]
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    assert sorted((tuple(x) for x in find_leaks(d, b, 10, block).collect()), key=str) == brute(docs, items, 10)
+
+
+def test_occurrences_are_no_more_than_words():
+    tests = D.test_suffixes([1, 2], ["a " * 2000, "a " * 1990], 10)
+    ((_, w),) = D.shards(pa.array(["a " * 500_000]))
+    h = D.search(w, tests, 10)
+    assert len(h.test) == 1 and len(h.suffixes) == 1991 + 1981 and len(h.place) == 500_000 - 9
+    found = D.leaks(w, tests, 10)
+    assert found.cover.all() and found.row.tolist() == [0, 0] and found.item.tolist() == [0, 1]
+
+
+def test_unequal_windows_of_equal_hashes():
+    tests = D.test_suffixes([1, 2, 3], ["a b c", "a x c", "a b c"], 3)
+    ((_, w),) = D.shards(pa.array(["a b c", "a x c", "z"]))
+    for side in (tests.words, w):  # as if b and x had one hash
+        for own in (side.hashes, side.pairs):
+            own[:3], own[3:6] = own[:3].copy(), own[:3].copy()
+    tests.words.pairs[6:9] = tests.words.pairs[:3]
+    found = D.leaks(w, tests, 3)
+    assert found.cover.tolist() == [True] * 6 + [False] and list(zip(found.row.tolist(), found.item.tolist())) == [(0, 0), (0, 2), (1, 1)]
+
+
 def test_empty_tables(spark):
     d, b = spark.createDataFrame([], "doc_id long, text string"), spark.createDataFrame([], "item_id long, text string")
     full = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
