@@ -160,7 +160,7 @@ def filter_urls(pages: DataFrame, rules: DataFrame | tuple = RULES, threshold: f
     distrust = propagate(back, seed("block")).withColumnRenamed("rank", "distrust")
     zero = F.lit(0.0)
     hosts = trust.join(distrust, "host", "full").select("host", F.coalesce("trust", zero).alias("trust"), F.coalesce("distrust", zero).alias("distrust"))
-    found = salted_join(ruled, written(hosts, "hosts"), "host", F.coalesce(F.col("page_id").cast("long"), F.lit(0)), 2 * partitions(pages.sparkSession))
+    found = salted_join(ruled, written(hosts, "hosts"), "host", F.xxhash64("page_id", "path"), 2 * partitions(pages.sparkSession))
     t, d = F.coalesce("trust", zero), F.coalesce("distrust", zero)
     own = F.when((d - t) > F.lit(threshold) * (d + t), "block").otherwise("allow")
     return found.select("page_id", "host", "path", "rule", F.coalesce("action", own).alias("verdict"), t.alias("trust"), d.alias("distrust"))

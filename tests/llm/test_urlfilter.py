@@ -122,3 +122,8 @@ def test_distrust_reaches_hosts_that_link_to_blocked_ones(spark):
 
 def test_empty_table(spark):
     assert U.filter_urls(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_ids_of_any_type(spark):
+    pages = spark.createDataFrame([("p one", "http://a.org/x", None), (None, "http://b.com/fr/", None)], "page_id string, url string, html string")
+    assert {(r.page_id, r.verdict) for r in U.filter_urls(pages).collect()} == {("p one", "allow"), (None, "allow")}
