@@ -88,6 +88,12 @@ def costs(rows: DataFrame, tokens: tuple[int, int] = (5300, 1000), price: dict[s
     return rows.agg(n.alias("n"), F.round(n * tokens[0] / 1e6 * price["input"], 2).alias("input_cost"), F.round(n * tokens[1] / 1e6 * price["output"], 2).alias("output_cost"), F.round(n * seconds * hour / 3600, 2).alias("serving_cost"))
 
 
+def learning_curve(counts: DataFrame, key: str, start: float = 52, gain: float = 35, rate: float = 0.00035) -> DataFrame:
+    """Counts (key, n), largest first, with the examples so far and the F1 expected of a model that learns from them: start, and a gain that levels off."""
+    so_far = F.sum("n").over(Window.orderBy(F.desc("n"), F.asc_nulls_last(key)).rowsBetween(Window.unboundedPreceding, 0))  # a row for each key
+    return counts.select(key, so_far.alias("n")).withColumn("f1", F.round(start + gain * (1 - F.exp(-rate * F.col("n"))), 6))
+
+
 def gold_and_predicted(rows: DataFrame, gold: str, pred: str, most: int = 8) -> DataFrame:
     """The most frequent gold types, with how often each is gold and how often predicted."""
     top = frequencies(rows, gold, most).select(F.col(gold).alias("kind"), F.col("n").alias("gold"))

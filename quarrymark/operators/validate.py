@@ -21,10 +21,12 @@ def scored(rows: DataFrame, text: str = "jsonld") -> DataFrame:
     """rows with `result`: valid, errors, warnings, types, property_count and quality_score of the text's entity.
 
     The entity is the object, the first of an array, or the first of @graph. Only the first type's rules count; types
-    without rules need @type and @context and recommend nothing. Parsing is strict; all else is Column expressions.
+    without rules need @type and @context and recommend nothing. Parsing is strict; all else is Column expressions. A column
+    `result` of rows is replaced; all others stay, whatever their names.
     """
     none = F.array().cast("array<string>")
-    root = rows.withColumn("_n", normal_json(F.regexp_replace(F.col(text), r"^\s+|\s+$", "")))
+    packed = rows.select(F.struct(*(c for c in rows.columns if c != "result")).alias("_row"), F.col(text).alias("_text"))
+    root = packed.withColumn("_n", normal_json(F.regexp_replace("_text", r"^\s+|\s+$", "")))
     first = F.when(F.startswith("_n", F.lit("[")), F.get_json_object("_n", "$[0]")).otherwise(F.col("_n"))
     root = root.withColumn("_r", first)
     graph = F.get_json_object("_r", "$['@graph']")
@@ -52,7 +54,7 @@ def scored(rows: DataFrame, text: str = "jsonld") -> DataFrame:
     score = F.when(F.col("_e").isNull() | (F.size("_types") == 0), 0.0).otherwise(F.greatest(F.lit(0.0), F.round(raw, 3)))
     result = F.struct((F.size("_errors") == 0).alias("valid"), F.col("_errors").alias("errors"), F.col("_warnings").alias("warnings"), F.col("_types").alias("types"), F.col("_count").alias("property_count"), score.alias("quality_score"))
     # A generator, so that no filter on the result is pushed below it: each of its uses would repeat the whole expression.
-    return out.select(*rows.columns, F.explode(F.array(result)).alias("result"))
+    return out.select("_row.*", F.explode(F.array(result)).alias("result"))
 
 
 def pages_with_quality_markup(pages: DataFrame, key: str, least: float = 0.4) -> DataFrame:

@@ -37,9 +37,7 @@ _SHOTS = "(SELECT DISTINCT concat('s', CAST(s_suppkey AS VARCHAR(20)), '.ie') AS
 def assembled_examples(spark, sf):
     """The line is compared by its digest, the shuffled order by places in it."""
     rows = A.assembled(_records(spark, sf), _shots(spark, sf), "p_partkey").select("p_partkey", "domain", "screenshot", F.col("result.quality_score").alias("quality_score"), F.md5("value").alias("digest"), "rank")
-    ranked = S.split(rows.withColumn("key", F.col("p_partkey").cast("string")), "key").drop("split", "key")
-    place = S._ranked(ranked.withColumn("_h", F.col("rank")), F.substring("_h", 1, 3), ["_h"]).withColumn("place", F.col("_rank").cast("long"))
-    return place.select("p_partkey", "domain", "screenshot", "quality_score", "place", "digest")
+    return S.placed(rows, "rank").select("p_partkey", "domain", "screenshot", "quality_score", n("place").alias("place"), "digest")
 
 
 @query(f"SELECT p_partkey FROM {_USABLE} ORDER BY p_partkey LIMIT 25")

@@ -49,7 +49,7 @@ KIND = "(['" + "','".join(KINDS) + "'])[(page_id % 15)::INT + 1]"
 
 
 def with_kind(pages: DataFrame) -> DataFrame:
-    """pages with a schema type dealt by page_id."""
+    """pages with a type of markup dealt by page_id."""
     return pages.withColumn("schema_type", F.element_at(F.array(*(F.lit(k) for k in KINDS)), (F.col("page_id") % 15 + 1).cast("int")))
 
 

@@ -206,9 +206,10 @@ def cost_estimates(spark, sf):
     return G.costs(t(spark, sf, "pages"))
 
 
-@query("SELECT n::BIGINT AS n, round(52+35*(1-exp(-0.00035*n)),6)::DOUBLE AS f1 FROM (SELECT unnest(range(1000,11000,1000)) AS n)")
+@query("SELECT source, n::BIGINT AS n, round(52+35*(1-exp(-0.00035*n)),6)::DOUBLE AS f1 FROM (SELECT source, sum(c) OVER (ORDER BY c DESC, source NULLS LAST ROWS UNBOUNDED PRECEDING) AS n FROM (SELECT source, count(*) AS c FROM documents GROUP BY 1))")
 def learning_curve(spark, sf):
-    return spark.range(1000, 11000, 1000).select(F.col("id").alias("n"), F.round(52 + 35 * (1 - F.exp(-0.00035 * F.col("id"))), 6).alias("f1"))
+    """What more sources are expected to bring, the largest first."""
+    return G.learning_curve(G.frequencies(t(spark, sf, "documents"), "source"), "source")
 
 
 _SP = R.SYSTEM_PROMPT
@@ -287,5 +288,5 @@ def stream_dedup(spark, sf):
 
 
 def _event_stream(spark, sf):
-    schema = t(spark, sf, "events").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    kind = t(spark, sf, "events").schema
+    return spark.readStream.schema(kind).option("pathGlobFilter", "events.parquet").parquet(sf)

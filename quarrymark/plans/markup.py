@@ -119,10 +119,21 @@ def encoding_corruption(spark, sf):
     return t(spark, sf, "documents").filter(J.corrupted(x)).groupBy("lang").agg(count_n())
 
 
-@query()
+_CUTS = "[" + ", ".join(f"length(j) - {c}" for c in (0, 50, 100, 200, 500)) + "]"
+_LESS = "(length({0}) - length(replace({0}, '{1}', '')) - length({0}) + length(replace({0}, '{2}', '')))"
+_OPEN = _LESS.format("own", "[", "]"), _LESS.format("own", "{{", "}}").replace("{{", "{").replace("}}", "}")
+
+
+@query(
+    f"WITH t AS (SELECT p_partkey, jsonld AS j FROM {_J}), c AS (SELECT p_partkey, j, generate_subscripts({_CUTS}, 1) AS i, unnest({_CUTS}) AS upto FROM t WHERE NOT json_valid(j)), "
+    "o AS (SELECT p_partkey, i, regexp_replace(rtrim(substr(j, 1, CASE WHEN upto < 0 THEN greatest(length(j) + upto, 0) ELSE upto END)), ',$', '') AS own FROM c), "
+    f"f AS (SELECT p_partkey, arg_min(closed, i) AS closed FROM (SELECT p_partkey, i, own || repeat(']', {_OPEN[0]}) || repeat('}}', {_OPEN[1]}) AS closed FROM o WHERE own <> '' AND {_OPEN[0]} >= 0 AND {_OPEN[1]} >= 0) WHERE json_valid(closed) GROUP BY 1) "
+    "SELECT p_partkey, CASE WHEN json_valid(j) THEN j ELSE closed END AS jsonld FROM t LEFT JOIN f USING (p_partkey)"
+)
 def json_repair(spark, sf):
-    """Fences and thoughts removed and cut text repaired; no SQL form."""
-    text = F.concat(F.lit("<think>x</think>\n"), "jsonld")
+    """Thoughts and every other text's fence removed, and cut text repaired."""
+    fenced = F.col("p_partkey") % 2 == 0
+    text = F.concat(F.lit("<think>x</think>\n"), F.when(fenced, "```json\n").otherwise(""), "jsonld", F.when(fenced, "\n```").otherwise(""))
     return parts_jsonld(spark, sf).select("p_partkey", J.repair(J.without_fence(J.without_thoughts(text))).alias("jsonld"))
 
 
@@ -212,11 +223,11 @@ def error_buckets(spark, sf):
     return t(spark, sf, "part").selectExpr(f"{_ERR} AS e").groupBy(J.error_bucket(F.col("e")).alias("bucket")).agg(count_n())
 
 
-@query()
+@query(r"""SELECT page_id, true AS valid, 1::BIGINT AS attempt, md5('{"@context": "https://schema.org", "@type": "WebPage", "url": ' || coalesce(to_json(url)::VARCHAR, 'null') || ', "name": ' || to_json(regexp_replace(regexp_extract(coalesce(html, ''), '(?i)<title[^>]*>([^<]+)</title>', 1), '^\s+|\s+$', '', 'g'))::VARCHAR || '}') AS digest FROM pages WHERE page_id % 5 <> 0""")
 def labeller_stub_run(spark, sf):
-    """The labelling seam with its stub; no SQL form."""
+    """The labelling seam with its stub, which reads pages' titles."""
     pages = t(spark, sf, "pages")
-    return L.label(pages, done=pages.filter("page_id % 5 = 0")).select("page_id", "valid", n("attempt").alias("attempt"))
+    return L.label(pages, done=pages.filter("page_id % 5 = 0")).select("page_id", "valid", n("attempt").alias("attempt"), F.md5("raw_output").alias("digest"))
 
 
 @query("WITH q AS (SELECT s_suppkey, concat('<http://s', s_suppkey, '.ie/#b>') AS tok FROM supplier) SELECT s_suppkey, trim(tok,'<>') AS iri, string_split(string_split(trim(tok,'<>'),'/')[-1],'#')[-1] AS name FROM q")

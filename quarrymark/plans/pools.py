@@ -92,7 +92,7 @@ def sketched_lengths(spark, sf):
     G.sketches(docs, "source", "chars", "doc_id").write.parquet(path)
     found = G.merged_sketches(spark.read.parquet(path), (10, 50, 90, 99)).first()
     x = F.col("chars")
-    ranks = docs.agg(*(f for i, v in enumerate(found["values"] or []) for f in (F.count_if(x < v["x"]).alias(f"below{i}"), F.count_if(x <= v["x"]).alias(f"upto{i}"))), F.lit(found["n"]).alias("n"))
+    ranks = docs.agg(*(f for i, v in enumerate(found["values"] or []) for f in (F.count_if(x < v["x"]).alias(f"below{i}"), F.count_if(x <= v["x"]).alias(f"upto{i}"))), F.lit(found["n"]).cast("long").alias("n"))
     near = lambda i, p: (F.col(f"below{i}") / F.col("n") <= p / 100 + G.RANK_ERROR) & (F.col(f"upto{i}") / F.col("n") >= p / 100 - G.RANK_ERROR)
     each = F.array(*(F.struct(F.lit(v["percent"]).alias("percent"), near(i, v["percent"]).alias("near")) for i, v in enumerate(found["values"] or [])))
     return ranks.select("n", F.explode(each).alias("v")).select("v.percent", "n", "v.near", F.lit(abs(found["n_keys"] / max(1, found["n"]) - 1) < 0.05).alias("keys_near"))

@@ -1,4 +1,4 @@
-"""Sources: crawl indexes, N-Quads, JSON lines, results, archives' bodies and sinks. Schemas are declared, never inferred."""
+"""Sources: crawl indexes, N-Quads, JSON lines, results, archives' bodies and sinks. Columns are declared, never inferred."""
 
 from __future__ import annotations
 
@@ -81,13 +81,13 @@ def gzip_files(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select("path", F.startswith("content", F.unhex(F.lit("1F8B"))).alias("is_gzip"))
 
 
-def read_json_lines(spark: SparkSession, schema: str, *paths: str, strict: bool = False) -> DataFrame:
-    return spark.read.schema(schema).json(list(paths), mode="FAILFAST" if strict else "DROPMALFORMED")
+def read_json_lines(spark: SparkSession, kind: str, *paths: str, strict: bool = False) -> DataFrame:
+    return spark.read.schema(kind).json(list(paths), mode="FAILFAST" if strict else "DROPMALFORMED")
 
 
-def read_results(spark: SparkSession, path: str, schema: str = GENERATED) -> DataFrame:
+def read_results(spark: SparkSession, path: str, kind: str = GENERATED) -> DataFrame:
     """A folder of one JSON file per page, with its file's path."""
-    return spark.read.schema(schema).json(path, multiLine=True).select("*", F.col("_metadata.file_path").alias("file"))
+    return spark.read.schema(kind).json(path, multiLine=True).select("*", F.col("_metadata.file_path").alias("file"))
 
 
 def record_body(record: Column) -> Column:
@@ -100,11 +100,11 @@ def write_json_lines(rows: DataFrame, path: str, append: bool = False) -> None:
     rows.write.mode("append" if append else "overwrite").json(path)
 
 
-def append_new(rows: DataFrame, path: str, key: str, schema: str) -> None:
+def append_new(rows: DataFrame, path: str, key: str, kind: str) -> None:
     """Append rows whose key isn't in the pool at path yet."""
     from ..operators.sampling import without
 
-    write_json_lines(without(rows, read_json_lines(rows.sparkSession, schema, path), key), path, append=True)
+    write_json_lines(without(rows, read_json_lines(rows.sparkSession, kind, path), key), path, append=True)
 
 
 def write_keyed(rows: DataFrame, path: str, key: str = "url", buckets: int = 256) -> None:

@@ -9,9 +9,9 @@ from pyspark.sql.streaming import StreamingQuery
 from ..session import own_folder
 
 
-def stream_json(spark: SparkSession, path: str, schema: str, per_trigger: int = 100) -> DataFrame:
+def stream_json(spark: SparkSession, path: str, kind: str, per_trigger: int = 100) -> DataFrame:
     """JSON lines dropped in a folder; the checkpoint remembers what was read."""
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", per_trigger).json(path)
+    return spark.readStream.schema(kind).option("maxFilesPerTrigger", per_trigger).json(path)
 
 
 def distinct_within(stream: DataFrame, key: str, ts: str, late: str = "1 hour") -> DataFrame:

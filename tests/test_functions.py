@@ -245,6 +245,28 @@ def test_joins_and_judges(spark, tmp_path):
     assert [tuple(x) for x in S.capped(clash, "k", 1, "_rank").collect()] == [(1, 5)]
 
 
+def test_helper_columns_leave_others_alone(spark):
+    own = ["_rank", "_all", "_b", "_n", "_r", "_before", "_h", "_pool", "_target", "_e", "_keys", "_types", "_context", "_errors", "_warnings", "_count", "_row", "_text", "_r_"]
+    rows = spark.range(30).select("id", F.col("id").cast("string").alias("key"), (F.col("id") % 2).cast("string").alias("kind"), *((F.col("id") + i).alias(c) for i, c in enumerate(own)))
+    want = {tuple(r[c] for c in ("id", *own)) for r in rows.collect()}
+    same = lambda df: {tuple(r[c] for c in ("id", *own)) for r in df.collect()} == want
+    assert same(S.split(rows, "key")) and same(S.stratified_split(rows, "kind", "key")) and S.numbered(rows.withColumn("at", F.col("id")), "at").agg(F.sum("_rank"), F.sum("_all"), F.sum("_b")).first()[:] == (435, 465, 495) and same(S.chunked(rows, "id", 10, 4))
+    assert same(S.merged_pools(rows.filter("id < 20"), rows.filter("id > 10"), key="id", order="id")) and same(S.capped(rows, "kind", 100, "id"))
+    assert same(S.sampled_to_targets(rows.withColumn("kind", F.lit("Product")), "kind", 1000, "key")) and same(S.placed(rows.withColumn("h", F.md5("key")), "h"))
+    assert same(validate.scored(rows.withColumn("jsonld", F.lit("{}")).withColumn("result", F.lit(1))))
+    assert S.split(rows, "key").filter("split = 'train'").count() == 27
+    assert S.numbered(rows.drop("id").withColumn("at", F.col("_rank")), "at").orderBy("at").first().id == "train_000000"
+    numbers = [r.place for r in S.placed(rows.withColumn("h", F.md5("key")), "h").orderBy("h").collect()]
+    assert numbers == list(range(1, 31)) and S.placed(rows.limit(0), "key").count() == 0
+
+
+def test_learning_curve(spark):
+    rows = spark.createDataFrame([("a", 10), ("b", 500), (None, 10)], "source string, n long")
+    got = [tuple(r) for r in G.learning_curve(rows, "source").orderBy("n").collect()]
+    assert [x[:2] for x in got] == [("b", 500), ("a", 510), (None, 520)] and got[0][2] == round(52 + 35 * (1 - 2.718281828459045 ** -0.175), 6)
+    assert G.learning_curve(rows.limit(0), "source").count() == 0
+
+
 def test_index_scans_prune_folders(spark, tmp_path):
     rows = spark.createDataFrame([("u1", "c1", "warc"), ("u2", "c2", "warc"), ("u3", "c1", "robots")], "url string, crawl string, subset string")
     rows.write.partitionBy("crawl", "subset").parquet(str(tmp_path / "i"))
