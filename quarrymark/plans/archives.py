@@ -23,12 +23,12 @@ def range_fetch(spark, sf):
 
 @query(f"SELECT url, md5(html) AS digest FROM pages WHERE ends_with({HOST}, '.org') OR ends_with({HOST}, '.com')")
 def cached_range_fetch(spark, sf):
-    """A first run stores one TLD's pages; a second one of two TLDs reads only what the store doesn't have."""
+    """A first run stores one TLD's pages; a second one of two TLDs reads only what the store doesn't have. Pages with one URL are records of their own."""
     folder = own_folder(spark, "warc")
     index = A.write_archives(t(spark, sf, "pages").select("url", "html"), folder)
-    of = lambda *tlds: index.filter(F.substring_index(U.authority(F.col("url")), ".", -1).isin(*tlds))
-    A.fetched_pages(spark, of("org"), f"{folder}/store")
-    return A.fetched_pages(spark, of("org", "com"), f"{folder}/store").select("url", F.md5("html").alias("digest"))
+    of = lambda *tlds: index.filter(F.rlike(U.authority(F.col("url")), F.lit(r"\.(" + "|".join(tlds) + r")\z")))
+    A.fetched_pages(spark, of("org"), f"{folder}/store", A.record_name())
+    return A.fetched_pages(spark, of("org", "com"), f"{folder}/store", A.record_name()).select("url", F.md5("html").alias("digest"))
 
 
 def index_of_pages(spark, sf):

@@ -15,7 +15,7 @@ import pyarrow as pa
 import pyarrow.fs as pafs
 import pyarrow.parquet as pq
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
@@ -187,12 +187,17 @@ def fetch_records(records: DataFrame, gap: int = GAP, span: int = SPAN, task: in
     return records.join(found, RANGE, "left")
 
 
-def fetched_pages(spark: SparkSession, records: DataFrame, store: str) -> DataFrame:
+def record_name() -> Column:
+    """A name of its own for each record (file, offset)."""
+    return F.concat_ws(":", "file", F.col("offset").cast("string"))
+
+
+def fetched_pages(spark: SparkSession, records: DataFrame, store: str, name: Column | None = None) -> DataFrame:
     """url, html and file of records (url, file, offset, length), from the store where their file name is there already, and else read by range
     and added to it.
 
     The store is Parquet with a folder for each run, so that what is there isn't written again. Of several records of one file name the first by (file,
-    offset) counts, as does the first stored.
+    offset) counts, as does the first stored. name: the file name, else that of the url; record_name() keeps every record of a url.
     """
     from ..functions.urls import file_name
 
@@ -200,7 +205,7 @@ def fetched_pages(spark: SparkSession, records: DataFrame, store: str) -> DataFr
     files, root = opened(store)
     there = files.get_file_info(root).type == pafs.FileType.Directory
     cached = spark.read.schema(kind).parquet(f"{store}/run=*") if there else spark.createDataFrame([], kind)
-    named = records.withColumn("file_name", file_name(F.col("url"), "plain"))
+    named = records.withColumn("file_name", file_name(F.col("url"), "plain") if name is None else name)
     wanted = named.select("file_name").distinct()
     new = named.join(cached.select("file_name").distinct(), "file_name", "left_anti")
     one = new.groupBy("file_name").agg(F.min_by(F.struct("url", *RANGE), F.struct("file", "offset", "length")).alias("r")).select("file_name", "r.*")

@@ -41,11 +41,12 @@ def test_entry(spark):
     assert set(SQL) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", ["merge_pools_priority"])
+@pytest.mark.parametrize("name", ["merge_pools_priority", "cached_range_fetch"])
 def test_pages_with_one_url_stay_apart(spark, tmp_path, name):
     import duckdb
 
     pages = [(k, f"https://a.example.{('org', 'com', 'net')[k // 2 % 3]}/{k // 4}", f"<p>{k}</p>") for k in range(60)]
+    pages += [(60, "https://org/x", "<p>a TLD alone</p>"), (61, "https://a.org:80/x", "<p>a port</p>")]
     assert len({url for _, url, _ in pages}) < len(pages)
     spark.createDataFrame(pages, "page_id long, url string, html string").coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
     c = duckdb.connect()
