@@ -77,6 +77,14 @@ class Vocabulary:
                 todo += new
             self.valid[t] = {p for k in seen for p in own.get(k, ())}
 
+    @classmethod
+    def built_in(cls) -> Vocabulary:
+        above: dict[str, list[str]] = {}
+        for top, kinds in R.BELOW.items():
+            for k in kinds.split():
+                above.setdefault(k, []).extend([top] if top else [])
+        return cls({t: own.split() for t, own in R.VOCABULARY.items()}, above)
+
     @classmethod
     def of_release(cls, text: str) -> Vocabulary:
         """From the vocabulary's published JSON-LD: classes with rdfs:subClassOf, properties with domainIncludes."""

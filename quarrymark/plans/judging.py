@@ -29,8 +29,8 @@ _ATTR = f"CASE WHEN page_id % 10 = 0 THEN concat('grand hotel item ', {_K}) WHEN
 
 
 def page_issues(spark, sf):
-    """Issues of structure and vocabulary by page_id."""
-    return D.text_issues(t(spark, sf, "pages").selectExpr("page_id AS k", f"{_TEXT} AS text"), Vocabulary(OWN, ABOVE)).withColumnRenamed("k", "page_id")
+    """Issues of structure and of the whole vocabulary by page_id."""
+    return D.text_issues(t(spark, sf, "pages").selectExpr("page_id AS k", f"{_TEXT} AS text"), Vocabulary.built_in()).withColumnRenamed("k", "page_id")
 
 
 def judged_pages(spark, sf):
@@ -38,7 +38,7 @@ def judged_pages(spark, sf):
     return D.judged(rows, "jsonld", H.parsed_text("html"), F.col("html"), Vocabulary(OWN, ABOVE))
 
 
-#: A small vocabulary for these queries; a release's is read by Vocabulary.of_release().
+#: A small vocabulary for the queries of judged pages; jsonld_vocab_issues has the one built in, and a release's is read by Vocabulary.of_release().
 OWN = {
     "Thing": ("name", "description", "url", "image"),
     "Organization": ("address", "telephone", "email"),
@@ -66,8 +66,8 @@ ABOVE = {
 }
 
 
-def _pairs(table: dict[str, tuple[str, ...]]) -> str:
-    return "(VALUES " + ",".join(f"('{k}','{x}')" for k, v in table.items() for x in v) + ")"
+def _pairs(table: dict[str, tuple[str, ...] | str]) -> str:
+    return "(VALUES " + ",".join(f"('{k}','{x}')" for k, v in table.items() for x in (v.split() if isinstance(v, str) else v)) + ")"
 
 
 _BASE = (
@@ -76,9 +76,16 @@ _BASE = (
     "st AS (SELECT *, ok AND NOT list_contains(json_keys(o), '@type') AS untyped, ok AND NOT list_contains(json_keys(o), '@context') AS bare, ok AND list_contains(json_keys(o), '@context') AND NOT contains((o->'@context')::VARCHAR, 'schema.org') AS alien FROM j), "
     "good AS (SELECT * FROM st WHERE ok AND NOT untyped AND NOT alien)"
 )
-_VOCAB = (
+#: What is valid where, and then the issues.
+_SMALL = (
     f", own AS (SELECT * FROM {_pairs(OWN)} AS x(type, prop)), above AS (SELECT * FROM {_pairs(ABOVE)} AS x(type, top)), "
     "up AS (SELECT type, type AS top FROM (SELECT type FROM own UNION SELECT type FROM above UNION SELECT top FROM above UNION SELECT 'PostalAddress') UNION SELECT up.type, above.top FROM up JOIN above ON above.type = up.top), "
+)
+_WHOLE = (
+    f", own AS (SELECT * FROM {_pairs(R.VOCABULARY)} AS x(type, prop)), below AS (SELECT * FROM {_pairs(R.BELOW)} AS x(top, type)), "
+    "up AS (SELECT type, type AS top FROM (SELECT type FROM own UNION SELECT type FROM below UNION SELECT top FROM below WHERE top <> '') UNION SELECT up.type, below.top FROM up JOIN below ON below.type = up.top WHERE below.top <> ''), "
+)
+_ISSUES = (
     "known AS (SELECT DISTINCT type FROM up), valid AS (SELECT DISTINCT up.type, own.prop FROM up JOIN own ON own.type = up.top), "
     "kids AS (SELECT page_id, '$' AS path, o FROM good UNION ALL SELECT page_id, path, o FROM (SELECT page_id, k.path || '.' || m || CASE WHEN i IS NULL THEN '' ELSE '[' || i || ']' END AS path, x AS o FROM (SELECT page_id, path, m, unnest([NULL] || range(coalesce(json_array_length(v), 0)::BIGINT)) AS i, v, CASE WHEN i IS NULL THEN v ELSE json_extract(v, '$[' || i || ']') END AS x FROM (SELECT page_id, path, m, json_extract(o, '$.\"' || m || '\"') AS v FROM (SELECT page_id, path, o, unnest(json_keys(o)) AS m FROM kids WHERE list_contains(json_keys(o), '@type')))) k WHERE json_type(x) = 'OBJECT')), "
     "typed AS (SELECT *, o->>'@type' AS type FROM kids WHERE list_contains(json_keys(o), '@type')), "
@@ -89,6 +96,7 @@ _VOCAB = (
     + "UNION ALL SELECT page_id, 'warning', 'value', path || '.' || m FROM keys WHERE json_type(v) = 'VARCHAR' AND m IN (" + ",".join(f"'{k}'" for k in R.DATE_KEYS) + r") AND NOT regexp_matches(s, '^\d{4}-\d{2}-\d{2}(T\d{2}:\d{2}(:\d{2})?(Z|[+-]\d{2}:\d{2})?)?$') "
     "UNION ALL SELECT page_id, 'warning', 'value', path || '.' || m FROM keys WHERE m = 'price' AND NOT list_contains(json_keys(o), 'priceCurrency'))"
 )
+_VOCAB = _SMALL + _ISSUES
 _FACTS = (
     ", vals AS (SELECT page_id, seen, attr, trim(regexp_replace(lower(atom->>'$'), '\\s+', ' ', 'g')) AS s, atom->>'$' AS raw FROM (SELECT page_id, seen, attr, e.atom, e.type, e.key FROM good, json_tree(t) AS e) WHERE type = 'VARCHAR' AND NOT starts_with(key, '@') AND length(atom->>'$') > 2 AND NOT starts_with(atom->>'$', 'http') AND NOT regexp_matches(atom->>'$', '^(\\d{4}-\\d{2}-\\d{2}|PT?\\d)')), "
     "facts AS (SELECT page_id, contains(v, s) OR contains(lower(attr), s) OR (len(string_split(s, ' ')) >= 3 AND len(list_filter(string_split(s, ' '), lambda w: length(w) > 2 AND contains(v, w))) / len(string_split(s, ' ')) >= 0.6) AS held FROM (SELECT *, regexp_replace(lower(seen), '\\s+', ' ', 'g') AS v FROM vals)), "
@@ -102,7 +110,7 @@ def jsonld_structure_issues(spark, sf):
     return D.structure_issues(D.entities(texts)).groupBy("category", "severity").agg(count_n())
 
 
-@query(_BASE + _VOCAB + " SELECT page_id, category, severity, path, count(*) AS n FROM issues GROUP BY ALL")
+@query(_BASE + _WHOLE + _ISSUES + " SELECT page_id, category, severity, path, count(*) AS n FROM issues GROUP BY ALL")
 def jsonld_vocab_issues(spark, sf):
     i = page_issues(spark, sf).filter(F.col("category").isin("type", "property", "value"))
     return i.groupBy("page_id", "category", "severity", "path").agg(count_n())

@@ -1,4 +1,5 @@
 import json
+import os
 import random
 import re
 
@@ -8,9 +9,11 @@ from pyspark.sql import functions as F
 from quarrymark import reference_data as R
 from quarrymark.operators import judge as D
 from quarrymark.operators.validate import Vocabulary
+from quarrymark.plans import QUERIES
 from quarrymark.plans.judging import ABOVE, OWN
 
 WORDS = Vocabulary(OWN, ABOVE)
+SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
 def structure(text):
@@ -162,3 +165,11 @@ def test_vocabulary_of_a_release():
     own = Vocabulary.of_release(json.dumps({"@graph": graph}))
     assert own.types == {"Thing", "Pub"} and own.valid == {"Thing": {"name"}, "Pub": {"name", "beer"}}
     assert {"address", "name", "priceRange"} <= WORDS.valid["Restaurant"] and WORDS.valid["PostalAddress"] == set()
+
+
+def test_the_whole_vocabulary_is_judged(spark):
+    words = Vocabulary.built_in()
+    assert {"servesCuisine", "openingHours", "geo", "taxID", "name"} <= words.valid["Bakery"] and "streetAddress" in words.valid["PostalAddress"] and "name" not in words.valid["PostalAddress"]
+    assert "Optician" in words.types and not words.valid["Optician"] and "" not in words.types
+    found = QUERIES["jsonld_vocab_issues"](spark, SF).filter("page_id = 10")  # of the type PostalAddress
+    assert {tuple(r) for r in found.select("category", "severity", "path", "n").collect()} == {("property", "warning", "$.name", 1), ("property", "warning", "$.availability", 1), ("value", "error", "$.availability", 1)}
